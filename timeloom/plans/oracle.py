@@ -129,3 +129,31 @@ def sql(body: str, *extra: str) -> str:
     if not order:
         return body
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in order) + "\n" + body
+
+
+# ---------------------------------------------------------------- later stages
+from timeloom.functions.scalar import glob_to_regex  # noqa: E402
+from timeloom.plans.driver import OUTCOMES, WINNOW_SECONDS  # noqa: E402
+
+OUT_RE = "|".join(f"(?:{glob_to_regex(p)})" for p in OUTCOMES)
+ORD = f"time, {RANK}, token"
+
+CTES.update({
+    "wn": f"""SELECT *, time <= min(time) OVER (PARTITION BY site, subject_id) + INTERVAL {WINNOW_SECONDS} SECOND AS past
+        FROM ids""",
+    "outs": f"SELECT token AS outcome FROM vocab WHERE regexp_matches(token, '{OUT_RE}')",
+    "flags": """SELECT s.site, s.subject_id, o.outcome,
+            coalesce(max(CASE WHEN w.past THEN 1 END) = 1, false) AS past,
+            coalesce(max(CASE WHEN NOT w.past THEN 1 END) = 1, false) AS future
+        FROM subjects s CROSS JOIN outs o
+        LEFT JOIN wn w ON w.site = s.site AND w.subject_id = s.subject_id AND w.token = o.outcome
+        GROUP BY s.site, s.subject_id, o.outcome""",
+    "infr": f"""SELECT w.site, w.subject_id, r.split, list(token_id ORDER BY {ORD}) AS tokens,
+            list(token_id ORDER BY {ORD}) FILTER (WHERE past) AS tokens_past
+        FROM wn w JOIN ref r ON w.site = r.site AND w.subject_id = r.subject_id GROUP BY w.site, w.subject_id, r.split""",
+    "fs": """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY patient_id
+            ORDER BY start_time ASC NULLS FIRST, stay_id) AS rn FROM stays) WHERE rn = 1""",
+    "fu": "SELECT stay_id, min(in_time) AS first_unit_in FROM units WHERE lower(location) = 'icu' GROUP BY stay_id",
+    "cohort": """SELECT f.patient_id, f.stay_id, u.first_unit_in FROM fs f JOIN fu u ON f.stay_id = u.stay_id
+        WHERE f.end_time - f.start_time >= INTERVAL 1 DAY AND u.first_unit_in <= f.start_time + INTERVAL 1 DAY""",
+})

@@ -37,3 +37,426 @@ def top_bottom(spark, sf):
     div = dsc.site_divergence(_stats(spark, sf))
     out = top_bottom_k(div, "w1", "grp", k=2)
     return out.select("grp", r9("w1").alias("w1"), "list", F.col("rank").cast("long").alias("rank"))
+
+
+# ====================================================================== cohort
+from timeloom.functions import scalar as S  # noqa: E402
+from timeloom.operators import cohort as coh  # noqa: E402
+from timeloom.operators import winnow as wnw  # noqa: E402
+from timeloom.operators import tokenize as tkz  # noqa: E402
+from timeloom.operators.collate import Entry, collate  # noqa: E402
+from timeloom.operators.relational import (checked_join, custom_order, first_per_group,  # noqa: E402
+                                           pivot_checked, seeded_sample, transpose_table,
+                                           union_all, melt)
+from timeloom.plans import driver as drv  # noqa: E402
+from timeloom.plans.oracle import CTES, ORD, RANK, hash_unit_sql  # noqa: E402
+
+
+def _cohort(spark, sf):
+    d = D(spark, sf)
+    return coh.cohort_select(d.stays(), d.units())
+
+
+@query("cohort_select", sql("SELECT patient_id, stay_id, first_unit_in FROM cohort"))
+def cohort_select(spark, sf):
+    return _cohort(spark, sf)
+
+
+@query("cohort_apply", sql("""SELECT 'lineitem' AS tbl, count(*) AS n_rows FROM lineitem WHERE l_orderkey IN (SELECT stay_id FROM cohort)
+    UNION ALL SELECT 'orders', count(*) FROM orders WHERE o_orderkey IN (SELECT stay_id FROM cohort)
+    UNION ALL SELECT 'customer', count(*) FROM customer WHERE c_custkey IN (SELECT patient_id FROM cohort)
+    UNION ALL SELECT 'region', count(*) FROM region"""))
+def cohort_apply(spark, sf):
+    d = D(spark, sf)
+    tables = {"lineitem": d.t("lineitem").withColumnRenamed("l_orderkey", "stay_id"),
+              "orders": d.t("orders").withColumnRenamed("o_orderkey", "stay_id"),
+              "customer": d.t("customer").withColumnRenamed("c_custkey", "patient_id"),
+              "region": d.t("region")}
+    out = coh.cohort_apply(tables, _cohort(spark, sf), "stay_id", "patient_id")
+    return union_all([df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(k).alias("tbl"), "n_rows")
+                      for k, df in out.items()])
+
+
+@query("first_per_group", sql("SELECT patient_id, stay_id, start_time FROM fs"))
+def first_per_group_q(spark, sf):
+    return coh.first_stays(D(spark, sf).stays()).select("patient_id", "stay_id", "start_time")
+
+
+@query("min_per_group", sql("SELECT stay_id, first_unit_in FROM fu"))
+def min_per_group(spark, sf):
+    return coh.first_unit_entry(D(spark, sf).units())
+
+
+@query("cohort_join", sql("SELECT f.stay_id, f.patient_id, u.first_unit_in FROM fs f JOIN fu u ON f.stay_id = u.stay_id"))
+def cohort_join(spark, sf):
+    d = D(spark, sf)
+    first = coh.first_stays(d.stays()).select("stay_id", "patient_id")
+    return checked_join(first, coh.first_unit_entry(d.units()), "stay_id", "inner", "1:1")
+
+
+@query("subset_semi", sql("""SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+    WHERE l_orderkey IN (SELECT stay_id FROM cohort)"""))
+def subset_semi(spark, sf):
+    keys = _cohort(spark, sf).select(F.col("stay_id").alias("l_orderkey"))
+    return D(spark, sf).t("lineitem").join(keys, "l_orderkey", "left_semi") \
+        .select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query("augment_join", sql("SELECT site, subject_id, c_mktsegment, c_acctbal FROM ref"))
+def augment_join(spark, sf):
+    return D(spark, sf).ref().select("site", "subject_id", "c_mktsegment", "c_acctbal")
+
+
+@query("reference_key_join", sql("""SELECT s.subject_id, s.group_id, c.c_acctbal FROM subjects s
+    JOIN customer c ON c.c_custkey = s.group_id"""))
+def reference_key_join(spark, sf):
+    d = D(spark, sf)
+    cust = d.t("customer").select(F.col("c_custkey").alias("group_id"), "c_acctbal")
+    return cust.join(d.subjects().select("subject_id", "group_id"), "group_id") \
+        .select("subject_id", "group_id", "c_acctbal")
+
+
+# ====================================================================== collation
+_EVC = "site, subject_id, time, prefix, code, round(numeric_value, 6) AS numeric_value, text_value"
+
+
+def _ev_out(df):
+    return df.select("site", "subject_id", "time", "prefix", "code",
+                     F.round("numeric_value", 6).alias("numeric_value"), "text_value")
+
+
+def _collate(spark, sf, entries, tables=None):
+    d = D(spark, sf)
+    tables = tables or {"events": d.ev()}
+    return _ev_out(collate(tables, d.ref(), drv.REFERENCE, entries))
+
+
+@query("collate", sql(f"SELECT {_EVC} FROM evl"))
+def collate_q(spark, sf):
+    return _ev_out(D(spark, sf).events_long())
+
+
+@query("collate_entry", sql(f"SELECT {_EVC} FROM evl WHERE prefix = 'VAL'"))
+def collate_entry(spark, sf):
+    return _collate(spark, sf, [drv.ENTRIES[2]])
+
+
+@query("ev_static", sql(f"SELECT {_EVC} FROM evl WHERE prefix IN ('SEG', 'BAL')"))
+def ev_static(spark, sf):
+    return _collate(spark, sf, drv.ENTRIES[:2])
+
+
+@query("label_first", sql(f"SELECT {_EVC} FROM evl WHERE prefix = 'LABEL'"))
+def label_first(spark, sf):
+    return _collate(spark, sf, drv.ENTRIES[3:])
+
+
+@query("ev_vitals", sql("SELECT site, subject_id, ts AS time, 'VTL' AS prefix, event_type AS code, round(value, 6) AS numeric_value, CAST(NULL AS VARCHAR) AS text_value FROM ev"))
+def ev_vitals(spark, sf):
+    return _collate(spark, sf, [Entry("events", "VTL", code="event_type", time="ts", numeric_value="value")])
+
+
+@query("ev_position", sql("SELECT site, subject_id, ts AS time, 'POSN' AS prefix, event_type AS code, CAST(NULL AS DOUBLE) AS numeric_value, CAST(NULL AS VARCHAR) AS text_value FROM ev WHERE event_type = 'signup'"))
+def ev_position(spark, sf):
+    return _collate(spark, sf, [Entry("events", "POSN", code="event_type", time="ts",
+                                      filter_expr="event_type = 'signup'")])
+
+
+@query("ev_crrt", sql("""SELECT site, subject_id, ts AS time, 'CRRT' AS prefix, event_type AS code, round(value, 6) AS numeric_value,
+    CAST(NULL AS VARCHAR) AS text_value FROM ev WHERE event_type IS NOT NULL AND value >= 100"""))
+def ev_crrt(spark, sf):
+    return _collate(spark, sf, [Entry("events", "CRRT", code="event_type", time="ts", numeric_value="value",
+                                      filter_expr=["event_type IS NOT NULL", "value >= 100"])])
+
+
+@query("ev_labs", sql("""SELECT site, subject_id, ts AS time, 'LAB-ORD' AS prefix, event_type AS code, CAST(NULL AS DOUBLE) AS numeric_value,
+        CAST(NULL AS VARCHAR) AS text_value FROM ev WHERE event_type = 'purchase'
+    UNION ALL SELECT site, subject_id, ts + INTERVAL 1 HOUR, 'LAB-RES', event_type, round(value, 6), NULL FROM ev WHERE event_type = 'purchase'"""))
+def ev_labs(spark, sf):
+    return _collate(spark, sf, [
+        Entry("events", "LAB-ORD", code="event_type", time="ts", filter_expr="event_type = 'purchase'"),
+        Entry("events", "LAB-RES", code="event_type", time="t_res", numeric_value="value",
+              filter_expr="event_type = 'purchase'", with_col_expr={"t_res": "ts + INTERVAL 1 HOUR"})])
+
+
+@query("ev_assessments", sql("""SELECT site, subject_id, ts AS time, 'ASMT' AS prefix, event_type AS code, round(value, 6) AS numeric_value,
+        CAST(NULL AS VARCHAR) AS text_value FROM ev WHERE event_type = 'view'
+    UNION ALL SELECT site, subject_id, ts, 'ASMT', event_type, NULL,
+        CASE WHEN event_type = 'error' THEN CASE WHEN value >= 100 THEN 'Yes' ELSE 'No' END ELSE NULL END FROM ev WHERE event_type = 'error'"""))
+def ev_assessments(spark, sf):
+    return _collate(spark, sf, [
+        Entry("events", "ASMT", code="event_type", time="ts", numeric_value="value", filter_expr="event_type = 'view'"),
+        Entry("events", "ASMT", code="event_type", time="ts", text_value="answer", filter_expr="event_type = 'error'",
+              with_col_expr={"answer": "CASE WHEN event_type = 'error' THEN CASE WHEN value >= 100 THEN 'Yes' ELSE 'No' END END"})])
+
+
+_SETTINGS = [("value", "value"), ("half", "value / 2"),
+             ("ratio", "CASE WHEN event_type = 'error' THEN CAST('NaN' AS DOUBLE) ELSE value / 10 END")]
+
+
+@query("ev_respiratory", sql("""SELECT site, subject_id, ts AS time, 'RESP' AS prefix, event_type AS code, CAST(NULL AS DOUBLE) AS numeric_value,
+        CAST(NULL AS VARCHAR) AS text_value FROM ev WHERE event_type IN ('click', 'error')
+    UNION ALL SELECT site, subject_id, ts, 'RESP', s.code, round(s.v, 6), NULL FROM ev,
+        LATERAL (VALUES ('value', value), ('half', value / 2),
+                 ('ratio', CASE WHEN event_type = 'error' THEN 'NaN'::DOUBLE ELSE value / 10 END)) s(code, v)
+        WHERE event_type IN ('click', 'error') AND NOT isnan(s.v) AND abs(s.v) < 'inf'::DOUBLE"""))
+def ev_respiratory(spark, sf):
+    """Mode entry plus three settings unpivoted with ``stack`` and kept only
+    when finite (S5)."""
+    d = D(spark, sf)
+    ev = d.ev().filter(F.col("event_type").isin("click", "error"))
+    stack = "stack(3, " + ", ".join(f"'{n}', cast({e} as double)" for n, e in _SETTINGS) + ") AS (setting, v)"
+    long = ev.select("*", F.expr(stack))
+    entries = [Entry("events", "RESP", code="event_type", time="ts")]
+    mode = collate({"events": ev}, d.ref(), drv.REFERENCE, entries)
+    sets = collate({"events": long.filter(S.finite("v"))}, d.ref(), drv.REFERENCE,
+                   [Entry("events", "RESP", code="setting", time="ts", numeric_value="v")])
+    return _ev_out(mode.unionByName(sets))
+
+
+@query("ev_code_status", sql("""SELECT s.site, s.subject_id, s.start_time AS time, 'CODE' AS prefix, c.c_mktsegment AS code,
+    CAST(NULL AS DOUBLE) AS numeric_value, CAST(NULL AS VARCHAR) AS text_value FROM customer c JOIN subjects s ON c.c_custkey = s.group_id"""))
+def ev_code_status(spark, sf):
+    """Patient-level rows fan out to each of the patient's subjects through
+    the reference key; the time is the subject's start."""
+    d = D(spark, sf)
+    e = Entry("customer", "CODE", code="c_mktsegment", time="start_time", reference_key="c_custkey")
+    return _collate(spark, sf, [e], {"customer": d.t("customer")})
+
+
+@query("ev_transfer", sql("""SELECT site, subject_id, ts AS time, 'XFR-IN' AS prefix, event_type AS code, CAST(NULL AS DOUBLE) AS numeric_value,
+        CAST(NULL AS VARCHAR) AS text_value FROM ev WHERE event_type = 'view'
+    UNION ALL SELECT site, subject_id, ts + INTERVAL 30 MINUTE, 'XFR-OUT', event_type, NULL, NULL FROM ev WHERE event_type = 'view'"""))
+def ev_transfer(spark, sf):
+    return _collate(spark, sf, [
+        Entry("events", "XFR-IN", code="event_type", time="ts", filter_expr="event_type = 'view'"),
+        Entry("events", "XFR-OUT", code="event_type", time="t_out", filter_expr="event_type = 'view'",
+              with_col_expr={"t_out": "ts + INTERVAL 30 MINUTES"})])
+
+
+# ====================================================================== splits
+@query("subject_split", sql("SELECT DISTINCT group_id, split FROM ref"))
+def subject_split_q(spark, sf):
+    return D(spark, sf).ref().select("group_id", "split").distinct()
+
+
+@query("pass_through", sql("""SELECT f.site, f.subject_id, r.split, r.c_mktsegment, r.c_acctbal
+    FROM (SELECT DISTINCT site, subject_id FROM flags) f JOIN ref r ON f.site = r.site AND f.subject_id = r.subject_id"""))
+def pass_through(spark, sf):
+    from timeloom.operators.collate import pass_through as pt
+    d = D(spark, sf)
+    rows = d.subjects().select("site", "subject_id")
+    return pt(rows, d.ref().drop("site"), "subject_id", ["split", "c_mktsegment", "c_acctbal"])
+
+
+# ====================================================================== tokens
+@query("quantile_fit", sql("""SELECT prefix, code, CAST(q AS INTEGER) AS q, round(breaks[q], 6) AS brk
+    FROM breaks, range(1, 10) t(q)"""))
+def quantile_fit(spark, sf):
+    b = D(spark, sf).breaks().df
+    return b.select("prefix", "code", F.posexplode("breaks").alias("q", "brk")) \
+        .select("prefix", "code", (F.col("q") + 1).alias("q"), F.round("brk", 6).alias("brk"))
+
+
+@query("quantile_apply", sql("SELECT prefix, code, bin, count(*) AS n FROM binned GROUP BY ALL"))
+def quantile_apply(spark, sf):
+    d = D(spark, sf)
+    b = tkz.quantile_apply(d.events_long(), d.breaks())
+    return b.groupBy("prefix", "code", "bin").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("token_build", sql("SELECT token, count(*) AS n FROM tok GROUP BY token"))
+def token_build(spark, sf):
+    return D(spark, sf).tokens().groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("vocab_fit", sql("SELECT token, token_id FROM vocab"))
+def vocab_fit(spark, sf):
+    return D(spark, sf).vocab().df
+
+
+@query("vocab_apply", sql("""SELECT site, CAST(sum(CASE WHEN token_id > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_known,
+    CAST(sum(CASE WHEN token_id = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_unk FROM ids GROUP BY site"""))
+def vocab_apply(spark, sf):
+    ids = D(spark, sf).token_ids()
+    return ids.groupBy("site").agg(F.sum((F.col("token_id") > 0).cast("long")).alias("n_known"),
+                                   F.sum((F.col("token_id") == 0).cast("long")).alias("n_unk"))
+
+
+@query("event_order", sql(f"""SELECT site, subject_id, token,
+    row_number() OVER (PARTITION BY site, subject_id ORDER BY {ORD}) AS pos FROM ids"""))
+def event_order(spark, sf):
+    from pyspark.sql import Window
+    ids = D(spark, sf).token_ids()
+    w = Window.partitionBy("site", "subject_id").orderBy("time", tkz.prefix_rank("prefix", drv.ORDERING), "token")
+    return ids.select("site", "subject_id", "token", F.row_number().over(w).cast("long").alias("pos"))
+
+
+def _text(c):
+    return F.array_join(F.col(c).cast("array<string>"), " ")
+
+
+@query("timeline_build", sql("""SELECT site, subject_id, split, array_to_string(tokens, ' ') AS tokens,
+    CAST(len(tokens) AS INTEGER) AS n FROM timelines"""))
+def timeline_build(spark, sf):
+    tl = D(spark, sf).timelines()
+    return tl.select("site", "subject_id", "split", _text("tokens").alias("tokens"),
+                     F.array_size("tokens").alias("n"))
+
+
+@query("timeline_decode", sql(f"""SELECT site, subject_id, string_agg(token, ' ' ORDER BY {ORD}) AS tokens
+    FROM ids GROUP BY site, subject_id"""))
+def timeline_decode(spark, sf):
+    d = D(spark, sf)
+    dec = tkz.timeline_decode(d.timelines(), d.vocab(), keys=("site", "subject_id"))
+    return dec.select("site", "subject_id", F.array_join("tokens", " ").alias("tokens"))
+
+
+@query("token_lookup_join", sql(f"""SELECT site, subject_id, CAST(row_number() OVER (PARTITION BY site, subject_id ORDER BY {ORD}) - 1 AS INTEGER) AS pos,
+    token FROM ids"""))
+def token_lookup_join(spark, sf):
+    d = D(spark, sf)
+    ex = d.timelines().select("site", "subject_id", F.posexplode("tokens").alias("pos", "token_id"))
+    return ex.join(F.broadcast(d.vocab().df), "token_id", "left").select("site", "subject_id", "pos", "token")
+
+
+@query("f_list_map", sql(f"""SELECT site, subject_id, string_agg(token, ' ' ORDER BY {ORD}) AS tokens
+    FROM ids GROUP BY site, subject_id"""))
+def f_list_map(spark, sf):
+    """Element-wise id → token lookup with the order of the list kept."""
+    d = D(spark, sf)
+    dec = tkz.timeline_decode(d.timelines(), d.vocab(), keys=("site", "subject_id"))
+    return dec.select("site", "subject_id", F.array_join("tokens", " ").alias("tokens"))
+
+
+@query("gap_spacers", sql(f"""SELECT site, label AS token, count(*) AS n FROM (
+    SELECT site, CASE """ + " ".join(
+    f"WHEN gap >= {lo} THEN 'TIME//{name}'" for name, lo in reversed(tkz.SPACERS)) + f""" END AS label FROM (
+        SELECT site, date_diff('microsecond', lag(time) OVER (PARTITION BY site, subject_id ORDER BY {ORD}), time) / 60000000.0 AS gap
+        FROM ids)) WHERE label IS NOT NULL GROUP BY site, label"""))
+def gap_spacers(spark, sf):
+    ids = D(spark, sf).token_ids()
+    sp = tkz.gap_spacers(ids.select("site", "subject_id", "time", "prefix", "token"))
+    return sp.filter(F.col("prefix") == "TIME").groupBy("site", "token").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("clock_tokens", sql("""SELECT site, 'CLCK//' || strftime(t, '%H') AS token, count(*) AS n FROM (
+    SELECT site, unnest(generate_series(date_trunc('hour', start_time) + to_hours(CAST(4 - hour(start_time) % 4 AS BIGINT)),
+        end_time, INTERVAL 4 HOUR)) AS t FROM subjects) GROUP BY ALL"""))
+def clock_tokens(spark, sf):
+    ck = tkz.clock_tokens(D(spark, sf).subjects())
+    return ck.groupBy("site", "token").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("time_positions", sql("""SELECT site, subject_id, array_to_string(list_transform(times,
+    lambda t: CAST(floor(date_diff('microsecond', times[1], t) / 300000000.0) AS INTEGER)), ' ') AS positions FROM timelines"""))
+def time_positions(spark, sf):
+    tp = tkz.time_positions(D(spark, sf).timelines())
+    return tp.select("site", "subject_id", _text("positions").alias("positions"))
+
+
+# ====================================================================== winnow
+def _outcomes(d):
+    return wnw.outcome_tokens(d.vocab().df, drv.OUTCOMES)
+
+
+def _winnowed(d):
+    return wnw.winnow_duration(d.token_ids(), drv.WINNOW_SECONDS)
+
+
+def _flags(d):
+    return wnw.outcome_flags(_winnowed(d), d.subjects(), _outcomes(d))
+
+
+@query("winnow_duration", sql("""SELECT site, subject_id, split, array_to_string(tokens_past, ' ') AS tokens_past,
+    CAST(len(tokens) - len(tokens_past) AS INTEGER) AS n_future FROM infr"""))
+def winnow_duration(spark, sf):
+    d = D(spark, sf)
+    rows = wnw.inference_rows(_winnowed(d), keys=("site", "subject_id", "split"), ordering=drv.ORDERING)
+    return rows.select("site", "subject_id", "split", _text("tokens_past").alias("tokens_past"),
+                       (F.array_size("tokens") - F.array_size("tokens_past")).alias("n_future"))
+
+
+@query("winnow_first_occurrence", sql("""SELECT site, subject_id, CAST(sum(CASE WHEN past THEN 1 ELSE 0 END) AS BIGINT) AS n_past, count(*) AS n FROM (
+    SELECT site, subject_id, cut IS NULL OR time <= cut AS past FROM (
+        SELECT *, min(CASE WHEN token = 'LABEL//purchase_init' THEN time END) OVER (PARTITION BY site, subject_id) AS cut FROM ids))
+    GROUP BY site, subject_id"""))
+def winnow_first_occurrence(spark, sf):
+    w = wnw.winnow_first_occurrence(D(spark, sf).token_ids(), "LABEL//purchase_init")
+    return w.groupBy("site", "subject_id").agg(F.sum(F.col("past").cast("long")).alias("n_past"),
+                                               F.count(F.lit(1)).alias("n"))
+
+
+@query("outcome_flags", sql("SELECT site, subject_id, outcome, past, future FROM flags"))
+def outcome_flags(spark, sf):
+    return _flags(D(spark, sf))
+
+
+@query("any_flag", sql("SELECT site, subject_id, outcome, past OR future AS ever FROM flags"))
+def any_flag(spark, sf):
+    f = _flags(D(spark, sf))
+    return f.select("site", "subject_id", "outcome", (F.col("past") | F.col("future")).alias("ever"))
+
+
+@query("filter_flag", sql("SELECT site, subject_id FROM flags WHERE outcome = 'LABEL//purchase_init' AND past"))
+def filter_flag(spark, sf):
+    d = D(spark, sf)
+    outs = _outcomes(d)
+    wide = wnw.flags_wide(_flags(d), outs)
+    return wide.filter(F.col("`LABEL//purchase_init_past`")).select("site", "subject_id")
+
+
+@query("melt_flags", sql("""SELECT site, subject_id, outcome || '_past' AS col, past AS flag FROM flags
+    UNION ALL SELECT site, subject_id, outcome || '_future', future FROM flags"""))
+def melt_flags(spark, sf):
+    d = D(spark, sf)
+    outs = _outcomes(d)
+    wide = wnw.flags_wide(_flags(d), outs)
+    cols = [f"`{o}_{h}`" for o in outs for h in ("past", "future")]
+    long = wide.select("site", "subject_id", *[F.col(c).alias(c.strip("`")) for c in cols])
+    return melt(long, ["site", "subject_id"], [f"`{c.strip('`')}`" for c in cols], "col", "flag")
+
+
+@query("winnow_splits", sql("""SELECT split, count(*) AS n_rows, CAST(sum(len(tokens_past)) AS BIGINT) AS n_past_tokens
+    FROM infr GROUP BY split"""))
+def winnow_splits(spark, sf):
+    d = D(spark, sf)
+    rows = wnw.inference_rows(_winnowed(d), keys=("site", "subject_id", "split"), ordering=drv.ORDERING)
+    return rows.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"),
+                                     F.sum(F.array_size("tokens_past")).cast("long").alias("n_past_tokens"))
+
+
+@query("lookup_subject", sql(f"""SELECT site, subject_id, string_agg('<' || token || '>', ', ' ORDER BY {ORD}) AS text
+    FROM ids WHERE subject_id = (SELECT min(subject_id) FROM flags WHERE outcome = 'LABEL//purchase_init' AND past
+        AND site = (SELECT min(site) FROM flags)) GROUP BY site, subject_id"""))
+def lookup_subject(spark, sf):
+    """One timeline as text: the smallest subject of the first site with the
+    outcome in its past (the lookup itself is the feature)."""
+    d = D(spark, sf)
+    f = _flags(d)
+    first_site = f.agg(F.min("site")).first()[0]
+    sid = (f.filter((F.col("outcome") == "LABEL//purchase_init") & F.col("past") & (F.col("site") == first_site))
+           .agg(F.min("subject_id")).first()[0])
+    dec = tkz.timeline_decode(d.timelines().filter(F.col("subject_id") == sid), d.vocab(),
+                              keys=("site", "subject_id"))
+    return dec.select("site", "subject_id", S.tokens_text("tokens").alias("text"))
+
+
+# ====================================================================== features
+@query("features_counts", sql("""SELECT site, subject_id, token_id, count(*) AS n FROM wn WHERE past
+    GROUP BY site, subject_id, token_id"""))
+def features_counts(spark, sf):
+    from timeloom.operators.models import counts_long
+    return counts_long(_winnowed(D(spark, sf)).filter("past"))
+
+
+@query("features_onehot", sql("SELECT DISTINCT site, subject_id, token_id, 1 AS n FROM wn WHERE past"))
+def features_onehot(spark, sf):
+    from timeloom.operators.models import counts_long
+    return counts_long(_winnowed(D(spark, sf)).filter("past"), binary=True)
+
+
+@query("n_tokens_prefix", sql("SELECT site, subject_id, CAST(len(tokens_past) AS INTEGER) AS n_tokens_prefix FROM infr"))
+def n_tokens_prefix(spark, sf):
+    rows = wnw.inference_rows(_winnowed(D(spark, sf)), ordering=drv.ORDERING)
+    return rows.select("site", "subject_id", F.array_size("tokens_past").alias("n_tokens_prefix"))
