@@ -460,3 +460,433 @@ def features_onehot(spark, sf):
 def n_tokens_prefix(spark, sf):
     rows = wnw.inference_rows(_winnowed(D(spark, sf)), ordering=drv.ORDERING)
     return rows.select("site", "subject_id", F.array_size("tokens_past").alias("n_tokens_prefix"))
+
+
+# ====================================================================== describe
+from timeloom.plans.oracle import CTES as _C  # noqa: E402
+
+_C.update({
+    "tl_all": """SELECT t.*, r.c_acctbal FROM timelines t JOIN ref r ON t.site = r.site AND t.subject_id = r.subject_id""",
+    "rates": """SELECT site, outcome, avg(CAST(past OR future AS INTEGER)) AS rate_ever,
+        avg(CAST(future AS INTEGER)) AS rate_future FROM flags GROUP BY site, outcome""",
+})
+
+
+@query("token_counts", sql("SELECT site, token, n_occurrences, n_timelines_with_token FROM tstats"))
+def token_counts(spark, sf):
+    return dsc.token_counts(D(spark, sf).token_ids())
+
+
+@query("token_prevalence", sql("SELECT site, token, round(prevalence, 9) AS prevalence FROM tstats"))
+def token_prevalence(spark, sf):
+    return _stats(spark, sf).select("site", "token", r9("prevalence").alias("prevalence"))
+
+
+@query("token_frequency", sql("SELECT site, token, round(frequency, 9) AS frequency FROM tstats"))
+def token_frequency(spark, sf):
+    return _stats(spark, sf).select("site", "token", r9("frequency").alias("frequency"))
+
+
+@query("distinct_groups", sql("SELECT DISTINCT grp FROM qtok ORDER BY grp"))
+def distinct_groups(spark, sf):
+    return dsc.quantized_groups(_stats(spark, sf)).select("grp").distinct().orderBy("grp")
+
+
+def _qgrid(spark, sf):
+    from pyspark.sql import Window
+    q = dsc.quantized_groups(_stats(spark, sf))
+    n = q.select("site").distinct().count()
+    w = Window.partitionBy("grp")
+    q = q.withColumn("k", F.size(F.collect_set("site").over(w))).filter(F.col("k") == n)
+    bins = q.select("grp", "token").distinct()
+    sites = q.select("grp", "site").distinct()
+    return (bins.join(sites, "grp").join(q.select("grp", "site", "token", F.col("frequency").alias("v")),
+                                         ["grp", "site", "token"], "left"))
+
+
+@query("share_of_group", sql("SELECT grp, site, token, round(v / tot, 9) AS share FROM qcum"))
+def share_of_group(spark, sf):
+    from timeloom.operators.relational import share_of_group as sog
+    g = sog(_qgrid(spark, sf), ["grp", "site"], "v")
+    return g.select("grp", "site", "token", r9("share").alias("share"))
+
+
+@query("cumulative_share", sql("SELECT grp, site, token, round(cum, 9) AS cum FROM qcum"))
+def cumulative_share(spark, sf):
+    from timeloom.operators.relational import cumulative_share as cs, share_of_group as sog
+    g = sog(_qgrid(spark, sf), ["grp", "site"], "v")
+    return cs(g, ["grp", "site"], "token", "share").select("grp", "site", "token", r9("cum").alias("cum"))
+
+
+@query("site_pairs", sql("""SELECT a.site AS site_a, b.site AS site_b FROM (SELECT DISTINCT site FROM subjects) a
+    JOIN (SELECT DISTINCT site FROM subjects) b ON a.site < b.site"""))
+def site_pairs(spark, sf):
+    return dsc.site_pairs(D(spark, sf).subjects())
+
+
+@query("mean_pairwise", sql("""SELECT sa AS site_a, sb AS site_b, round(avg(w1), 9) AS w1 FROM (
+    SELECT a.grp, a.site AS sa, b.site AS sb, sum(abs(a.cum - b.cum)) AS w1 FROM qcum a JOIN qcum b
+    ON a.grp = b.grp AND a.token = b.token AND a.site < b.site GROUP BY a.grp, a.site, b.site) GROUP BY sa, sb"""))
+def mean_pairwise(spark, sf):
+    """Per pair of sites, the W1 averaged over groups. The pair list is the
+    (small, fixed) set of sites, joined per (group, bin)."""
+    from timeloom.operators.relational import cumulative_share as cs, share_of_group as sog
+    g = cs(sog(_qgrid(spark, sf), ["grp", "site"], "v"), ["grp", "site"], "token", "share")
+    a = g.select("grp", "token", F.col("site").alias("site_a"), F.col("cum").alias("ca"))
+    b = g.select("grp", "token", F.col("site").alias("site_b"), F.col("cum").alias("cb"))
+    w = (a.join(b, ["grp", "token"]).filter("site_a < site_b")
+         .groupBy("grp", "site_a", "site_b").agg(F.sum(F.abs(F.col("ca") - F.col("cb"))).alias("w1")))
+    return dsc.mean_pairwise(w, ["site_a", "site_b"]).select("site_a", "site_b", r9("w1").alias("w1"))
+
+
+@query("outcome_rates", sql("SELECT site, outcome, round(rate_ever, 9) AS rate_ever, round(rate_future, 9) AS rate_future FROM rates"))
+def outcome_rates(spark, sf):
+    r = dsc.outcome_rates(_flags(D(spark, sf)))
+    return r.select("site", "outcome", r9("rate_ever").alias("rate_ever"), r9("rate_future").alias("rate_future"))
+
+
+# Segment shares reported by name, the rest as "other".
+SEGMENTS = ["automobile", "building", "furniture"]
+
+
+def _demog_sql(group: str, site_expr: str) -> str:
+    segs = ", ".join(f"round(avg(CAST(lower(c_mktsegment) = '{s}' AS INTEGER)), 9) AS freq_seg_{s}" for s in SEGMENTS)
+    inlist = ", ".join(f"'{s}'" for s in SEGMENTS)
+    return f"""SELECT {site_expr} AS site, count(*) AS count, round(avg(c_acctbal), 9) AS age_avg,
+        round(stddev_samp(c_acctbal), 9) AS age_std, {segs},
+        round(avg(CAST(lower(c_mktsegment) NOT IN ({inlist}) AS INTEGER)), 9) AS freq_seg_other FROM ref {group}"""
+
+
+def _demog_cols(df):
+    return df.select(*[r9(c).alias(c) if c not in ("site", "count") else F.col(c) for c in df.columns])
+
+
+@query("demographics_table", sql(_demog_sql("GROUP BY site", "site")))
+def demographics_table(spark, sf):
+    d = dsc.demographics_table(D(spark, sf).ref(), age="c_acctbal",
+                               categories={"c_mktsegment": (SEGMENTS, "seg_", True)})
+    return _demog_cols(d)
+
+
+@query("pooled_rollup", sql(_demog_sql("GROUP BY ROLLUP (site)", "coalesce(site, 'all')")))
+def pooled_rollup(spark, sf):
+    """Per-site statistics and the pooled 'all' row from one ``rollup``."""
+    ref = D(spark, sf).ref()
+    low = F.lower("c_mktsegment")
+    aggs = [F.count(F.lit(1)).alias("count"), F.avg("c_acctbal").alias("age_avg"),
+            F.stddev_samp("c_acctbal").alias("age_std")]
+    aggs += [F.avg((low == s).cast("int")).alias(f"freq_seg_{s}") for s in SEGMENTS]
+    aggs += [F.avg((~low.isin(SEGMENTS)).cast("int")).alias("freq_seg_other")]
+    r = ref.rollup("site").agg(*aggs)
+    r = r.withColumn("site", F.coalesce("site", F.lit("all")))
+    return _demog_cols(r)
+
+
+@query("timeline_stats", sql("""SELECT site, count(*) AS count, round(avg(len(tokens)), 9) AS avg_tkns,
+    round(median(len(tokens)), 9) AS med_tkns,
+    round(avg(date_diff('microsecond', times[1], times[-1]) / 1e6), 6) AS avg_los_s,
+    round(median(date_diff('microsecond', times[1], times[-1]) / 1e6), 6) AS med_los_s FROM timelines GROUP BY site"""))
+def timeline_stats(spark, sf):
+    t = dsc.timeline_stats(D(spark, sf).timelines())
+    return t.select("site", "count", r9("avg_tkns").alias("avg_tkns"), r9(F.col("med_tkns").cast("double")).alias("med_tkns"),
+                    F.round("avg_los_s", 6).alias("avg_los_s"), F.round("med_los_s", 6).alias("med_los_s"))
+
+
+@query("training_volume", sql("""SELECT site, CAST(sum(len(tokens)) AS BIGINT) AS n_tokens, count(*) AS n_rows,
+    round(avg(CAST(trunc(date_diff('microsecond', list_min(times), list_max(times)) / 86400000000) AS BIGINT)), 9) AS avg_days
+    FROM timelines WHERE split = 'train' GROUP BY site"""))
+def training_volume(spark, sf):
+    t = dsc.training_volume(D(spark, sf).timelines().filter(F.col("split") == "train"))
+    return t.select("site", F.col("n_tokens").cast("long").alias("n_tokens"), "n_rows", r9("avg_days").alias("avg_days"))
+
+
+@query("prompt_stats", sql("""SELECT site, round(avg(len(tokens_past)), 9) AS avg_prompt_len, count(*) AS n_rows
+    FROM infr WHERE split = 'held_out' GROUP BY site"""))
+def prompt_stats(spark, sf):
+    rows = wnw.inference_rows(_winnowed(D(spark, sf)), keys=("site", "subject_id", "split"), ordering=drv.ORDERING)
+    p = dsc.prompt_stats(rows.filter(F.col("split") == "held_out"))
+    return p.select("site", r9("avg_prompt_len").alias("avg_prompt_len"), "n_rows")
+
+
+@query("type_counts", sql("SELECT split_part(token, '//', 1) AS type, count(*) AS n FROM vocab GROUP BY 1"))
+def type_counts(spark, sf):
+    return dsc.type_counts(D(spark, sf).vocab().df)
+
+
+def _sites(spark, sf):
+    return [r[0] for r in D(spark, sf).subjects().select("site").distinct().orderBy("site").collect()]
+
+
+@query("pivot_sites", sql("""PIVOT (SELECT token, site, round(frequency, 9) AS f FROM tstats) ON site USING first(f) GROUP BY token"""))
+def pivot_sites(spark, sf):
+    s = _stats(spark, sf).select("token", "site", r9("frequency").alias("f"))
+    return pivot_checked(s, "token", "site", "f", _sites(spark, sf))
+
+
+@query("transpose_table", sql("""PIVOT (UNPIVOT (SELECT site, round(rate_ever, 9) AS rate_ever, round(rate_future, 9) AS rate_future
+    FROM rates WHERE outcome = 'LABEL//purchase_init') ON rate_ever, rate_future INTO NAME stat VALUE v) ON site USING first(v) GROUP BY stat"""))
+def transpose_table_q(spark, sf):
+    r = dsc.outcome_rates(_flags(D(spark, sf))).filter(F.col("outcome") == "LABEL//purchase_init")
+    r = r.select("site", r9("rate_ever").alias("rate_ever"), r9("rate_future").alias("rate_future"))
+    return transpose_table(r, "site", "stat")
+
+
+@query("union_sites", sql("""SELECT site, count(*) AS n_timelines, round(avg(len(tokens)), 9) AS avg_len FROM timelines GROUP BY site
+    UNION ALL SELECT 'all', count(*), round(avg(len(tokens)), 9) FROM timelines"""))
+def union_sites(spark, sf):
+    tl = D(spark, sf).timelines()
+    per = tl.groupBy("site").agg(F.count(F.lit(1)).alias("n_timelines"), F.avg(F.array_size("tokens")).alias("avg_len"))
+    pooled = tl.agg(F.count(F.lit(1)).alias("n_timelines"), F.avg(F.array_size("tokens")).alias("avg_len")) \
+        .withColumn("site", F.lit("all"))
+    return union_all([per, pooled]).select("site", "n_timelines", r9("avg_len").alias("avg_len"))
+
+
+# The report order of outcomes.
+OUTCOME_ORDER = ["LABEL//purchase_init", "LABEL//highval_init", "LABEL//error_init"]
+
+
+@query("custom_order", sql("""SELECT site, outcome, round(rate_ever, 9) AS rate_ever,
+    CAST(coalesce(list_position(['""" + "', '".join(OUTCOME_ORDER) + """'], outcome), 0) AS INTEGER) AS ord FROM rates
+    ORDER BY ord, site"""))
+def custom_order_q(spark, sf):
+    r = dsc.outcome_rates(_flags(D(spark, sf))).select("site", "outcome", r9("rate_ever").alias("rate_ever"))
+    o = custom_order(r, "outcome", OUTCOME_ORDER)
+    return o.withColumn("ord", F.col("ord").cast("int")).orderBy("ord", "site")
+
+
+@query("seeded_sample", sql(f"""SELECT site, subject_id FROM (SELECT site, subject_id, row_number() OVER (PARTITION BY site
+    ORDER BY ('0x' || substr(md5(CAST(subject_id AS VARCHAR) || '|0'), 1, 8))::BIGINT, subject_id) AS rn FROM subjects) WHERE rn <= 20"""))
+def seeded_sample_q(spark, sf):
+    """20 subjects per site by a seeded hash (the sample is the feature)."""
+    return seeded_sample(D(spark, sf).subjects(), "site", "subject_id", 20, seed=0).select("site", "subject_id")
+
+
+# ---------------------------------------------------------------- list & string functions
+@query("f_regex_extract", sql("SELECT DISTINCT token, regexp_extract(token, '^(.+)_Q[0-9]$', 1) AS grp FROM ids WHERE regexp_matches(token, '_Q[0-9]$')"))
+def f_regex_extract(spark, sf):
+    t = D(spark, sf).token_ids().select("token").distinct().filter(F.col("token").rlike(dsc.BIN_TOKEN))
+    return t.select("token", F.regexp_extract("token", dsc.BIN_GROUP, 1).alias("grp"))
+
+
+@query("filter_regex", sql("SELECT token FROM vocab WHERE regexp_matches(token, '_Q[0-9]$')"))
+def filter_regex(spark, sf):
+    return D(spark, sf).vocab().df.filter(F.col("token").rlike(dsc.BIN_TOKEN)).select("token")
+
+
+@query("filter_glob", sql("""SELECT token FROM vocab WHERE regexp_matches(token, '""" +
+                          S.globs_to_regex(["LABEL//*", "VAL//click_Q?", "SEG//[ab]*"]) + "')"))
+def filter_glob(spark, sf):
+    v = D(spark, sf).vocab().df
+    return v.filter(S.matches_any_glob("token", ["LABEL//*", "VAL//click_Q?", "SEG//[ab]*"])).select("token")
+
+
+@query("f_split_first_last", sql("""SELECT token, split_part(token, '//', 1) AS first, split_part(token, '//', -1) AS last,
+    split_part(token, '_', -1) AS tail FROM vocab"""))
+def f_split_first_last(spark, sf):
+    v = D(spark, sf).vocab().df
+    return v.select("token", S.split_first("token").alias("first"), S.split_last("token").alias("last"),
+                    S.rsplit_last("token").alias("tail"))
+
+
+@query("f_affix", sql("""SELECT token, trim(upper(regexp_replace(split_part(token, '//', -1), '_init$', ''))) AS short
+    FROM vocab WHERE token LIKE 'LABEL//%'"""))
+def f_affix(spark, sf):
+    v = D(spark, sf).vocab().df.filter(F.col("token").startswith("LABEL//"))
+    return v.select("token", S.strip_suffix_upper(S.split_last("token"), "_init").alias("short"))
+
+
+def _decoded(spark, sf):
+    d = D(spark, sf)
+    return tkz.timeline_decode(d.timelines(), d.vocab(), keys=("site", "subject_id"))
+
+
+@query("f_array_join", sql(f"""SELECT site, subject_id, string_agg('<' || token || '>', ', ' ORDER BY {ORD}) AS text
+    FROM ids GROUP BY site, subject_id"""))
+def f_array_join(spark, sf):
+    return _decoded(spark, sf).select("site", "subject_id", S.tokens_text("tokens").alias("text"))
+
+
+@query("f_list_len", sql("SELECT site, subject_id, CAST(len(tokens) AS INTEGER) AS n FROM timelines"))
+def f_list_len(spark, sf):
+    return D(spark, sf).timelines().select("site", "subject_id", S.list_len("tokens").alias("n"))
+
+
+@query("f_list_ends", sql("""SELECT site, subject_id, times[1] AS first, times[-1] AS last, list_min(times) AS tmin,
+    list_max(times) AS tmax FROM timelines"""))
+def f_list_ends(spark, sf):
+    t = D(spark, sf).timelines()
+    return t.select("site", "subject_id", S.list_first("times").alias("first"), S.list_last("times").alias("last"),
+                    F.array_min("times").alias("tmin"), F.array_max("times").alias("tmax"))
+
+
+def _purchase_id(d):
+    return d.vocab().df.filter(F.col("token") == "LABEL//purchase_init").first()["token_id"]
+
+
+@query("f_list_contains", sql("""SELECT site, subject_id, coalesce(list_contains(tokens_past,
+    (SELECT token_id FROM vocab WHERE token = 'LABEL//purchase_init')), false) AS has FROM infr"""))
+def f_list_contains(spark, sf):
+    d = D(spark, sf)
+    rows = wnw.inference_rows(_winnowed(d), ordering=drv.ORDERING)
+    return rows.select("site", "subject_id", S.list_contains("tokens_past", F.lit(_purchase_id(d))).alias("has"))
+
+
+@query("f_list_count", sql("""SELECT site, subject_id, CAST(len(list_filter(tokens, lambda x: x = b.token_id)) AS INTEGER) AS n_bos,
+    CAST(len(list_filter(tokens, lambda x: x = 0)) AS INTEGER) AS n_unk FROM timelines, (SELECT token_id FROM vocab WHERE token = 'BOS') b"""))
+def f_list_count(spark, sf):
+    d = D(spark, sf)
+    bos = d.vocab().df.filter(F.col("token") == "BOS").first()["token_id"]
+    return d.timelines().select("site", "subject_id", S.list_count("tokens", F.lit(bos)).alias("n_bos"),
+                                S.list_count("tokens", F.lit(0)).alias("n_unk"))
+
+
+@query("f_list_slice", sql("SELECT site, subject_id, array_to_string(tokens[1:5], ' ') AS head FROM timelines"))
+def f_list_slice(spark, sf):
+    t = D(spark, sf).timelines()
+    return t.select("site", "subject_id", F.array_join(S.list_slice("tokens", 5).cast("array<string>"), " ").alias("head"))
+
+
+@query("f_duration", sql("""SELECT site, subject_id, CAST(trunc(date_diff('microsecond', list_min(times), list_max(times)) / 86400000000) AS BIGINT) AS days,
+    round(date_diff('microsecond', times[1], times[-1]) / 1e6, 6) AS seconds FROM timelines"""))
+def f_duration(spark, sf):
+    t = D(spark, sf).timelines()
+    span = F.timestamp_diff("MICROSECOND", F.array_min("times"), F.array_max("times"))
+    return t.select("site", "subject_id", S.trunc_div(span, 86400000000).alias("days"),
+                    F.round(F.timestamp_diff("MICROSECOND", S.list_first("times"), S.list_last("times")) / 1e6, 6)
+                    .alias("seconds"))
+
+
+# ====================================================================== harmonize
+from timeloom.operators import harmonize as hz  # noqa: E402
+
+# Unit factors to the preferred unit 'unit' (PROMO has none).
+UNIT_FACTORS = [("SMALL", "unit", 1.0), ("MEDIUM", "unit", 2.0), ("LARGE", "unit", 4.0),
+                ("ECONOMY", "unit", 0.5), ("STANDARD", "unit", 1.5)]
+
+
+@query("convert_dose_units", """SELECT p.p_type AS unit, CASE WHEN f.factor IS NULL THEN 'unknown unit' ELSE 'success' END AS status,
+    count(*) AS n, round(sum(l.l_quantity * f.factor), 6) AS dose FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+    LEFT JOIN (VALUES """ + ", ".join(f"('{u}', '{t}', {f})" for u, t, f in UNIT_FACTORS) +
+       """) f(u, t, factor) ON p.p_type = f.u GROUP BY 1, 2""")
+def convert_dose_units(spark, sf):
+    d = D(spark, sf)
+    li = d.t("lineitem").join(d.t("part"), F.col("l_partkey") == F.col("p_partkey"))
+    factors = spark.createDataFrame(UNIT_FACTORS, "from_unit string, to_unit string, factor double")
+    c = hz.convert_dose_units(li, factors, "p_brand", "l_quantity", "p_type")
+    return c.groupBy(F.col("p_type").alias("unit"), F.col("_convert_status").alias("status")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("dose_converted"), 6).alias("dose"))
+
+
+@query("forward_fill", """SELECT event_id, last_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled FROM
+    (SELECT event_id, user_id, ts, CASE WHEN event_type = 'view' THEN value END AS v FROM events)""")
+def forward_fill(spark, sf):
+    """Per user, the last 'view' value carried forward. Rows are bucketed by
+    day, so a user with many events is not one task."""
+    e = D(spark, sf).t("events").select("event_id", "user_id", "ts",
+                                         F.when(F.col("event_type") == "view", F.col("value")).alias("filled"))
+    f = hz.forward_fill(e, ["user_id"], "ts", ["filled"], bucket=F.to_date("ts"))
+    return f.select("event_id", "filled")
+
+
+# Severity cut-offs per event type (score = cut-offs reached).
+CUTOFFS = {"click": [50.0, 100.0, 200.0, 300.0], "error": [20.0, 60.0, 120.0, 240.0],
+           "purchase": [100.0, 150.0, 250.0, 350.0]}
+
+
+def _sev_sql():
+    parts = []
+    for comp, cuts in CUTOFFS.items():
+        n = " + ".join(f"CASE WHEN w >= {c} THEN 1 ELSE 0 END" for c in cuts)
+        parts.append(f"CAST(coalesce(max(CASE WHEN event_type = '{comp}' THEN {n} END), 0) AS INTEGER) AS sev_{comp}")
+    return parts
+
+
+_SEV = ("""SELECT user_id AS group_id, day, """ + ", ".join(_sev_sql()) + """ FROM (
+    SELECT user_id, CAST(ts AS DATE) AS day, event_type, max(value) AS w FROM events
+    WHERE event_type IN ('click', 'error', 'purchase') GROUP BY 1, 2, 3) GROUP BY 1, 2""")
+
+
+def _severity(spark, sf):
+    e = D(spark, sf).t("events").select(F.col("user_id").alias("group_id"), F.to_date("ts").alias("day"),
+                                         "event_type", "value")
+    return hz.severity_score(e, ["group_id", "day"], "event_type", "value", CUTOFFS)
+
+
+@query("severity_score", f"""SELECT *, sev_click + sev_error + sev_purchase AS sev_total FROM ({_SEV})""")
+def severity_score(spark, sf):
+    return _severity(spark, sf)
+
+
+@query("ev_severity", f"""SELECT group_id, day, code FROM (
+    SELECT group_id, day, 'click-' || CAST(sev_click AS VARCHAR) AS code, sev_click AS s FROM ({_SEV})
+    UNION ALL SELECT group_id, day, 'error-' || CAST(sev_error AS VARCHAR), sev_error FROM ({_SEV})
+    UNION ALL SELECT group_id, day, 'purchase-' || CAST(sev_purchase AS VARCHAR), sev_purchase FROM ({_SEV})) WHERE s > 0""")
+def ev_severity(spark, sf):
+    """Component scores above 0 as event codes like ``click-2``."""
+    s = _severity(spark, sf)
+    comps = list(CUTOFFS)
+    long = s.unpivot(["group_id", "day"], [f"sev_{c}" for c in comps], "comp", "s")
+    return long.filter(F.col("s") > 0).select(
+        "group_id", "day", F.concat(F.regexp_replace("comp", "^sev_", ""), F.lit("-"), F.col("s").cast("string")).alias("code"))
+
+
+_C.update({
+    "blocks": """SELECT *, CAST(sum(nb) OVER (PARTITION BY patient_id ORDER BY start_time ASC NULLS FIRST, stay_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS encounter_block FROM (
+        SELECT *, CASE WHEN pe IS NULL OR start_time > pe + INTERVAL 6 HOUR THEN 1 ELSE 0 END AS nb FROM (
+            SELECT *, max(end_time) OVER (PARTITION BY patient_id ORDER BY start_time ASC NULLS FIRST, stay_id
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM stays))""",
+    "bsum": """SELECT patient_id, encounter_block, max(start_time) AS max_time,
+            max(stay_id) FILTER (WHERE rk = 1) AS last_stay_id FROM (
+            SELECT *, row_number() OVER (PARTITION BY patient_id, encounter_block ORDER BY start_time DESC, stay_id DESC) AS rk
+            FROM blocks WHERE stay_id IS NOT NULL) GROUP BY patient_id, encounter_block""",
+})
+
+
+def _blocks(spark, sf):
+    return hz.encounter_block(D(spark, sf).stays(), "patient_id", "start_time", "end_time", gap_hours=6)
+
+
+@query("encounter_block", sql("SELECT stay_id, patient_id, encounter_block FROM blocks"))
+def encounter_block(spark, sf):
+    return _blocks(spark, sf).select("stay_id", "patient_id", "encounter_block")
+
+
+def _block_summary(spark, sf):
+    b = _blocks(spark, sf).withColumn("_t", F.struct("start_time", "stay_id"))
+    s = hz.block_summary(b, ["patient_id", "encounter_block"], "_t", "stay_id")
+    return s.select("patient_id", "encounter_block", F.col("max_time.start_time").alias("max_time"),
+                    "last_stay_id")
+
+
+@query("block_summary", sql("SELECT patient_id, encounter_block, max_time, last_stay_id FROM bsum"))
+def block_summary(spark, sf):
+    return _block_summary(spark, sf)
+
+
+@query("score_join", sql("""SELECT s.patient_id, s.encounter_block, s.last_stay_id, round(t.total, 6) AS total
+    FROM bsum s JOIN (SELECT b.patient_id, b.encounter_block, sum(o.o_totalprice) AS total FROM blocks b
+        JOIN orders o ON o.o_orderkey = b.stay_id GROUP BY 1, 2) t
+    ON s.patient_id = t.patient_id AND s.encounter_block = t.encounter_block"""))
+def score_join(spark, sf):
+    """Block summary ⋈ per-block totals, promised 1:1 and checked."""
+    d = D(spark, sf)
+    b = _blocks(spark, sf).join(d.t("orders").select(F.col("o_orderkey").alias("stay_id"), "o_totalprice"), "stay_id")
+    tot = b.groupBy("patient_id", "encounter_block").agg(F.sum("o_totalprice").alias("total"))
+    j = checked_join(_block_summary(spark, sf), tot, ["patient_id", "encounter_block"], "inner", "1:1")
+    return j.select("patient_id", "encounter_block", "last_stay_id", F.round("total", 6).alias("total"))
+
+
+@query("validate_tables", """SELECT 'orders' AS tbl, 'null:o_orderdate' AS "check", CAST(count(*) FILTER (WHERE o_orderdate IS NULL) AS BIGINT) AS n_bad FROM orders
+    UNION ALL SELECT 'orders', 'domain:o_orderstatus', CAST(count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O', 'P')) AS BIGINT) FROM orders
+    UNION ALL SELECT 'orders', 'unique:o_orderkey', CAST(coalesce(sum(c - 1), 0) AS BIGINT) FROM (SELECT count(*) c FROM orders GROUP BY o_orderkey HAVING count(*) > 1)
+    UNION ALL SELECT 'lineitem', 'null:l_shipdate', CAST(count(*) FILTER (WHERE l_shipdate IS NULL) AS BIGINT) FROM lineitem
+    UNION ALL SELECT 'lineitem', 'unique:l_orderkey,l_linenumber', CAST(coalesce(sum(c - 1), 0) AS BIGINT) FROM
+        (SELECT count(*) c FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)""")
+def validate_tables(spark, sf):
+    d = D(spark, sf)
+    o = hz.validate_table(d.t("orders"), "orders", not_null=["o_orderdate"], keys=["o_orderkey"],
+                          domains={"o_orderstatus": ["F", "O", "P"]})
+    li = hz.validate_table(d.t("lineitem"), "lineitem", not_null=["l_shipdate"], keys=["l_orderkey", "l_linenumber"])
+    return o.unionByName(li)
