@@ -58,13 +58,19 @@ def first_per_group(df: DataFrame, group, order: list[Column]) -> DataFrame:
 
 
 def pivot_checked(df: DataFrame, index, column: str, value: str, values=None) -> DataFrame:
-    """Long → wide with one cell per (index, column); duplicates raise
-    instead of a silent pick. Passing ``values`` skips the distinct job."""
+    """Long → wide with one cell per (index, column); a duplicate cell raises
+    (S13) instead of a silent pick. The check rides in the same aggregation
+    (a count per cell and ``raise_error``), so there is no extra pass.
+    Passing ``values`` skips the job that finds the distinct pivot values."""
     idx = _keys(index)
-    join_guard(df.select(*idx, column), idx + [column], "pivot cells")
     g = df.groupBy(*idx)
     g = g.pivot(column, values) if values is not None else g.pivot(column)
-    return g.agg(F.first(value))
+    wide = g.agg(F.first(value).alias("v"), F.count(F.lit(1)).alias("n"))
+    names = values if values is not None else sorted(
+        {c.rsplit("_", 1)[0] for c in wide.columns if c not in idx})
+    out = [F.when(F.col(f"`{v}_n`") > 1, F.raise_error(F.lit(f"pivot: duplicate cell for column {v}")))
+           .otherwise(F.col(f"`{v}_v`")).alias(str(v)) for v in names]
+    return wide.select(*idx, *out)
 
 
 def grid_complete(spark, dims: dict, facts: DataFrame) -> DataFrame:

@@ -153,16 +153,18 @@ class Driver:
     # ------------------------------------------------------------ scores
     def scores(self) -> DataFrame:
         """Long score table: site, model, subject_id, outcome, past, future,
-        score. Two models (chars, words) × two outcomes (quality, toxic)."""
+        score. Three models (chars, words, source) × two outcomes (quality, toxic)."""
         d, lab = self.t("documents"), self.t("labels")
         j = d.join(lab, "doc_id").select(
             F.col("lang").alias("site"), F.col("doc_id").alias("subject_id"),
-            "quality", "toxic", "n_chars", "text")
+            "quality", "toxic", "n_chars", "text", "source")
         chars = F.least(F.col("n_chars").cast("double") / F.lit(20000.0), F.lit(1.0))
         words = (F.size(F.split(F.col("text"), " ")).cast("double")
                  / (F.col("n_chars").cast("double") + F.lit(1.0)))
+        source = F.substring("source", 4, 8).cast("double") / F.lit(50.0)
         models = F.array(F.struct(F.lit("chars").alias("model"), chars.alias("score")),
-                         F.struct(F.lit("words").alias("model"), words.alias("score")))
+                         F.struct(F.lit("words").alias("model"), words.alias("score")),
+                         F.struct(F.lit("source").alias("model"), source.alias("score")))
         outs = F.array(
             F.struct(F.lit("quality").alias("outcome"), F.lit(False).alias("past"),
                      (F.col("quality") == 1).alias("future")),

@@ -95,10 +95,11 @@ CTES: dict[str, str] = {
     "scores": """SELECT site, model, subject_id, outcome, past, future, score FROM (
         SELECT d.lang AS site, d.doc_id AS subject_id, l.quality, l.toxic, d.n_chars,
                least(CAST(d.n_chars AS DOUBLE) / 20000.0::DOUBLE, 1.0::DOUBLE) AS s_chars,
-               CAST(len(string_split(d.text, ' ')) AS DOUBLE) / (CAST(d.n_chars AS DOUBLE) + 1.0::DOUBLE) AS s_words
+               CAST(len(string_split(d.text, ' ')) AS DOUBLE) / (CAST(d.n_chars AS DOUBLE) + 1.0::DOUBLE) AS s_words,
+               CAST(substr(d.source, 4, 8) AS DOUBLE) / 50.0::DOUBLE AS s_source
         FROM documents d JOIN labels l ON d.doc_id = l.doc_id) j,
-        (VALUES ('chars'), ('words')) m(model), (VALUES ('quality'), ('toxic')) o(outcome),
-        LATERAL (SELECT CASE WHEN model = 'chars' THEN s_chars ELSE s_words END AS score,
+        (VALUES ('chars'), ('words'), ('source')) m(model), (VALUES ('quality'), ('toxic')) o(outcome),
+        LATERAL (SELECT CASE WHEN model = 'chars' THEN s_chars WHEN model = 'words' THEN s_words ELSE s_source END AS score,
                         CASE WHEN outcome = 'quality' THEN false ELSE (toxic = 1 AND n_chars < 1000) END AS past,
                         CASE WHEN outcome = 'quality' THEN quality = 1 ELSE toxic = 1 END AS future)""",
 }
