@@ -18,3 +18,58 @@ def counts_long(tokens: DataFrame, keys=("site", "subject_id"), token: str = "to
     (e.g. the past half); ``binary`` gives presence (n = 1)."""
     g = tokens.groupBy(*keys, token)
     return g.agg(F.lit(1).alias("n")) if binary else g.agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- Spark ML
+from pyspark.ml.classification import GBTClassifier, LogisticRegression  # noqa: E402
+from pyspark.ml.feature import CountVectorizerModel  # noqa: E402
+from pyspark.ml.functions import array_to_vector, vector_to_array  # noqa: E402
+
+__all__ += ["sparse_features", "fit_logistic", "fit_boosted", "score_model", "rep_score"]
+
+
+def sparse_features(rows: DataFrame, vocab_ids: list, col: str = "tokens_past",
+                    binary: bool = False, out: str = "features") -> DataFrame:
+    """Token-id lists → SparseVector counts (or presence) over the vocabulary,
+    JVM-side; one vector column, not a column per token."""
+    cv = CountVectorizerModel.from_vocabulary([str(i) for i in vocab_ids], inputCol="_toks",
+                                              outputCol=out, binary=binary)
+    return cv.transform(rows.withColumn("_toks", F.col(col).cast("array<string>"))).drop("_toks")
+
+
+def fit_logistic(train: DataFrame, label: str = "label", features: str = "features", max_iter: int = 100):
+    """L2 logistic regression matching the common C = 1 default: Spark's
+    objective is the mean loss, so regParam = 1/n; no standardization."""
+    n = train.count()
+    lr = LogisticRegression(featuresCol=features, labelCol=label, regParam=1.0 / max(n, 1),
+                            elasticNetParam=0.0, standardization=False, maxIter=max_iter)
+    return lr.fit(train)
+
+
+def fit_boosted(train: DataFrame, label: str = "label", features: str = "features",
+                max_iter: int = 20, max_depth: int = 3, seed: int = 0):
+    """Gradient-boosted trees (a different algorithm from the source's
+    booster; compare by quality only)."""
+    return GBTClassifier(featuresCol=features, labelCol=label, maxIter=max_iter, maxDepth=max_depth,
+                         seed=seed).fit(train)
+
+
+def score_model(model, df: DataFrame, out: str = "score") -> DataFrame:
+    """Positive-class probability as a double column."""
+    return model.transform(df).withColumn(out, vector_to_array("probability")[1]).drop(
+        "rawPrediction", "probability", "prediction")
+
+
+def rep_score(train: DataFrame, test: DataFrame, vec: str = "embedding", label: str = "label",
+              folds: int = 3, seed: int = 0) -> DataFrame:
+    """Logistic regression on representation vectors, regularization chosen
+    by cross-validation ('logistic-CV')."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    tr = train.withColumn("features", array_to_vector(vec))
+    te = test.withColumn("features", array_to_vector(vec))
+    lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=50)
+    grid = ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.01, 0.1, 1.0]).build()
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, numFolds=folds, seed=seed,
+                        evaluator=BinaryClassificationEvaluator(labelCol=label))
+    return score_model(cv.fit(tr).bestModel, te)

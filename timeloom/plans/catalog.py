@@ -38,4 +38,4 @@ def D(spark, sf):
 
 
 # modules that register queries
-from timeloom.plans import q_core, q_domain, q_eval  # noqa: E402,F401
+from timeloom.plans import q_core, q_domain, q_eval, q_models  # noqa: E402,F401
