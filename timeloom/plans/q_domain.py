@@ -890,3 +890,49 @@ def validate_tables(spark, sf):
                           domains={"o_orderstatus": ["F", "O", "P"]})
     li = hz.validate_table(d.t("lineitem"), "lineitem", not_null=["l_shipdate"], keys=["l_orderkey", "l_linenumber"])
     return o.unionByName(li)
+
+
+@query("first_occurrence", sql("""SELECT site, subject_id, min(ts) AS time, 'LABEL' AS prefix,
+    arg_min(code, ts) AS code, CAST(NULL AS DOUBLE) AS numeric_value, CAST(NULL AS VARCHAR) AS text_value
+    FROM (SELECT *, 'first_' || event_type AS code FROM ev WHERE event_type = 'signup') GROUP BY site, subject_id"""))
+def first_occurrence(spark, sf):
+    """Per subject: the code of the earliest row and the earliest time, with
+    the aggregates given as SQL text (``min_by``, ``min``)."""
+    e = Entry("events", "LABEL", code="code", time="ts", filter_expr="event_type = 'signup'",
+              with_col_expr={"code": "concat('first_', event_type)"},
+              agg_expr=["min_by(code, ts) AS code", "min(ts) AS ts"])
+    return _collate(spark, sf, [e])
+
+
+def _med_rows(spark, sf):
+    d = D(spark, sf)
+    li = d.t("lineitem").join(d.t("part"), F.col("l_partkey") == F.col("p_partkey"))
+    li = li.join(d.t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    li = li.join(d.site_map(), F.col("o_custkey") == F.col("group_id"))
+    factors = spark.createDataFrame(UNIT_FACTORS, "from_unit string, to_unit string, factor double")
+    return hz.convert_dose_units(li, factors, "p_brand", "l_quantity", "p_type") \
+        .withColumnRenamed("l_orderkey", "subject_id")
+
+
+@query("ev_meds", """WITH sm AS (SELECT c.c_custkey AS group_id, r.r_name AS site FROM customer c
+        JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
+    m AS (SELECT sm.site, l.l_orderkey AS subject_id, l.l_shipdate AS t, p.p_brand, l.l_quantity * f.factor AS dose,
+        CASE WHEN l.l_quantity IS NULL THEN 'missing dose' WHEN f.factor IS NULL THEN 'unknown unit' ELSE 'success' END AS status
+        FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN orders o ON l.l_orderkey = o.o_orderkey
+        JOIN sm ON o.o_custkey = sm.group_id
+        LEFT JOIN (VALUES """ + ", ".join(f"('{u}', {f})" for u, _, f in UNIT_FACTORS) + """) f(u, factor) ON p.p_type = f.u)
+    SELECT site, subject_id, t AS time, 'MED-CTS' AS prefix, p_brand AS code, round(dose, 6) AS numeric_value,
+        CAST(NULL AS VARCHAR) AS text_value FROM m WHERE status = 'success'
+    UNION ALL SELECT site, subject_id, t, 'MED-CTS', p_brand, NULL, NULL FROM m WHERE status <> 'success'""")
+def ev_meds(spark, sf):
+    """Converted doses with their value, unconverted ones without; a row
+    with a null status would land in neither (S4). Subjects here are orders."""
+    from timeloom.operators.collate import Reference
+    rows = _med_rows(spark, sf)
+    ref = Reference(table="orders", subject_id="subject_id", group_id="group_id",
+                    start_time="l_shipdate", end_time="l_shipdate")
+    entries = [Entry("meds", "MED-CTS", code="p_brand", time="l_shipdate", numeric_value="dose_converted",
+                     filter_expr="_convert_status = 'success'"),
+               Entry("meds", "MED-CTS", code="p_brand", time="l_shipdate",
+                     filter_expr="_convert_status != 'success'")]
+    return _ev_out(collate({"meds": rows}, rows, ref, entries))
