@@ -35,25 +35,37 @@ def poisson_cuts(lam: float = 1.0, tail: float = 1e-12) -> list[float]:
         p *= lam / k
 
 
-def poisson_weight(key, seed) -> F.Column:
-    u = hash_unit(key, seed)
-    return sum((F.when(u >= F.lit(c), 1).otherwise(0) for c in poisson_cuts()), F.lit(0))
+def poisson_weight(u) -> F.Column:
+    """Poisson(1) count from a uniform draw column: a CASE chain that stops
+    at the first cut above u (mostly after one or two tests)."""
+    cuts = poisson_cuts()
+    expr = F.when(u < F.lit(cuts[0]), F.lit(0))
+    for k, c in enumerate(cuts[1:], start=1):
+        expr = expr.when(u < F.lit(c), F.lit(k))
+    return expr.otherwise(F.lit(len(cuts)))
 
 
 def replicate(scores: DataFrame, n_rep: int, seed, draw_keys) -> DataFrame:
     """Rows × replicates with weight ``w`` > 0. ``draw_keys`` name the columns
     the draw depends on (with the replicate); leaving the model out shares
     draws between models."""
-    r = scores.select("*", F.explode(F.sequence(F.lit(1), F.lit(n_rep))).alias("rep"))
-    key = F.concat_ws("|", F.col("rep").cast("string"), *[F.col(k).cast("string") for k in draw_keys])
-    return r.withColumn("w", poisson_weight(key, seed)).filter(F.col("w") > 0)
+    def draw(r):
+        key = F.concat_ws("|", r.cast("string"), *[F.col(k).cast("string") for k in draw_keys])
+        return F.struct(r.alias("rep"), hash_unit(key, seed).alias("_u"))
+
+    # the draw is produced by the generator, so it is an attribute computed
+    # once per row (an inlined hash would be repeated in every CASE branch)
+    r = scores.select("*", F.inline(F.transform(F.sequence(F.lit(1), F.lit(n_rep)), draw)))
+    return r.withColumn("w", poisson_weight(F.col("_u"))).drop("_u").filter(F.col("w") > 0)
 
 
 def replicate_stats(rep: DataFrame, keys, outcome: str = "outcome", metrics=("roc", "pr")) -> DataFrame:
     """Per (keys…, rep): AUCs averaged over outcomes (nulls skipped)."""
     keys = list(keys)
     k = keys + ["rep", outcome]
-    counts = score_counts(rep, k, weight="w")   # the one shuffle of replicated rows
+    # one shuffle of the replicated rows, by (keys, rep, outcome): the score
+    # aggregation, both metric windows and the PR regrouping reuse it
+    counts = score_counts(rep.repartition(*k), k, weight="w")
     parts = []
     if "roc" in metrics:
         parts.append(roc_auc(counts, k, n_buckets=1).withColumnRenamed("roc_auc", "v")

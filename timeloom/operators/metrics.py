@@ -4,7 +4,7 @@ the bootstrap (weight = how often a row was drawn)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from timeloom.functions.scalar import fill_nan, round_even
@@ -66,8 +66,10 @@ def pr_auc(scores: DataFrame, keys, label: str = "future", score: str = "score",
         s = scores.withColumn("_r", round_even(score, places))
         c = _counts(s, keys, label, "_r", weight)
     c = running_sums(c, keys, "_s", ["pos", "neg"], descending=True, inclusive=True, n_buckets=n_buckets)
-    tot = c.groupBy(*keys).agg(F.sum("pos").alias("_P"))
-    c = c.join(tot, keys)
+    if n_buckets <= 1:
+        c = c.withColumn("_P", F.sum("pos").over(Window.partitionBy(*keys)))
+    else:
+        c = c.join(c.groupBy(*keys).agg(F.sum("pos").alias("_P")), keys)
     tp, fp = F.col("cum_pos"), F.col("cum_neg")
     ptp, pfp = tp - F.col("pos"), fp - F.col("neg")
     prec = F.try_divide(tp, tp + fp)

@@ -37,6 +37,11 @@ def running_sums(df: DataFrame, keys, order: str, values, descending: bool = Fal
     equal order values must already be aggregated into one row (as after a
     group-by on (keys, order)); ``inclusive=False`` excludes the current row."""
     keys = list(keys)
+    o = F.col(order).desc() if descending else F.col(order).asc()
+    hi = Window.currentRow if inclusive else -1
+    if n_buckets <= 1:   # keys are many and small (e.g. bootstrap replicates): one window
+        w = Window.partitionBy(*keys).orderBy(o).rowsBetween(Window.unboundedPreceding, hi)
+        return df.withColumns({f"{prefix}{v}": F.coalesce(F.sum(v).over(w), F.lit(0)) for v in values})
     b = range_buckets(df, keys, order, n_buckets)
     if descending:
         b = b.withColumn("_bkt", -F.col("_bkt"))
@@ -44,8 +49,6 @@ def running_sums(df: DataFrame, keys, order: str, values, descending: bool = Fal
     wk = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     carry = per.select(*keys, "_bkt", *[F.coalesce(F.sum(f"_b_{v}").over(wk), F.lit(0)).alias(f"_c_{v}")
                                          for v in values])
-    o = F.col(order).desc() if descending else F.col(order).asc()
-    hi = Window.currentRow if inclusive else -1
     wb = Window.partitionBy(*keys, "_bkt").orderBy(o).rowsBetween(Window.unboundedPreceding, hi)
     j = b.join(carry, keys + ["_bkt"])
     for v in values:
