@@ -45,10 +45,17 @@ def poisson_weight(u) -> F.Column:
     return expr.otherwise(F.lit(len(cuts)))
 
 
-def replicate(scores: DataFrame, n_rep: int, seed, draw_keys) -> DataFrame:
+def replicate(scores: DataFrame, n_rep: int, seed, draw_keys, share: str | None = "model",
+              value: str = "score") -> DataFrame:
     """Rows × replicates with weight ``w`` > 0. ``draw_keys`` name the columns
     the draw depends on (with the replicate); leaving the model out shares
-    draws between models."""
+    draws between models. Rows that differ only in ``share`` (the model) are
+    packed first, so each draw is hashed once and then fanned out."""
+    pack = share is not None and share in scores.columns and share not in draw_keys
+    if pack:
+        rest = [c for c in scores.columns if c not in (share, value)]
+        scores = scores.groupBy(*rest).agg(F.collect_list(F.struct(share, value)).alias("_m"))
+
     def draw(r):
         key = F.concat_ws("|", r.cast("string"), *[F.col(k).cast("string") for k in draw_keys])
         return F.struct(r.alias("rep"), hash_unit(key, seed).alias("_u"))
@@ -56,7 +63,10 @@ def replicate(scores: DataFrame, n_rep: int, seed, draw_keys) -> DataFrame:
     # the draw is produced by the generator, so it is an attribute computed
     # once per row (an inlined hash would be repeated in every CASE branch)
     r = scores.select("*", F.inline(F.transform(F.sequence(F.lit(1), F.lit(n_rep)), draw)))
-    return r.withColumn("w", poisson_weight(F.col("_u"))).drop("_u").filter(F.col("w") > 0)
+    r = r.withColumn("w", poisson_weight(F.col("_u"))).drop("_u").filter(F.col("w") > 0)
+    if pack:
+        r = r.select("*", F.inline("_m")).drop("_m")
+    return r
 
 
 def replicate_stats(rep: DataFrame, keys, outcome: str = "outcome", metrics=("roc", "pr")) -> DataFrame:

@@ -28,7 +28,8 @@ def bigram_counts(w: DataFrame) -> DataFrame:
 def cross_site_loss(docs: DataFrame, site: str = "site", text: str = "text", alpha: float = 1.0) -> DataFrame:
     """(model_site, eval_site, loss, n_bigrams).
 
-    p_m(n | p) = (c_m(p, n) + α) / (c_m(p) + α·V_m). Splitting the log keeps
+    p_m(n | p) = (c_m(p, n) + α) / (c_m(p) + α·V_m), V_m the number of distinct
+    words in site m's texts of two or more words. Splitting the log keeps
     every join keyed: Σ c_e·ln(c_m + α) = Σ c_e·ln α + Σ_{bigram seen at m}
     c_e·(ln(c_m + α) − ln α), so eval bigrams only meet the model bigrams
     they match; the normalizer is summed per (eval site, prev word) against
@@ -36,8 +37,10 @@ def cross_site_loss(docs: DataFrame, site: str = "site", text: str = "text", alp
     w = words(docs, site, text)
     cnt = bigram_counts(w)
     sites = [r[0] for r in cnt.select("site").distinct().orderBy("site").collect()]
-    vocab = (w.select("site", F.explode("ws").alias("word")).groupBy("site")
-             .agg(F.count_distinct("word").alias("V")))
+    # V_m: distinct words of the site's texts with two or more words (shorter
+    # texts are skipped), read off the aggregated bigrams: no second text pass
+    vocab = (cnt.select("site", F.explode(F.array("prev", "nxt")).alias("word")).distinct()
+             .groupBy("site").agg(F.count(F.lit(1)).alias("V")))
     ev = cnt.select(F.col("site").alias("eval_site"), "prev", "nxt", F.col("c").alias("ce"))
     mo = cnt.select(F.col("site").alias("model_site"), "prev", "nxt", F.col("c").alias("cm"))
     la = F.log(F.lit(alpha))

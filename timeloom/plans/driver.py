@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timeloom.operators.collate import Entry, Reference, collate, subject_split
+from timeloom.session import checkpoint_dir
 from timeloom.operators.tokenize import (add_bounds, quantile_apply, quantile_fit,
                                          timeline_build, token_build, vocab_apply,
                                          vocab_fit)
@@ -121,11 +122,21 @@ class Driver:
             self._fitted["vocab"] = v
         return self._fitted["vocab"]
 
-    def token_ids(self) -> DataFrame:
-        """Tokens with ids; a token unseen at the fit site reads as UNK."""
+    def token_ids(self, materialize: bool = True) -> DataFrame:
+        """Tokens with ids; a token unseen at the fit site reads as UNK.
+
+        Like the source's staged pipeline (collate → tokenize → winnow, each
+        stage written to parquet), the token stage is written once (reliable
+        checkpoint in the shared folder) and later stages read it."""
+        if "token_ids" in self._fitted:
+            return self._fitted["token_ids"]
         ids = vocab_apply(self.tokens(), self.vocab())
-        return ids.withColumn("token", F.when(F.col("token_id") == 0, F.lit("UNK"))
-                              .otherwise(F.col("token")))
+        ids = ids.withColumn("token", F.when(F.col("token_id") == 0, F.lit("UNK")).otherwise(F.col("token")))
+        if materialize:
+            checkpoint_dir(self.spark)
+            ids = ids.checkpoint(eager=True)
+            self._fitted["token_ids"] = ids
+        return ids
 
     def timelines(self) -> DataFrame:
         return timeline_build(self.token_ids(), ORDERING, keys=("site", "subject_id", "split"),
@@ -181,7 +192,8 @@ _CACHE: dict = {}
 
 
 def driver(spark: SparkSession, sf_dir: str) -> Driver:
-    key = (id(spark), sf_dir.rstrip("/"))
+    # a stopped session's object id can be reused; the application id cannot
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _CACHE:
         _CACHE[key] = Driver(spark, sf_dir)
     return _CACHE[key]

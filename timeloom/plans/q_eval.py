@@ -208,7 +208,12 @@ def bootstrap_pvalue(spark, sf):
 
 
 def _cis(spark, sf):
-    return bs.bootstrap_ci(_q(spark, sf), ("site", "model"), N_REP, SEED)
+    """The interval table, computed once per driver and shared by the report
+    queries built on it (formatting, bars, cells)."""
+    d = D(spark, sf)
+    if "cis" not in d._fitted:
+        d._fitted["cis"] = bs.bootstrap_ci(_q(spark, sf), ("site", "model"), N_REP, SEED).checkpoint(eager=True)
+    return d._fitted["cis"]
 
 
 @query("f_ci_format", sql("SELECT site, model, metric, printf('%.3f (±%.3f)', (lo + hi) / 2, (hi - lo) / 2) AS text FROM cis"))

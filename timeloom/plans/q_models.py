@@ -167,22 +167,37 @@ def _inference(spark, sf):
 
 
 def _fit_grid(spark, sf, fitter, pooled=False):
+    """Held-out AUCs of models fit per (outcome, training site); the fitted
+    grid is kept per driver, so queries that share fits do not refit."""
+    d = D(spark, sf)
+    key = ("fit_grid", fitter.__name__, pooled)
+    if key not in d._fitted:
+        d._fitted[key] = _fit_grid_uncached(spark, sf, fitter, pooled).checkpoint(eager=True)
+    return d._fitted[key]
+
+
+def _fit_grid_uncached(spark, sf, fitter, pooled=False):
+    from concurrent.futures import ThreadPoolExecutor
     feats, _ = _inference(spark, sf)
     q = feats.filter(~F.col("past")).withColumn("label", F.col("future").cast("double")).cache()
     train, test = q.filter(F.col("split") == "train"), q.filter(F.col("split") == "held_out")
-    outs = [r[0] for r in q.select("outcome").distinct().orderBy("outcome").collect()]
-    sites = ["all"] if pooled else [r[0] for r in q.select("site").distinct().orderBy("site").collect()]
-    scored = []
-    for o in outs:
-        for s in sites:
-            tr = train.filter(F.col("outcome") == o)
-            tr = tr if s == "all" else tr.filter(F.col("site") == s)
-            if tr.select("label").distinct().count() < 2:
-                continue   # one class: no model (cell stays empty)
-            m = fitter(tr)
-            te = test.filter(F.col("outcome") == o)
-            scored.append(ml.score_model(m, te.select("site", "subject_id", "outcome", "future", "features"))
-                          .withColumn("train_site", F.lit(s)).drop("features"))
+    site_col = F.lit("all") if pooled else F.col("site")
+    # cells with both classes, found in one aggregate (a one-class cell has no model)
+    cells = [(r.outcome, r.cell) for r in train.groupBy("outcome", site_col.alias("cell"))
+             .agg(F.countDistinct("label").alias("k")).filter("k = 2").orderBy("outcome", "cell").collect()]
+
+    def fit_one(cell):
+        o, s = cell
+        tr = train.filter(F.col("outcome") == o)
+        tr = tr if s == "all" else tr.filter(F.col("site") == s)
+        m = fitter(tr)
+        te = test.filter(F.col("outcome") == o)
+        return (ml.score_model(m, te.select("site", "subject_id", "outcome", "future", "features"))
+                .withColumn("train_site", F.lit(s)).drop("features"))
+
+    # the fits are independent small jobs: submit them concurrently
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        scored = list(pool.map(fit_one, cells))
     out = scored[0]
     for x in scored[1:]:
         out = out.unionByName(x)
@@ -227,7 +242,7 @@ _CSL = """WITH w AS (SELECT lang AS site, string_split(lower(text), ' ') AS ws F
     bg AS (SELECT site, ws[i] AS prev, ws[i + 1] AS nxt FROM w, LATERAL (SELECT unnest(range(1, len(ws))) AS i)),
     cnt AS (SELECT site, prev, nxt, count(*) AS c FROM bg GROUP BY ALL),
     pc AS (SELECT site, prev, sum(c) AS cp FROM cnt GROUP BY ALL),
-    voc AS (SELECT site, count(DISTINCT word) AS V FROM (SELECT site, unnest(ws) AS word FROM w) GROUP BY site),
+    voc AS (SELECT site, count(DISTINCT word) AS V FROM (SELECT site, unnest(ws) AS word FROM w WHERE len(ws) >= 2) GROUP BY site),
     ms AS (SELECT DISTINCT site AS model_site FROM cnt)
 SELECT ms.model_site, e.site AS eval_site,
     round(-sum(e.c * ln((coalesce(m.c, 0) + 1.0) / (coalesce(p.cp, 0) + 1.0 * v.V))) / sum(e.c), 9) AS loss,
