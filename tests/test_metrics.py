@@ -130,3 +130,15 @@ def test_w1_symmetric_and_zero(spark):
     rows = [(s, f"g_Q{b}", v) for s in ["A", "B"] for b, v in enumerate([0.1, 0.2, 0.3])]
     st = spark.createDataFrame(rows, "site string, token string, frequency double")
     assert abs(describe.site_divergence(st).first().w1) < 1e-15
+
+
+def test_single_pass_roc_pr_vs_brute(spark, scores):
+    """The one-sort form used by the bootstrap equals brute force."""
+    c = mt.score_counts(scores, ["k"])
+    got = {(r.k, r.metric): r.v for r in mt.roc_pr_from_counts(c, ["k"]).collect()}
+    pdf = scores.toPandas()
+    for k, g in pdf.groupby("k"):
+        y, s = g.future.astype(int).to_numpy(), g.score.to_numpy()
+        b = brute_roc(y, s)
+        assert (got[(k, "roc_auc")] is None) if b is None else abs(got[(k, "roc_auc")] - b) < 1e-12
+        assert abs(got[(k, "pr_auc")] - brute_pr(y, s)) < 1e-12

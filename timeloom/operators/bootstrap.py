@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timeloom.functions.scalar import hash_unit
-from timeloom.operators.metrics import pr_auc, roc_auc, score_counts
+from timeloom.operators.metrics import roc_pr_from_counts, score_counts
 
 __all__ = ["poisson_cuts", "poisson_weight", "replicate", "replicate_stats", "bootstrap_ci",
            "paired_diff_ci", "bootstrap_pvalue", "check_paired"]
@@ -55,6 +55,11 @@ def replicate(scores: DataFrame, n_rep: int, seed, draw_keys, share: str | None
     if pack:
         rest = [c for c in scores.columns if c not in (share, value)]
         scores = scores.groupBy(*rest).agg(F.collect_list(F.struct(share, value)).alias("_m"))
+    # the input is n_rep times smaller than the output: spread it over all
+    # shuffle partitions first (AQE would coalesce a small table into one
+    # task, which would then draw and explode every replicate alone)
+    n_parts = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    scores = scores.repartition(n_parts, *[F.col(k) for k in draw_keys])
 
     def draw(r):
         key = F.concat_ws("|", r.cast("string"), *[F.col(k).cast("string") for k in draw_keys])
@@ -75,15 +80,11 @@ def replicate_stats(rep: DataFrame, keys, outcome: str = "outcome", metrics=("ro
     k = keys + ["rep", outcome]
     # one shuffle of the replicated rows, by (keys, rep, outcome): the score
     # aggregation, both metric windows and the PR regrouping reuse it
-    counts = score_counts(rep.repartition(*k), k, weight="w")
-    parts = []
-    if "roc" in metrics:
-        parts.append(roc_auc(counts, k, n_buckets=1).withColumnRenamed("roc_auc", "v")
-                     .withColumn("metric", F.lit("roc_auc")))
-    if "pr" in metrics:
-        parts.append(pr_auc(counts, k, n_buckets=1).withColumnRenamed("pr_auc", "v")
-                     .withColumn("metric", F.lit("pr_auc")))
-    u = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    n_parts = int(rep.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = score_counts(rep.repartition(n_parts, *k), k, weight="w")
+    both = roc_pr_from_counts(counts, k)
+    want = [m for m, short in (("roc_auc", "roc"), ("pr_auc", "pr")) if short in metrics]
+    u = both.filter(F.col("metric").isin(want))
     return u.groupBy(*keys, "metric", "rep").agg(F.avg("v").alias("stat"))
 
 

@@ -85,3 +85,35 @@ def auc_table(scores: DataFrame, keys, **kw) -> DataFrame:
     keys = list(keys)
     c = score_counts(scores, keys, kw.pop("label", "future"), kw.pop("score", "score"), kw.pop("weight", None))
     return roc_auc(c, keys, **kw).join(pr_auc(c, keys, **kw), keys)
+
+
+def roc_pr_from_counts(counts: DataFrame, keys, places: int = 4) -> DataFrame:
+    """Both areas from one ordered pass over ``score_counts`` output:
+    (keys…, metric, v).
+
+    Rounding is monotone, so one descending sort by the raw score serves
+    both: ROC takes the negatives below a score as N − (running negatives);
+    PR reads the running counts at the last row of each rounded-score group
+    (an aggregate on the same partitioning, no second sort). For many small
+    keys (bootstrap replicates): each key is one window partition."""
+    keys = list(keys)
+    part = Window.partitionBy(*keys)
+    run = part.orderBy(F.col("_s").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    c = (counts.withColumn("cp", F.sum("pos").over(run)).withColumn("cn", F.sum("neg").over(run))
+         .withColumn("P", F.sum("pos").over(part)).withColumn("N", F.sum("neg").over(part)))
+    # one chain: per (key, rounded score) carry the ROC numerator along
+    g = c.groupBy(*keys, round_even("_s", places).alias("_r")).agg(
+        F.sum(F.col("pos") * (F.col("N") - F.col("cn") + 0.5 * F.col("neg"))).alias("rn"),
+        F.max("cp").alias("tp"), F.max("cn").alias("fp"), F.sum("pos").alias("dp"), F.sum("neg").alias("dn"),
+        F.max("P").alias("P"), F.max("N").alias("N"))
+    tp, fp = F.col("tp"), F.col("fp")
+    ptp, pfp = tp - F.col("dp"), fp - F.col("dn")
+    prec = F.try_divide(tp, tp + fp)
+    pprec = F.when(ptp + pfp > 0, F.try_divide(ptp, ptp + pfp)).otherwise(F.lit(1.0))
+    area = (F.try_divide(tp, F.col("P")) - F.try_divide(ptp, F.col("P"))) * (prec + pprec) / 2
+    k = g.groupBy(*keys).agg(F.sum("rn").alias("rn"), F.sum(area).alias("a"),
+                             F.max("P").alias("P"), F.max("N").alias("N"))
+    k = k.select(*keys,
+                 F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("rn") / (F.col("P") * F.col("N"))).alias("roc_auc"),
+                 F.when(F.col("P") > 0, F.col("a")).alias("pr_auc"))
+    return k.unpivot(keys, ["roc_auc", "pr_auc"], "metric", "v")
