@@ -8,12 +8,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from timeloom.session import checkpoint_dir
+
 __all__ = ["words", "bigram_counts", "cross_site_loss"]
 
 
 def words(docs: DataFrame, site: str, text: str) -> DataFrame:
-    """(site, ws): lower-cased text split on a plain space, whole text."""
-    return docs.select(F.col(site).alias("site"), F.split(F.lower(text), " ", -1).alias("ws"))
+    """(site, ws): lower-cased text split on a plain space, whole text.
+
+    Text splitting is the heavy per-row step: an input planned with fewer
+    splits than cores (one small file) is spread first; a large input keeps
+    its scan splits (no shuffle)."""
+    d = docs.select(site, text)
+    par = d.sparkSession.sparkContext.defaultParallelism
+    if d.rdd.getNumPartitions() < par:
+        d = d.repartition(par)
+    return d.select(F.col(site).alias("site"), F.split(F.lower(text), " ", -1).alias("ws"))
 
 
 def bigram_counts(w: DataFrame) -> DataFrame:
@@ -35,7 +45,10 @@ def cross_site_loss(docs: DataFrame, site: str = "site", text: str = "text", alp
     they match; the normalizer is summed per (eval site, prev word) against
     each model site (sites are a short list)."""
     w = words(docs, site, text)
-    cnt = bigram_counts(w)
+    # the bigram counts are the fitted models, read by five branches below:
+    # written once (reliable checkpoint in the shared folder)
+    checkpoint_dir(docs.sparkSession)
+    cnt = bigram_counts(w).checkpoint(eager=True)
     sites = [r[0] for r in cnt.select("site").distinct().orderBy("site").collect()]
     # V_m: distinct words of the site's texts with two or more words (shorter
     # texts are skipped), read off the aggregated bigrams: no second text pass
