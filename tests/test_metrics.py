@@ -142,3 +142,15 @@ def test_single_pass_roc_pr_vs_brute(spark, scores):
         b = brute_roc(y, s)
         assert (got[(k, "roc_auc")] is None) if b is None else abs(got[(k, "roc_auc")] - b) < 1e-12
         assert abs(got[(k, "pr_auc")] - brute_pr(y, s)) < 1e-12
+
+
+def test_check_paired_all(spark):
+    base = spark.createDataFrame([(i, "o", i % 2 == 0) for i in range(6)], "subject_id int, outcome string, future boolean")
+    two = base.withColumn("model", F.lit("a")).unionByName(base.withColumn("model", F.lit("b")))
+    bs.check_paired_all(two, ["subject_id", "outcome"], 2)
+    with pytest.raises(ValueError):
+        bs.check_paired_all(two.filter("NOT (model = 'b' AND subject_id = 2)"), ["subject_id", "outcome"], 2)
+    flipped = two.withColumn("future", F.when((F.col("model") == "b") & (F.col("subject_id") == 1), F.lit(True))
+                             .otherwise(F.col("future")))
+    with pytest.raises(ValueError):
+        bs.check_paired_all(flipped, ["subject_id", "outcome"], 2)

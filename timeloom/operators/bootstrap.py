@@ -19,7 +19,7 @@ from timeloom.functions.scalar import hash_unit
 from timeloom.operators.metrics import roc_pr_from_counts, score_counts
 
 __all__ = ["poisson_cuts", "poisson_weight", "replicate", "replicate_stats", "bootstrap_ci",
-           "paired_diff_ci", "bootstrap_pvalue", "check_paired"]
+           "paired_diff_ci", "bootstrap_pvalue", "check_paired", "check_paired_all"]
 
 
 def poisson_cuts(lam: float = 1.0, tail: float = 1e-12) -> list[float]:
@@ -113,6 +113,17 @@ def check_paired(a: DataFrame, b: DataFrame, on, label: str = "future") -> None:
         raise ValueError(f"paired scores differ in rows or labels, e.g. {bad[0].asDict()}")
 
 
+def check_paired_all(scores: DataFrame, on, n_models: int, label: str = "future",
+                     model: str = "model") -> None:
+    """Every model scores every qualified row, with one label per row: one
+    grouped pass over all models (first offending row reported)."""
+    g = scores.groupBy(*on).agg(F.count_distinct(model).alias("_m"),
+                                F.count_distinct(label).alias("_l"), F.count(label).alias("_n"))
+    bad = g.filter((F.col("_m") != n_models) | (F.col("_l") > 1) | (F.col("_n") != F.col("_m"))).limit(1).collect()
+    if bad:
+        raise ValueError(f"paired scores differ in rows or labels, e.g. {bad[0].asDict()}")
+
+
 def paired_diff_ci(scores: DataFrame, base: str, models=None, keys=("site",), n_rep: int = 1000,
                    seed: int = 42, alpha: float = 0.05, outcome: str = "outcome",
                    subject: str = "subject_id", model: str = "model") -> DataFrame:
@@ -121,9 +132,7 @@ def paired_diff_ci(scores: DataFrame, base: str, models=None, keys=("site",), n_
     keys = list(keys)
     models = models or [r[0] for r in scores.select(model).distinct().collect() if r[0] != base]
     sub = scores.filter(F.col(model).isin([base] + list(models)))
-    b = sub.filter(F.col(model) == base)
-    for m in models:
-        check_paired(b, sub.filter(F.col(model) == m), keys + [outcome, subject])
+    check_paired_all(sub, keys + [outcome, subject], len(models) + 1, model=model)
     rep = replicate(sub, n_rep, seed, [outcome, subject])
     st = replicate_stats(rep, keys + [model], outcome)
     base_st = st.filter(F.col(model) == base).select(*keys, "metric", "rep", F.col("stat").alias("_b"))
