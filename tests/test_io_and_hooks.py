@@ -121,6 +121,7 @@ def test_incremental_sink(spark, tmp_path):
     src = tmp_path / "in"
     df = spark.range(6).withColumn("site", F.lit("A"))
     df.write.parquet(str(src / "a"))
-    sink_parquet_incremental(spark, str(src / "a"), df.schema, str(tmp_path / "out"), f"t{tmp_path.name}",
+    import uuid
+    sink_parquet_incremental(spark, str(src / "a"), df.schema, str(tmp_path / "out"), f"t{uuid.uuid4().hex}",
                              transform=lambda s: s.filter("id % 2 = 0"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
