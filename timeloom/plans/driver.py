@@ -90,10 +90,18 @@ class Driver:
         return subject_split(self.subjects().join(cust, "group_id", "left"), "group_id", SPLIT_SEED)
 
     # ------------------------------------------------------------ events
-    def events_long(self) -> DataFrame:
+    def events_long(self, materialize: bool = True) -> DataFrame:
+        """The collated events (the source writes this stage to parquet);
+        written once and read by the fits and the token stage."""
+        if materialize and "events_long" in self._fitted:
+            return self._fitted["events_long"]
         tables = {"events": self.ev()}
-        evl = collate(tables, self.ref(), REFERENCE, ENTRIES)
-        return subject_split(evl, "group_id", SPLIT_SEED)
+        evl = subject_split(collate(tables, self.ref(), REFERENCE, ENTRIES), "group_id", SPLIT_SEED)
+        if materialize:
+            checkpoint_dir(self.spark)
+            evl = evl.checkpoint(eager=True)
+            self._fitted["events_long"] = evl
+        return evl
 
     def fit_rows(self, df: DataFrame) -> DataFrame:
         return df.filter((F.col("site") == FIT_SITE) & (F.col("split") == "train"))
@@ -162,9 +170,20 @@ class Driver:
                          F.col("l_shipdate").alias("in_time"))
 
     # ------------------------------------------------------------ scores
-    def scores(self) -> DataFrame:
+    def scores(self, materialize: bool = True) -> DataFrame:
         """Long score table: site, model, subject_id, outcome, past, future,
-        score. Three models (chars, words, source) × two outcomes (quality, toxic)."""
+        score. Three models (chars, words, source) × two outcomes (quality, toxic).
+        Written once (the source reads scores from parquet files)."""
+        if "scores" in self._fitted:
+            return self._fitted["scores"]
+        out = self._scores()
+        if materialize:
+            checkpoint_dir(self.spark)
+            out = out.checkpoint(eager=True)
+            self._fitted["scores"] = out
+        return out
+
+    def _scores(self) -> DataFrame:
         d, lab = self.t("documents"), self.t("labels")
         j = d.join(lab, "doc_id").select(
             F.col("lang").alias("site"), F.col("doc_id").alias("subject_id"),

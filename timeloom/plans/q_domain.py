@@ -133,7 +133,8 @@ def _collate(spark, sf, entries, tables=None):
 
 @query("collate", sql(f"SELECT {_EVC} FROM evl"))
 def collate_q(spark, sf):
-    return _ev_out(D(spark, sf).events_long())
+    """Collation computed in full (not the stored stage)."""
+    return _ev_out(D(spark, sf).events_long(materialize=False))
 
 
 @query("collate_entry", sql(f"SELECT {_EVC} FROM evl WHERE prefix = 'VAL'"))
