@@ -318,7 +318,7 @@ def timeline_decode(spark, sf):
 def token_lookup_join(spark, sf):
     d = D(spark, sf)
     ex = d.timelines().select("site", "subject_id", F.posexplode("tokens").alias("pos", "token_id"))
-    return ex.join(F.broadcast(d.vocab().df), "token_id", "left").select("site", "subject_id", "pos", "token")
+    return d.vocab().join_to(ex, "token_id", "left").select("site", "subject_id", "pos", "token")
 
 
 @query("f_list_map", sql(f"""SELECT site, subject_id, string_agg(token, ' ' ORDER BY {ORD}) AS tokens
