@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from timeloom.functions.scalar import hash_unit
@@ -135,9 +135,11 @@ def paired_diff_ci(scores: DataFrame, base: str, models=None, keys=("site",), n_
     check_paired_all(sub, keys + [outcome, subject], len(models) + 1, model=model)
     rep = replicate(sub, n_rep, seed, [outcome, subject])
     st = replicate_stats(rep, keys + [model], outcome)
-    base_st = st.filter(F.col(model) == base).select(*keys, "metric", "rep", F.col("stat").alias("_b"))
-    d = (st.filter(F.col(model) != base).join(base_st, keys + ["metric", "rep"])
-         .withColumn("stat", F.col("stat") - F.col("_b")))
+    # the base statistic rides along on the small per-replicate table (one
+    # pass; two filtered branches would recompute the replicates)
+    same = Window.partitionBy(*keys, "metric", "rep")
+    d = (st.withColumn("_b", F.max(F.when(F.col(model) == base, F.col("stat"))).over(same))
+         .filter(F.col(model) != base).withColumn("stat", F.col("stat") - F.col("_b")))
     return _interval(d, keys + [model], alpha)
 
 
@@ -150,10 +152,11 @@ def bootstrap_pvalue(scores: DataFrame, base: str, other: str, keys=("site",), n
     sub = scores.filter(F.col(model).isin(base, other))
     rep = replicate(sub, n_rep, seed, [model, outcome, subject])
     st = replicate_stats(rep, keys + [model], outcome)
-    a = st.filter(F.col(model) == other).select(*keys, "metric", "rep", F.col("stat").alias("_o"))
-    b = st.filter(F.col(model) == base).select(*keys, "metric", "rep", F.col("stat").alias("_b"))
-    d = a.join(b, keys + ["metric", "rep"]).withColumn("d", F.col("_o") - F.col("_b")) \
-        .filter(F.col("d").isNotNull() & ~F.isnan("d"))
+    d = (st.groupBy(*keys, "metric", "rep")
+         .agg(F.max(F.when(F.col(model) == other, F.col("stat"))).alias("_o"),
+              F.max(F.when(F.col(model) == base, F.col("stat"))).alias("_b"))
+         .withColumn("d", F.col("_o") - F.col("_b"))
+         .filter(F.col("d").isNotNull() & ~F.isnan("d")))
     g = d.groupBy(*keys, "metric").agg(F.avg((F.col("d") <= 0).cast("double")).alias("le"),
                                       F.avg((F.col("d") >= 0).cast("double")).alias("ge"))
     return g.select(*keys, "metric", F.least(F.lit(1.0), 2 * F.least("le", "ge")).alias("p_value"))
