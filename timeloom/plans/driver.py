@@ -118,9 +118,15 @@ class Driver:
     def tokens(self, materialize: bool = True) -> DataFrame:
         """Long token rows with BOS/EOS: site, group_id, subject_id, time,
         prefix, code, numeric_value, event_id, split, bin, token, sub."""
-        binned = quantile_apply(self.events_long(), self.breaks(materialize))
-        tok = token_build(binned)
-        return add_bounds(tok, self.ref())
+        if materialize and "tokens" in self._fitted:
+            return self._fitted["tokens"]
+        binned = quantile_apply(self.events_long(materialize), self.breaks(materialize))
+        tok = add_bounds(token_build(binned), self.ref())
+        if materialize:   # read by the vocabulary fit and the id stage: written once
+            checkpoint_dir(self.spark)
+            tok = tok.checkpoint(eager=True)
+            self._fitted["tokens"] = tok
+        return tok
 
     def vocab(self, materialize: bool = True):
         if "vocab" not in self._fitted:
