@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,11 +40,16 @@ def get_session(master: str | None = None, partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names shared storage and is used as is. Only when
-    it is unset (local tests) a scratch folder is made and registered.
+    On a cluster the setting names shared storage and is used as is; a cluster
+    session without it is an error, because a folder of the driver's machine is
+    not seen by the executors. Only in local mode (tests, where driver and
+    executors are one process) a scratch folder is made and registered.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="timeloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
@@ -55,3 +61,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     executors, unlike a local checkpoint)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared folder and read it back.
+
+    Cuts the lineage like a checkpoint, but readers get a columnar scan with
+    column pruning, pushed filters and partition pruning. Each call writes a
+    path of its own, so concurrent or repeated runs never mix."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    w = df.write.mode("errorifexists")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
