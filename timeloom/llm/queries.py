@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeloom.llm import bpe, chat, html
+from timeloom.llm import bpe, chat, html, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +73,9 @@ def op6_chat(spark, sf_dir):
 @query("op9_html")
 def op9_html(spark, sf_dir):
     return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op8_mixing")
+def op8_mixing(spark, sf_dir):
+    docs, taken = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.taken_per_document(docs, taken).select("doc_id", "source", "size", "source_size", "target", "taken")
