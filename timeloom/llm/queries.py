@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeloom.llm import bpe, chat, html, mixing
+from timeloom.llm import bpe, chat, html, langid, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,3 +79,14 @@ def op9_html(spark, sf_dir):
 def op8_mixing(spark, sf_dir):
     docs, taken = mixing.mix(table(spark, sf_dir, "documents"))
     return mixing.taken_per_document(docs, taken).select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def crc_remainder(n: int):
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+@query("op7_langid")
+def op7_langid(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    trees = langid.train(docs.where(crc_remainder(5) != 0))
+    return langid.predict(docs, trees).select("doc_id", (crc_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
