@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeloom.llm import bpe, chat, html, langid, mixing
+from timeloom.llm import bpe, chat, html, langid, mixing, quality_mil
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -90,3 +90,11 @@ def op7_langid(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     trees = langid.train(docs.where(crc_remainder(5) != 0))
     return langid.predict(docs, trees).select("doc_id", (crc_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_quality_mil")
+def op10_quality_mil(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality_mil.fit(docs.where(crc_remainder(3) != 1), table(spark, sf_dir, "labels"))
+    return quality_mil.score(docs, model).select(
+        "doc_id", (crc_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
