@@ -2,3 +2,11 @@
 
 Nothing else in the library imports this subpackage; its queries are in
 ``timeloom.llm.queries`` and its tests in ``tests/llm``."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel with their helpers, so executors need not have the
+# package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

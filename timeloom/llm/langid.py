@@ -180,8 +180,9 @@ class Trees:
         return out
 
 
-def train(training: DataFrame, lang_col: str = "lang", text_col: str = "text", nodes: int = NODES) -> Trees:
-    """Trees of every language in ``training`` (none: an empty model)."""
+def train(training: DataFrame, lang_col: str = "lang", text_col: str = "text", nodes: int = NODES) -> dict[str, list[tuple]]:
+    """Counts of every language in ``training`` (none: empty), as ``Trees``
+    takes them."""
     import numpy as np
 
     counts = count_contexts(training, lang_col, text_col)
@@ -195,10 +196,10 @@ def train(training: DataFrame, lang_col: str = "lang", text_col: str = "text", n
         for o in range(ORDER + 1):
             part = own[own["order"] == o].sort_values("key")
             out[lang].append((part["key"].to_numpy(np.int64), part["n"].to_numpy(np.int64)))
-    return Trees(out)
+    return out
 
 
-def predict(df: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def predict(df: DataFrame, counts: dict[str, list[tuple]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id column, lang_pred, score.
 
     The score is the language's share of 2 ** -length over all languages.
@@ -207,13 +208,13 @@ def predict(df: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str =
     are scored alike, extra columns are left out."""
     schema = T.StructType([df.schema[id_col], T.StructField("lang_pred", T.StringType(), False),
                            T.StructField("score", T.DoubleType(), False)])
-    shared = df.sparkSession.sparkContext.broadcast(trees)
+    shared = df.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        model = shared.value
+        model = Trees(shared.value)
         for batch in arrow_slices(batches, 1):
             langs, scores = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
             texts = {i: t.lower().encode() for i, x in enumerate(batch.column(1))

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeloom.llm import bpe, chat, html, langid, mixing, quality_mil
+from timeloom.llm import bpe, chat, html, langid, mixing, quality_mil, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,8 +88,8 @@ def crc_remainder(n: int):
 @query("op7_langid")
 def op7_langid(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    trees = langid.train(docs.where(crc_remainder(5) != 0))
-    return langid.predict(docs, trees).select("doc_id", (crc_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
+    counts = langid.train(docs.where(crc_remainder(5) != 0))
+    return langid.predict(docs, counts).select("doc_id", (crc_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
 
 
 @query("op10_quality_mil")
@@ -98,3 +98,9 @@ def op10_quality_mil(spark, sf_dir):
     model = quality_mil.fit(docs.where(crc_remainder(3) != 1), table(spark, sf_dir, "labels"))
     return quality_mil.score(docs, model).select(
         "doc_id", (crc_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op2_simhash")
+def op2_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
