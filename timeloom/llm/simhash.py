@@ -219,7 +219,8 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     probes = nodes.select("fingerprint").mapInArrow(probe, "cell long, q long")
     near = F.bit_count(F.col("q").bitwiseXOR(F.col("fp"))) <= radius
-    met = probes.join(indexed, (probes["cell"] == indexed["cell"]) & (F.col("q") != F.col("fp")) & near)
+    # the planner cannot know how many probes a fingerprint makes: no broadcast
+    met = probes.hint("merge").join(indexed, (probes["cell"] == indexed["cell"]) & (F.col("q") != F.col("fp")) & near)
     return met.select(F.least("q", "fp").alias("a"), F.greatest("q", "fp").alias("b")).distinct()
 
 
