@@ -25,6 +25,13 @@ def words_of(text) -> "F.Column":
     return F.when(F.length(trimmed) == 0, F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
 
 
+def let(value, body) -> "F.Column":
+    """``body(value)`` with the value computed once per row. Naming a column
+    does not ensure that: the optimizer may put its expression back into every
+    place, lambdas over elements included."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def n_words(text) -> "F.Column":
     """Number of words without building them: word ends after squeezing."""
     return F.size(words_of(text)).cast("long")
