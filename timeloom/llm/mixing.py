@@ -191,7 +191,8 @@ def mix(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
     placed = stage_table(placed, "mix-placed")
     per_source = stage_table(targets(placed, weights, share, cap), "mix-targets")
     slots = deal_slots(per_source, block_words, shards, seed)
-    taken = (slots.withColumnRenamed("source", "_s").withColumnRenamed("block", "_b")
+    # the planner cannot know how many slots a source makes: no broadcast
+    taken = (slots.withColumnRenamed("source", "_s").withColumnRenamed("block", "_b").hint("merge")
              .join(pieces, F.col("_s").eqNullSafe(F.col("source")) & (F.col("_b") == F.col("block")))
              .withColumn("words", F.least("words", F.col("keep") - F.col("in_block"))).where("words > 0")
              .select("source", "shard", "slot", "start", "at", "words"))
