@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeloom.llm import ann, bpe, chat, html, langid, mixing, quality_mil, rules, simhash
+from timeloom.llm import ann, bpe, chat, html, langid, lines, mixing, quality_mil, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,3 +117,8 @@ def op4_quality_rules(spark, sf_dir):
     trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     judged = rules.judge(table(spark, sf_dir, "documents"), trusted)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
+
+
+@query("op5_line_dedup")
+def op5_line_dedup(spark, sf_dir):
+    return lines.count_lines(table(spark, sf_dir, "documents"))
