@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from timeloom.llm.common import n_words
+from timeloom.llm.common import let, n_words, words_of
 from timeloom.session import stage_table
 
 BLOCK_WORDS = 32
@@ -206,3 +206,24 @@ def taken_per_document(docs: DataFrame, taken: DataFrame) -> DataFrame:
     sums = taken.groupBy(F.col("source").alias("_s"), F.col("start").alias("_t")).agg(F.sum("words").alias("_taken"))
     on = F.col("source").eqNullSafe(F.col("_s")) & (F.col("start") == F.col("_t")) & (F.col("size") > 0)
     return docs.join(sums, on, "left").withColumn("taken", F.coalesce("_taken", F.lit(0)).cast("long")).drop("_s", "_t", "_taken")
+
+
+def passes(docs: DataFrame, taken: DataFrame) -> DataFrame:
+    """The mix by document: one row per (document, turn) with the spans, (at,
+    words) in order, that this turn takes of its words.
+
+    A word's first use in the mix belongs to turn 1, its second to turn 2: the
+    stretches of a document are split by how often their block was drawn
+    before, so no turn takes a word twice. Gathered per document and turn, with
+    at most size / block words + 2 stretches."""
+    turn = F.row_number().over(Window.partitionBy("source", "start", "at").orderBy("slot"))
+    spans = (taken.withColumn("turn", turn).groupBy(F.col("source").alias("_s"), F.col("start").alias("_t"), "turn")
+             .agg(F.array_sort(F.collect_list(F.struct("at", "words"))).alias("spans")))
+    on = F.col("source").eqNullSafe(F.col("_s")) & (F.col("start") == F.col("_t")) & (F.col("size") > 0)
+    return docs.join(spans, on).select("doc_id", "source", "size", "start", "turn", "spans")
+
+
+def cut_words(text, spans) -> "F.Column":
+    """The words of the spans, joined by single spaces."""
+    return let(words_of(text), lambda w: F.array_join(F.flatten(F.transform(
+        spans, lambda s: F.slice(w, s["at"].cast("int") + 1, s["words"].cast("int")))), " "))

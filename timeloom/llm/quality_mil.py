@@ -187,20 +187,27 @@ def _by_hash():
     return Window.orderBy("_h", "_id", "_y", F.xxhash64("_t")).rowsBetween(Window.unboundedPreceding, 0)
 
 
-def score(df: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the id column and ``score`` in 0 .. 1 (1: good). A null text
-    counts as empty; without a model every score is 0.5."""
-    schema = T.StructType([df.schema[id_col], T.StructField("score", T.DoubleType(), False)])
+def add_score(df: DataFrame, model: dict | None, text_col: str = "text", name: str = "score") -> DataFrame:
+    """``df`` with a column ``name`` in 0 .. 1 (1: good), in one pass without a
+    shuffle. A null text counts as empty; without a model every score is 0.5."""
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType(), False)])
+    at = df.columns.index(text_col)
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        for batch in arrow_slices(batches, 1, 1 << 20):
+        for batch in arrow_slices(batches, at, 1 << 20):
             if model is None or "constant" in model:
                 s = np.full(batch.num_rows, 0.5 if model is None else model["constant"])
             else:
-                s = forward(model, *encode_bags([(t.as_py() or "").encode() for t in batch.column(1)]))[0]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s.astype(np.float64))], names=[f.name for f in schema])
+                s = forward(model, *encode_bags([(t.as_py() or "").encode() for t in batch.column(at)]))[0]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s.astype(np.float64))], names=[f.name for f in schema])
+
+    return df.mapInArrow(run, schema)
 
-    return df.select(id_col, text_col).mapInArrow(run, schema)
+
+def score(df: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row of ``df``: the id column and ``score``; see ``add_score``.
+    Extra columns are left out, repeated rows are scored alike."""
+    return add_score(df.select(id_col, text_col), model, text_col).select(id_col, "score")
