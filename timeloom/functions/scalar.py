@@ -9,7 +9,6 @@ from __future__ import annotations
 import fnmatch
 import re
 
-import pandas as pd
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -151,23 +150,15 @@ def ci_mid(lo, hi) -> Column:
 
 
 def ci_format(lo, hi, places: int = 3) -> Column:
-    """``mid (±half)`` text of an interval, rounded like Python's ``format``
-    (half-to-even on the exact binary value; Java's ``%.3f`` rounds half up).
-    Applied to result tables only (one row per interval), through an
-    Arrow-batched pandas UDF."""
-
-    @F.pandas_udf("string")
-    def _fmt(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(a, b):
-            if pd.isna(x) or pd.isna(y):
-                out.append(None)
-                continue
-            lo_, hi_ = min(x, y), max(x, y)
-            out.append(f"{(lo_ + hi_) / 2:.{places}f} (±{(hi_ - lo_) / 2:.{places}f})")
-        return pd.Series(out, dtype="object")
-
-    return _fmt(col_of(lo).cast("double"), col_of(hi).cast("double"))
+    """``mid (±half)`` text of an interval.
+
+    Rule (ours): both numbers become decimals of nine places and are rounded
+    half away from zero to ``places``; a null or non-finite bound gives null."""
+    def text(x):
+        return F.round(x.try_cast("decimal(28,9)"), places).cast(f"decimal(28,{places})").cast("string")
+
+    a, b = col_of(lo).cast("double"), col_of(hi).cast("double")
+    return F.concat(text((a + b) / 2), F.lit(" (±"), text(F.abs(b - a) / 2), F.lit(")"))
 
 
 def ci_center_bars(lo, hi):

@@ -75,7 +75,8 @@ def replicate(scores: DataFrame, n_rep: int, seed, draw_keys, share: str | None
 
 
 def replicate_stats(rep: DataFrame, keys, outcome: str = "outcome", metrics=("roc", "pr")) -> DataFrame:
-    """Per (keys…, rep): AUCs averaged over outcomes (nulls skipped)."""
+    """Per (keys…, rep): AUCs averaged over outcomes. An outcome without both
+    classes in a replicate voids it (null), as an average with NaN would."""
     keys = list(keys)
     k = keys + ["rep", outcome]
     # one shuffle of the replicated rows, by (keys, rep, outcome): the score
@@ -85,7 +86,8 @@ def replicate_stats(rep: DataFrame, keys, outcome: str = "outcome", metrics=("ro
     both = roc_pr_from_counts(counts, k)
     want = [m for m, short in (("roc_auc", "roc"), ("pr_auc", "pr")) if short in metrics]
     u = both.filter(F.col("metric").isin(want))
-    return u.groupBy(*keys, "metric", "rep").agg(F.avg("v").alias("stat"))
+    return u.groupBy(*keys, "metric", "rep").agg(
+        F.when(F.count("v") == F.count(F.lit(1)), F.avg("v")).alias("stat"))
 
 
 def _interval(stats: DataFrame, keys, alpha: float) -> DataFrame:
@@ -145,11 +147,16 @@ def paired_diff_ci(scores: DataFrame, base: str, models=None, keys=("site",), n_
 
 def bootstrap_pvalue(scores: DataFrame, base: str, other: str, keys=("site",), n_rep: int = 1000,
                      seed: int = 42, outcome: str = "outcome", subject: str = "subject_id",
-                     model: str = "model") -> DataFrame:
-    """Unpaired two-sided test of other − base: separate draws per model;
-    p = min(1, 2·min(P(d ≤ 0), P(d ≥ 0))) over replicates (ours)."""
+                     model: str = "model", alternative: str = "two-sided") -> DataFrame:
+    """Unpaired test of other − base: separate draws per model. Over replicates
+    (ours): P(d ≤ 0) for "greater", P(d ≥ 0) for "less", and twice the smaller
+    of them, at most 1, for "two-sided". Both models must score the same rows
+    with equal labels."""
+    if alternative not in ("two-sided", "greater", "less"):
+        raise ValueError(f"unknown alternative {alternative!r}")
     keys = list(keys)
     sub = scores.filter(F.col(model).isin(base, other))
+    check_paired_all(sub, keys + [outcome, subject], 2, model=model)
     rep = replicate(sub, n_rep, seed, [model, outcome, subject])
     st = replicate_stats(rep, keys + [model], outcome)
     d = (st.groupBy(*keys, "metric", "rep")
@@ -159,4 +166,5 @@ def bootstrap_pvalue(scores: DataFrame, base: str, other: str, keys=("site",), n
          .filter(F.col("d").isNotNull() & ~F.isnan("d")))
     g = d.groupBy(*keys, "metric").agg(F.avg((F.col("d") <= 0).cast("double")).alias("le"),
                                       F.avg((F.col("d") >= 0).cast("double")).alias("ge"))
-    return g.select(*keys, "metric", F.least(F.lit(1.0), 2 * F.least("le", "ge")).alias("p_value"))
+    p = {"greater": F.col("le"), "less": F.col("ge")}.get(alternative, F.least(F.lit(1.0), 2 * F.least("le", "ge")))
+    return g.select(*keys, "metric", p.alias("p_value"))

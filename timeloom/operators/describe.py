@@ -177,8 +177,10 @@ def type_counts(vocab: DataFrame, token: str = "token") -> DataFrame:
         F.count(F.lit(1)).alias("n"))
 
 
-def matrix_marginals(m: DataFrame, row: str, col: str, value: str) -> DataFrame:
+def matrix_marginals(m: DataFrame, row: str, col: str, value: str, by=()) -> DataFrame:
     """Row means, column means and the grand mean of a long matrix, via
-    ``cube``; ``row``/``col`` are null on the margins."""
-    return m.cube(row, col).agg(F.avg(value).alias(value),
-                                F.grouping_id().alias("level"))
+    ``cube``; ``row``/``col`` are null on the margins. ``by``: one matrix per
+    value of these columns."""
+    by = list(by)
+    sets = [[*by, row, col], [*by, row], [*by, col], by]
+    return m.groupingSets(sets, *by, row, col).agg(F.avg(value).alias(value), F.grouping_id().alias("level"))

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from timeloom.operators.relational import join_guard
 from timeloom.operators.scans import forward_fill as _ffill
 
 __all__ = ["convert_dose_units", "forward_fill", "severity_score", "encounter_block",
@@ -20,25 +21,31 @@ def convert_dose_units(df: DataFrame, factors: DataFrame, category: str, dose: s
                        out: str = "dose_converted", status: str = "_convert_status") -> DataFrame:
     """dose × factor(unit → preferred unit of the category) (ours).
 
-    ``factors``: (from_unit, to_unit, factor); ``preferred``: (category,
-    to_unit), or every category prefers the to_unit of its factor row.
-    Status is 'success', 'missing dose', 'unknown unit' or 'no preferred unit'.
-    Both lookup tables are literal tables of units, broadcast."""
-    f = F.broadcast(factors.withColumnRenamed("from_unit", "_u"))
-    j = df.join(f, F.col(unit) == F.col("_u"), "left")
-    if preferred is not None:
-        p = F.broadcast(preferred.withColumnRenamed("to_unit", "_pref"))
-        j = j.join(p, category, "left").filter(F.col("_pref").isNull() | (F.col("_pref") == F.col("to_unit"))
-                                               | F.col("to_unit").isNull())
-    st = (F.when(F.col(dose).isNull(), "missing dose")
-          .when(F.col("factor").isNull(), "unknown unit")
-          .otherwise("success"))
-    if preferred is not None:
-        st = F.when(F.col("_pref").isNull() & F.col("factor").isNotNull(), "no preferred unit").otherwise(st)
+    ``factors``: (from_unit, to_unit, factor), unique per (from_unit, to_unit);
+    ``preferred``: (category, to_unit), unique per category. Without
+    ``preferred`` a unit's only factor decides. Every row stays, once: status
+    is 'success', 'missing dose', 'unknown unit' (no factor from it at all),
+    'no preferred unit' (the category has none) or 'no factor' (none to the
+    preferred unit); only a success has a converted dose."""
+    if preferred is None:
+        f = join_guard(factors, ["from_unit"], "factors").withColumn("_known", F.lit(True))
+        j = df.join(f, F.col(unit) == F.col("from_unit"), "left")
+        st = F.when(F.col("_known").isNull(), "unknown unit")
+    else:
+        p = join_guard(preferred.select(F.col(category).alias("_cat"), F.col("to_unit").alias("_pref")), ["_cat"], "preferred")
+        f = join_guard(factors, ["from_unit", "to_unit"], "factors")
+        known = factors.select(F.col("from_unit").alias("_k")).distinct().withColumn("_known", F.lit(True))
+        j = (df.join(known, F.col(unit) == F.col("_k"), "left").drop("_k")
+             .join(p, F.col(category) == F.col("_cat"), "left").drop("_cat")
+             .join(f, (F.col(unit) == F.col("from_unit")) & (F.col("_pref") == F.col("to_unit")), "left"))
+        j = j.withColumn("to_unit", F.col("_pref"))
+        st = (F.when(F.col("_known").isNull(), "unknown unit").when(F.col("_pref").isNull(), "no preferred unit")
+              .when(F.col("factor").isNull(), "no factor"))
+    st = F.when(F.col(dose).isNull(), "missing dose").otherwise(st.otherwise("success"))
     return (j.withColumn(status, st)
             .withColumn(out, F.when(F.col(status) == "success", F.col(dose) * F.col("factor")))
             .withColumnRenamed("to_unit", f"{out}_unit")
-            .drop("_u", "factor", *(["_pref"] if preferred is not None else [])))
+            .drop("from_unit", "factor", "_known", "_pref"))
 
 
 def forward_fill(df: DataFrame, keys, order: str, cols, bucket=None) -> DataFrame:

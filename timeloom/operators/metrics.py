@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from timeloom.functions.scalar import fill_nan, round_even
-from timeloom.operators.scans import running_sums
+from timeloom.operators.scans import null_safe_join, running_sums
 
 __all__ = ["qualify", "score_counts", "roc_auc", "pr_auc", "auc_table"]
 
@@ -69,7 +69,7 @@ def pr_auc(scores: DataFrame, keys, label: str = "future", score: str = "score",
     if n_buckets <= 1:
         c = c.withColumn("_P", F.sum("pos").over(Window.partitionBy(*keys)))
     else:
-        c = c.join(c.groupBy(*keys).agg(F.sum("pos").alias("_P")), keys)
+        c = null_safe_join(c, c.groupBy(*keys).agg(F.sum("pos").alias("_P")), keys)
     tp, fp = F.col("cum_pos"), F.col("cum_neg")
     ptp, pfp = tp - F.col("pos"), fp - F.col("neg")
     prec = F.try_divide(tp, tp + fp)
@@ -84,7 +84,7 @@ def auc_table(scores: DataFrame, keys, **kw) -> DataFrame:
     """ROC and PR area side by side per key."""
     keys = list(keys)
     c = score_counts(scores, keys, kw.pop("label", "future"), kw.pop("score", "score"), kw.pop("weight", None))
-    return roc_auc(c, keys, **kw).join(pr_auc(c, keys, **kw), keys)
+    return null_safe_join(roc_auc(c, keys, **kw), pr_auc(c, keys, **kw), keys)
 
 
 def roc_pr_from_counts(counts: DataFrame, keys, places: int = 4) -> DataFrame:

@@ -154,7 +154,7 @@ def transpose_table(df: DataFrame, index: str, header: str = "stat") -> DataFram
     cols = [c for c in df.columns if c != index]
     long = df.unpivot([index], cols, header, "value")
     values = [r[0] for r in df.select(index).distinct().orderBy(index).collect()]
-    return long.groupBy(header).pivot(index, values).agg(F.first("value"))
+    return pivot_checked(long, header, index, "value", values)
 
 
 def concat_metrics(frames: dict, on) -> DataFrame:

@@ -318,7 +318,9 @@ def timeline_decode(spark, sf):
 def token_lookup_join(spark, sf):
     d = D(spark, sf)
     ex = d.timelines().select("site", "subject_id", F.posexplode("tokens").alias("pos", "token_id"))
-    return d.vocab().join_to(ex, "token_id", "left").select("site", "subject_id", "pos", "token")
+    found = d.vocab().join_to(ex, "token_id", "left")
+    unknown = F.raise_error(F.concat(F.lit("unknown token id "), F.col("token_id").cast("string")))
+    return found.select("site", "subject_id", "pos", F.when(F.col("token").isNull(), unknown.cast("string")).otherwise(F.col("token")).alias("token"))
 
 
 @query("f_list_map", sql(f"""SELECT site, subject_id, string_agg(token, ' ' ORDER BY {ORD}) AS tokens
@@ -618,18 +620,26 @@ def _sites(spark, sf):
     return [r[0] for r in D(spark, sf).subjects().select("site").distinct().orderBy("site").collect()]
 
 
-@query("pivot_sites", sql("""PIVOT (SELECT token, site, round(frequency, 9) AS f FROM tstats) ON site USING first(f) GROUP BY token"""))
+# The sites of the driver's tables, for the SQL twins of pivots.
+SITE_NAMES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+RATED_OUTCOMES = ["LABEL//error_init", "LABEL//highval_init", "LABEL//purchase_init"]
+
+
+@query("pivot_sites", sql("SELECT token, " + ", ".join(
+    f"""max(CASE WHEN site = '{s}' THEN round(frequency, 9) END) AS "{s}\"""" for s in SITE_NAMES) + " FROM tstats GROUP BY token"))
 def pivot_sites(spark, sf):
     s = _stats(spark, sf).select("token", "site", r9("frequency").alias("f"))
     return pivot_checked(s, "token", "site", "f", _sites(spark, sf))
 
 
-@query("transpose_table", sql("""PIVOT (UNPIVOT (SELECT site, round(rate_ever, 9) AS rate_ever, round(rate_future, 9) AS rate_future
-    FROM rates WHERE outcome = 'LABEL//purchase_init') ON rate_ever, rate_future INTO NAME stat VALUE v) ON site USING first(v) GROUP BY stat"""))
+@query("transpose_table", sql("SELECT stat, " + ", ".join(
+    f"""max(CASE WHEN site || ' ' || outcome = '{s} {o}' THEN v END) AS "{s} {o}\"""" for s in SITE_NAMES for o in RATED_OUTCOMES)
+    + """ FROM (UNPIVOT (SELECT site, outcome, round(rate_ever, 9) AS rate_ever, round(rate_future, 9) AS rate_future FROM rates)
+    ON rate_ever, rate_future INTO NAME stat VALUE v) GROUP BY stat"""))
 def transpose_table_q(spark, sf):
-    r = dsc.outcome_rates(_flags(D(spark, sf))).filter(F.col("outcome") == "LABEL//purchase_init")
-    r = r.select("site", r9("rate_ever").alias("rate_ever"), r9("rate_future").alias("rate_future"))
-    return transpose_table(r, "site", "stat")
+    r = dsc.outcome_rates(_flags(D(spark, sf)))
+    r = r.select(F.concat_ws(" ", "site", "outcome").alias("cell"), r9("rate_ever").alias("rate_ever"), r9("rate_future").alias("rate_future"))
+    return transpose_table(r, "cell", "stat")
 
 
 @query("union_sites", sql("""SELECT site, count(*) AS n_timelines, round(avg(len(tokens)), 9) AS avg_len FROM timelines GROUP BY site
@@ -760,21 +770,26 @@ def f_duration(spark, sf):
 # ====================================================================== harmonize
 from timeloom.operators import harmonize as hz  # noqa: E402
 
-# Unit factors to the preferred unit 'unit' (PROMO has none).
+# Unit factors ('unit' reaches every brand, 'case' only some units; PROMO has none).
 UNIT_FACTORS = [("SMALL", "unit", 1.0), ("MEDIUM", "unit", 2.0), ("LARGE", "unit", 4.0),
-                ("ECONOMY", "unit", 0.5), ("STANDARD", "unit", 1.5)]
+                ("ECONOMY", "unit", 0.5), ("STANDARD", "unit", 1.5), ("SMALL", "case", 0.125), ("LARGE", "case", 0.5)]
+#: Preferred unit of a brand, by the last digit of its name.
+PREFERRED_SQL = "CASE right(p_brand, 1) WHEN '1' THEN 'unit' WHEN '2' THEN 'unit' WHEN '3' THEN 'case' WHEN '4' THEN 'case' END"
 
 
-@query("convert_dose_units", """SELECT p.p_type AS unit, CASE WHEN f.factor IS NULL THEN 'unknown unit' ELSE 'success' END AS status,
+@query("convert_dose_units", f"""WITH pref AS (SELECT p_brand, any_value({PREFERRED_SQL}) AS to_unit FROM part WHERE {PREFERRED_SQL} IS NOT NULL GROUP BY p_brand),
+    f(u, t, factor) AS (VALUES """ + ", ".join(f"('{u}', '{t}', {x})" for u, t, x in UNIT_FACTORS) + """)
+    SELECT p.p_type AS unit, pref.to_unit, CASE WHEN l.l_quantity IS NULL THEN 'missing dose' WHEN p.p_type NOT IN (SELECT u FROM f) THEN 'unknown unit'
+        WHEN pref.to_unit IS NULL THEN 'no preferred unit' WHEN f.factor IS NULL THEN 'no factor' ELSE 'success' END AS status,
     count(*) AS n, round(sum(l.l_quantity * f.factor), 6) AS dose FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
-    LEFT JOIN (VALUES """ + ", ".join(f"('{u}', '{t}', {f})" for u, t, f in UNIT_FACTORS) +
-       """) f(u, t, factor) ON p.p_type = f.u GROUP BY 1, 2""")
+    LEFT JOIN pref ON p.p_brand = pref.p_brand LEFT JOIN f ON p.p_type = f.u AND pref.to_unit = f.t GROUP BY 1, 2, 3""")
 def convert_dose_units(spark, sf):
     d = D(spark, sf)
     li = d.t("lineitem").join(d.t("part"), F.col("l_partkey") == F.col("p_partkey"))
     factors = spark.createDataFrame(UNIT_FACTORS, "from_unit string, to_unit string, factor double")
-    c = hz.convert_dose_units(li, factors, "p_brand", "l_quantity", "p_type")
-    return c.groupBy(F.col("p_type").alias("unit"), F.col("_convert_status").alias("status")).agg(
+    preferred = d.t("part").select("p_brand", F.expr(PREFERRED_SQL).alias("to_unit")).where("to_unit is not null").distinct()
+    c = hz.convert_dose_units(li, factors, "p_brand", "l_quantity", "p_type", preferred)
+    return c.groupBy(F.col("p_type").alias("unit"), F.col("dose_converted_unit").alias("to_unit"), F.col("_convert_status").alias("status")).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("dose_converted"), 6).alias("dose"))
 
 

@@ -62,8 +62,8 @@ CTES.update({
     "aucs": "SELECT r.site, r.model, r.outcome, r.roc_auc, p.pr_auc FROM roc_rank r JOIN pr_t p USING (site, model, outcome)",
     "reps": f"""SELECT * FROM (SELECT q.*, r.rep, {_w_sql("(CAST(r.rep AS VARCHAR) || '|' || q.outcome || '|' || CAST(q.subject_id AS VARCHAR))")} AS w
         FROM qs q, range(1, {N_REP + 1}) r(rep)) WHERE w > 0""",
-    "rep_stats": f"""SELECT site, model, 'roc_auc' AS metric, rep, avg(v) AS stat FROM ({_roc_sql("reps", _RK, "w")}) GROUP BY site, model, rep
-        UNION ALL SELECT site, model, 'pr_auc', rep, avg(v) FROM ({_pr_sql("reps", _RK, "w")}) GROUP BY site, model, rep""",
+    "rep_stats": f"""SELECT site, model, 'roc_auc' AS metric, rep, CASE WHEN count(v) = count(*) THEN avg(v) END AS stat FROM ({_roc_sql("reps", _RK, "w")}) GROUP BY site, model, rep
+        UNION ALL SELECT site, model, 'pr_auc', rep, CASE WHEN count(v) = count(*) THEN avg(v) END FROM ({_pr_sql("reps", _RK, "w")}) GROUP BY site, model, rep""",
     "cis": """SELECT site, model, metric, quantile_cont(stat, 0.025) AS lo, quantile_cont(stat, 0.975) AS hi
         FROM rep_stats WHERE stat IS NOT NULL AND NOT isnan(stat) GROUP BY site, model, metric""",
     "diffs": f"""SELECT a.site, a.model, a.metric, quantile_cont(a.stat - b.stat, 0.025) AS lo,
@@ -134,8 +134,12 @@ def concat_metrics_q(spark, sf):
     return concat_metrics({"roc": roc, "pr": pr}, KEYS)
 
 
-@query("unstack_outcomes", sql("""PIVOT (SELECT model, outcome || '_' || site AS col, round(roc_auc, 9) AS v FROM aucs)
-    ON col USING first(v) GROUP BY model"""))
+# Outcomes and sites of the scored rows, for the twin of the pivot.
+CELLS = [f"{o}_{x}" for o in ("quality", "toxic") for x in ("de", "en", "es", "fr")]
+
+
+@query("unstack_outcomes", sql("SELECT model, " + ", ".join(
+    f"max(CASE WHEN outcome || '_' || site = '{c}' THEN round(roc_auc, 9) END) AS {c}" for c in CELLS) + " FROM aucs GROUP BY model"))
 def unstack_outcomes(spark, sf):
     a = _aucs(spark, sf).select("model", F.concat_ws("_", "outcome", "site").alias("col"), r9("roc_auc").alias("v"))
     cols = [r[0] for r in a.select("col").distinct().orderBy("col").collect()]
@@ -149,25 +153,25 @@ def split_table_parts(spark, sf):
     return stp(a, ["outcome", "model", "site"], 4).withColumn("part", F.col("part").cast("long"))
 
 
-@query("matrix_marginals", sql("""SELECT model, site, round(avg(roc_auc), 9) AS roc_auc FROM aucs WHERE outcome = 'quality'
-    GROUP BY CUBE (model, site)"""))
+@query("matrix_marginals", sql("""SELECT outcome, model, site, round(avg(roc_auc), 9) AS roc_auc FROM aucs
+    GROUP BY GROUPING SETS ((outcome, model, site), (outcome, model), (outcome, site), (outcome))"""))
 def matrix_marginals(spark, sf):
     from timeloom.operators.describe import matrix_marginals as mm
-    a = _aucs(spark, sf).filter(F.col("outcome") == "quality")
-    return mm(a, "model", "site", "roc_auc").select("model", "site", r9("roc_auc").alias("roc_auc"))
+    m = mm(_aucs(spark, sf), "model", "site", "roc_auc", by=["outcome"])
+    return m.select("outcome", "model", "site", r9("roc_auc").alias("roc_auc"))
 
 
-@query("paired_scores", sql(f"""SELECT a.site, a.subject_id, a.outcome, a.future, round(a.score, 9) AS score_base,
+@query("paired_scores", sql(f"""SELECT a.site, a.subject_id, a.outcome, a.future, b.model, round(a.score, 9) AS score_base,
     round(b.score, 9) AS score_other FROM qs a JOIN qs b ON a.site = b.site AND a.subject_id = b.subject_id AND a.outcome = b.outcome
-    WHERE a.model = '{BASE}' AND b.model = 'words'"""))
+    WHERE a.model = '{BASE}' AND b.model <> '{BASE}'"""))
 def paired_scores(spark, sf):
-    """Two models on the same subjects; rows and labels must agree."""
+    """Every other model beside the base on the same subjects; rows and labels
+    must agree (one grouped pass checks all models)."""
     q = _q(spark, sf)
     on = ["site", "subject_id", "outcome"]
-    a, b = q.filter(F.col("model") == BASE), q.filter(F.col("model") == "words")
-    bs.check_paired(a, b, on)
-    return (a.select(*on, "future", r9("score").alias("score_base"))
-            .join(b.select(*on, r9("score").alias("score_other")), on, "full"))
+    bs.check_paired_all(q, on, q.select("model").distinct().count())
+    a, b = q.filter(F.col("model") == BASE), q.filter(F.col("model") != BASE)
+    return a.select(*on, "future", r9("score").alias("score_base")).join(b.select(*on, "model", r9("score").alias("score_other")), on)
 
 
 def _ci_out(df):
@@ -179,9 +183,9 @@ def bootstrap_ci(spark, sf):
     return _ci_out(bs.bootstrap_ci(_q(spark, sf), ("site", "model"), N_REP, SEED))
 
 
-@query("paired_diff_ci", sql("SELECT site, model, metric, round(lo, 9) AS lo, round(hi, 9) AS hi FROM diffs WHERE model = 'words'"))
+@query("paired_diff_ci", sql("SELECT site, model, metric, round(lo, 9) AS lo, round(hi, 9) AS hi FROM diffs"))
 def paired_diff_ci(spark, sf):
-    return _ci_out(bs.paired_diff_ci(_q(spark, sf), BASE, ["words"], ("site",), N_REP, SEED))
+    return _ci_out(bs.paired_diff_ci(_q(spark, sf), BASE, ["words", "source"], ("site",), N_REP, SEED))
 
 
 @query("all_diff_cis", sql("SELECT site, model, metric, round(lo, 9) AS lo, round(hi, 9) AS hi FROM diffs"))
@@ -192,8 +196,8 @@ def all_diff_cis(spark, sf):
 CTES.update({
     "reps_u": f"""SELECT * FROM (SELECT q.*, r.rep, {_w_sql("(CAST(r.rep AS VARCHAR) || '|' || q.model || '|' || q.outcome || '|' || CAST(q.subject_id AS VARCHAR))")} AS w
         FROM qs q, range(1, {N_REP + 1}) r(rep) WHERE q.model IN ('{BASE}', 'source')) WHERE w > 0""",
-    "rep_stats_u": f"""SELECT site, model, 'roc_auc' AS metric, rep, avg(v) AS stat FROM ({_roc_sql("reps_u", _RK, "w")}) GROUP BY site, model, rep
-        UNION ALL SELECT site, model, 'pr_auc', rep, avg(v) FROM ({_pr_sql("reps_u", _RK, "w")}) GROUP BY site, model, rep""",
+    "rep_stats_u": f"""SELECT site, model, 'roc_auc' AS metric, rep, CASE WHEN count(v) = count(*) THEN avg(v) END AS stat FROM ({_roc_sql("reps_u", _RK, "w")}) GROUP BY site, model, rep
+        UNION ALL SELECT site, model, 'pr_auc', rep, CASE WHEN count(v) = count(*) THEN avg(v) END FROM ({_pr_sql("reps_u", _RK, "w")}) GROUP BY site, model, rep""",
 })
 
 
@@ -216,14 +220,21 @@ def _cis(spark, sf):
     return d._fitted["cis"]
 
 
-@query("f_ci_format", sql("SELECT site, model, metric, printf('%.3f (±%.3f)', (lo + hi) / 2, (hi - lo) / 2) AS text FROM cis"))
+def _decimal_text(x: str) -> str:
+    return f"CAST(CAST(round(CAST({x} AS DECIMAL(28, 9)), 3) AS DECIMAL(28, 3)) AS VARCHAR)"
+
+
+_CI_TEXT = f"{_decimal_text('(lo + hi) / 2')} || ' (±' || {_decimal_text('abs(hi - lo) / 2')} || ')'"
+
+
+@query("f_ci_format", sql(f"SELECT site, model, metric, {_CI_TEXT} AS text FROM cis"))
 def f_ci_format(spark, sf):
     c = _cis(spark, sf)
     return c.select("site", "model", "metric", S.ci_format("lo", "hi").alias("text"))
 
 
-@query("ci_table", sql("""SELECT site, model, max(CASE WHEN metric = 'roc_auc' THEN printf('%.3f (±%.3f)', (lo + hi) / 2, (hi - lo) / 2) END) AS roc_auc,
-    max(CASE WHEN metric = 'pr_auc' THEN printf('%.3f (±%.3f)', (lo + hi) / 2, (hi - lo) / 2) END) AS pr_auc FROM cis GROUP BY site, model"""))
+@query("ci_table", sql(f"""SELECT site, model, max(CASE WHEN metric = 'roc_auc' THEN {_CI_TEXT} END) AS roc_auc,
+    max(CASE WHEN metric = 'pr_auc' THEN {_CI_TEXT} END) AS pr_auc FROM cis GROUP BY site, model"""))
 def ci_table(spark, sf):
     c = _cis(spark, sf).select("site", "model", "metric", S.ci_format("lo", "hi").alias("text"))
     return pivot_checked(c, ["site", "model"], "metric", "text", ["roc_auc", "pr_auc"])
@@ -282,22 +293,24 @@ def tokenwise_report(spark, sf):
 FRACTIONS = list(range(1, 11)) + list(range(15, 101, 5))
 
 
-@query("fraction_sweep", sql(f"""SELECT site, CAST(f AS INTEGER) AS pct, count(*) AS n, round(
+@query("fraction_sweep", sql(f"""SELECT site, model, outcome, CAST(f AS INTEGER) AS pct, count(*) AS n, round(
         CASE WHEN sum(y) > 0 AND sum(1 - y) > 0 THEN (sum(CASE WHEN y = 1 THEN mr ELSE 0 END) - sum(y) * (sum(y) + 1) / 2.0)
         / (sum(y) * sum(1 - y)) END, 9) AS roc_auc FROM (
-    SELECT *, rank() OVER (PARTITION BY site, f ORDER BY score) + (count(*) OVER (PARTITION BY site, f, score) - 1) / 2.0 AS mr
+    SELECT *, rank() OVER (PARTITION BY site, model, outcome, f ORDER BY score)
+        + (count(*) OVER (PARTITION BY site, model, outcome, f, score) - 1) / 2.0 AS mr
     FROM (SELECT q.*, CAST(q.future AS INTEGER) AS y, t.f FROM qs q, (SELECT unnest({FRACTIONS}) AS f) t
-          WHERE q.model = '{BASE}' AND q.outcome = 'quality' AND {hash_unit_sql('q.subject_id', 11)} < t.f / 100.0))
-    GROUP BY site, f"""))
+          WHERE {hash_unit_sql('q.subject_id', 11)} < t.f / 100.0))
+    GROUP BY site, model, outcome, f"""))
 def fraction_sweep(spark, sf):
-    """Metric against the share of each site's rows: nested samples (a row
-    in the k % sample is in every larger one) by a seeded hash."""
-    q = _q(spark, sf).filter((F.col("model") == BASE) & (F.col("outcome") == "quality"))
-    x = q.select("*", F.explode(F.array(*[F.lit(f) for f in FRACTIONS])).alias("pct")) \
-        .filter(S.hash_unit("subject_id", 11) < F.col("pct") / F.lit(100.0))
-    auc = mt.roc_auc(x, ["site", "pct"])
-    n = x.groupBy("site", "pct").agg(F.count(F.lit(1)).alias("n"))
-    return n.join(auc, ["site", "pct"]).select("site", "pct", "n", r9("roc_auc").alias("roc_auc"))
+    """Metric against the share of each site's rows, for every model and
+    outcome: nested samples (a row in the k % sample is in every larger one)
+    by a seeded hash that is taken once per row."""
+    q = _q(spark, sf).withColumn("_u", S.hash_unit("subject_id", 11))
+    pct = F.filter(F.array(*[F.lit(f) for f in FRACTIONS]), lambda f: F.col("_u") < f / F.lit(100.0))
+    x = q.select(*KEYS, "score", "future", F.explode(pct).alias("pct"))
+    auc = mt.roc_auc(x, [*KEYS, "pct"])
+    n = x.groupBy(*KEYS, "pct").agg(F.count(F.lit(1)).alias("n"))
+    return n.join(auc, [*KEYS, "pct"]).select(*KEYS, "pct", "n", r9("roc_auc").alias("roc_auc"))
 
 
 @query("mc_score", """SELECT vec_id, label, round(avg(CAST(x > 0 AS INTEGER)), 9) AS mc_score FROM

@@ -35,10 +35,10 @@ def _cm(spark, sf):
     return fd.client_means(_emb(spark, sf), "label", "embedding")
 
 
-@query("weighted_mean", f"""SELECT pos, round(sum(value * n) / sum(n), 9) AS value FROM ({_CM}) WHERE pos = 0 GROUP BY pos""")
+@query("weighted_mean", f"""SELECT pos, round(sum(value * n) / sum(n), 9) AS value FROM ({_CM}) GROUP BY pos""")
 def weighted_mean(spark, sf):
     """Clients report (value, n); the server takes Σ value·n / Σ n."""
-    cm = _cm(spark, sf).filter(F.col("pos") == 0)
+    cm = _cm(spark, sf)
     return fd.weighted_mean(cm, ["pos"]).select("pos", r9("value").alias("value"))
 
 

@@ -96,6 +96,15 @@ def cast_key(df: DataFrame, key: str, to: str = "string") -> DataFrame:
     return df.withColumn(key, F.col(key).cast(to)) if key in df.columns else df
 
 
+def _semi_by_text(df: DataFrame, cohort: DataFrame, key: str) -> DataFrame:
+    """Rows whose key, as text, is a cohort key, as text; equal types compare
+    as they are (the text of equal values is equal)."""
+    if df.schema[key].dataType == cohort.schema[key].dataType:
+        return df.join(cohort.select(key), key, "left_semi")
+    keys = cohort.select(F.col(key).cast("string").alias("_key"))
+    return df.join(keys, F.col(key).cast("string") == F.col("_key"), "left_semi")
+
+
 def subset_tables(tables: dict, cohort: DataFrame, subject_key: str, group_key: str) -> dict:
     """Restrict every table to the cohort: by subject key when the table has
     it, else by group key, else unchanged (a lookup table).
@@ -105,11 +114,9 @@ def subset_tables(tables: dict, cohort: DataFrame, subject_key: str, group_key:
     out = {}
     for name, df in tables.items():
         if subject_key in df.columns:
-            keys = cohort.select(F.col(subject_key).cast(df.schema[subject_key].dataType).alias(subject_key))
-            out[name] = df.join(keys, subject_key, "left_semi")
+            out[name] = _semi_by_text(df, cohort, subject_key)
         elif group_key in df.columns:
-            keys = cohort.select(F.col(group_key).cast(df.schema[group_key].dataType).alias(group_key))
-            out[name] = df.join(keys, group_key, "left_semi")
+            out[name] = _semi_by_text(df, cohort, group_key)
         else:
             out[name] = df
     return out
