@@ -3,8 +3,9 @@ against the raw corpus, with plain counting rules before it. Native: built-in
 functions only.
 
 Words and word pairs are hashed to ``BUCKETS`` cells. Two multinomials are
-counted over whole texts, one over the trusted documents and one over all
-documents, both with ``PRIOR`` added to every cell. A document's ratio is the
+counted over whole texts, one over all documents and one over a bounded sample
+of the trusted ones (the ``TRUSTED_DOCS`` ids of smallest hash), both with
+``PRIOR`` added to every cell. A document's ratio is the
 mean over its n-grams of log p_target(cell) - log p_raw(cell); it is kept if
 that is at least ``THRESHOLD`` nats and no base rule failed. The cells are a
 fixed number, so what is collected and sent back is bounded (80 KB).
@@ -21,6 +22,7 @@ from timeloom.llm.common import let, words_of
 
 BUCKETS = 10_000
 PRIOR = 1.0
+TRUSTED_DOCS = 20_000
 THRESHOLD = -0.15
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 WINDOW = 3
@@ -107,17 +109,20 @@ def log_ratios(counts: DataFrame) -> list[float]:
 
 
 def judge(df: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          threshold: float = THRESHOLD) -> DataFrame:
+          threshold: float = THRESHOLD, trusted_docs: int = TRUSTED_DOCS) -> DataFrame:
     """One row per row of ``df``: the id column, n_words, word_chars,
     n_symbols, n_dup_lines, n_repeat_words, base_failed, ratio, kept.
 
     ``trusted_ids`` has the ids of the trusted documents in its first column
-    (repeats and ids without a document do no harm). A null text has no words,
+    (repeats and ids without a document do no harm); ``trusted_docs`` bounds
+    how many of them the target is counted on. A null text has no words,
     fails the base rules and has ratio 0, as has any text without words.
     Repeated rows are judged alike; extra columns are left out; an empty table
     gives an empty one. Without a trusted document every ratio is 0."""
-    trusted = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("_id")).where("_id is not null").distinct().withColumn("_t", F.lit(1))
-    marked = (df.select(id_col, text_col).join(trusted, F.col(id_col) == F.col("_id"), "left")
+    trusted = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("_id")).where("_id is not null").distinct()
+    trusted = trusted.orderBy(F.xxhash64("_id"), "_id").limit(trusted_docs).withColumn("_t", F.lit(1))
+    # at most trusted_docs ids are sent, so no text is shuffled
+    marked = (df.select(id_col, text_col).join(F.broadcast(trusted), F.col(id_col) == F.col("_id"), "left")
               .select(F.col(id_col), F.col(text_col), F.coalesce("_t", F.lit(0)).alias("_t")))
     ratios = log_ratios(cell_counts(marked, text_col, F.col("_t")))
     # one literal array: parsed once by the optimizer, not built per row
