@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from timeloom.functions import scalar as S
 from timeloom.operators import federate as fd
 from timeloom.operators.collate import Entry, Reference, collate
 from timeloom.operators.relational import CardinalityError, checked_join, join_guard, round_shard
@@ -80,6 +81,50 @@ def test_splits_never_cut_a_group(spark):
     assert set(shares) <= {"train", "tuning", "held_out"}
 
 
+def test_strategies_train_differently_and_match_numpy(spark):
+    import numpy as np
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(90, 3))
+    y = (x[:, 0] + 0.3 * rng.normal(size=90) > 0).astype(int)
+    df = spark.createDataFrame([(i, i % 3, x[i].tolist(), int(y[i])) for i in range(90)], "id int, client int, f array<double>, y int")
+    shard = {r.id: r.s for r in df.select("id", (F.floor(S.hash_unit("id", 0) * 2) + 1).alias("s")).collect()}
+    s = np.array([shard[i] for i in range(90)])
+    x1 = np.concatenate([x, np.ones((90, 1))], axis=1)
+
+    def reference(strategy):
+        w, m, v = np.zeros(4), np.zeros(4), np.zeros(4)
+        for r in (1, 2):
+            lr, total, n_all = 0.5 * 0.5 * (1 + np.cos(np.pi * (r - 1) / 2)), np.zeros(4), 0
+            for c in range(3):
+                rows = (s == r) & (np.arange(90) % 3 == c)
+                local = w.copy()
+                for _ in range(2):
+                    local -= lr * x1[rows].T @ (1 / (1 + np.exp(-x1[rows] @ local)) - y[rows]) / rows.sum()
+                total, n_all = total + local * rows.sum(), n_all + rows.sum()
+            a = total / n_all
+            if strategy == "fedavg":
+                w = a
+            elif strategy == "fedavgm":
+                m = 0.5 * m + (w - a)
+                w = w - m
+            else:
+                m, v = 0.9 * m + 0.1 * (a - w), 0.99 * v + 0.01 * (a - w) ** 2
+                w = w + 0.1 * m / (np.sqrt(v) + 1e-9)
+        p = 1 / (1 + np.exp(-x1 @ w))
+        return w, -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean()
+
+    seen = []
+    for strategy in fd.STRATEGIES:
+        weights, rounds = fd.fed_train(df, "client", "f", "y", dim=3, n_rounds=2, local_steps=2, strategy=strategy)
+        got = np.array([r.value for r in weights.orderBy("pos").collect()])
+        want, loss = reference(strategy)
+        assert np.allclose(got, want) and abs(rounds.where("round = 2").first().loss - loss) < 1e-9
+        seen.append(tuple(got))
+    assert len(set(seen)) == 3
+    with pytest.raises(ValueError):
+        fd.fed_train(df, "client", "f", "y", dim=3, strategy="other")
+
+
 def test_strategy_hook_and_fold(spark):
     assert set(fd.STRATEGIES) == {"fedavg", "fedavgm", "fedadam"}
     targets = [1.0, 0.5, 2.0]

@@ -10,11 +10,13 @@ without bias correction); constants are parameters."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from timeloom.functions.scalar import cosine_rate, hash_unit
-from timeloom.session import checkpoint_dir
+from timeloom.functions.scalar import hash_unit
+from timeloom.session import stage_table
 
 __all__ = ["client_means", "fed_avg", "fed_avg_momentum", "fed_adam", "STRATEGIES",
            "subset_memberships", "fed_train", "weighted_mean"]
@@ -78,7 +80,25 @@ def fed_adam(avg: DataFrame, by=("pos",), eta: float = 0.1, beta_1: float = 0.9,
     return _fold(avg, list(by), init, step, lambda acc: acc["x"])
 
 
-STRATEGIES = {"fedavg": None, "fedavgm": fed_avg_momentum, "fedadam": fed_adam}
+def _server_avg(x, m, v, a):
+    return a, m, v
+
+
+def _server_momentum(x, m, v, a, lr: float = 1.0, momentum: float = 0.5):
+    step = F.lit(momentum) * m + (x - a)
+    return x - F.lit(lr) * step, step, v
+
+
+def _server_adam(x, m, v, a, eta: float = 0.1, beta_1: float = 0.9, beta_2: float = 0.99, tau: float = 1e-9):
+    d = a - x
+    m2 = F.lit(beta_1) * m + F.lit(1 - beta_1) * d
+    v2 = F.lit(beta_2) * v + F.lit(1 - beta_2) * d * d
+    return x + F.lit(eta) * m2 / (F.sqrt(v2) + F.lit(tau)), m2, v2
+
+
+#: Server rules by name: from a position's weight x, its two state values m
+#: and v (0 before the first round) and the clients' average a to the new x, m, v.
+STRATEGIES = {"fedavg": _server_avg, "fedavgm": _server_momentum, "fedadam": _server_adam}
 
 
 def subset_memberships(clients: list, size: int = 2) -> list[tuple[str, list]]:
@@ -95,43 +115,55 @@ def fed_train(rows: DataFrame, client: str, features: str, label: str, dim: int,
     Round r: every client takes ``local_steps`` full-batch gradient steps on
     shard r of its rows (a seeded hash splits rows into ``n_rounds`` disjoint
     shards), starting from the global weights, with the cosine rate of the
-    round; the server averages the client weights by example count. Global
-    weights (dim + 1 numbers) are written to the checkpoint folder each round,
-    so the plan never grows. Returns (weights DataFrame, per-round losses)."""
+    round; the server averages the client weights by example count and updates
+    the global weights by ``strategy``, whose state (m, v) it keeps from round
+    to round. After each round the clients' logistic losses over all their
+    rows are averaged by example count. Weights and state (dim + 1 rows) are
+    written to a path of their own each round, so the plan never grows and runs
+    never mix. Returns (weights, per-round (round, lr, loss))."""
+    if strategy not in STRATEGIES:
+        raise ValueError(f"unknown strategy {strategy!r}; known: {sorted(STRATEGIES)}")
     spark = rows.sparkSession
-    ck = checkpoint_dir(spark)
-    base = rows.withColumn("_shard", F.floor(hash_unit(key, seed) * n_rounds).cast("int") + 1)
-    glob = spark.createDataFrame([(i, 0.0) for i in range(dim + 1)], "pos int, value double")
-    losses = []
+    split = F.floor(hash_unit(key, seed) * n_rounds).cast("int") + 1
+    base = stage_table(rows.select(client, features, label, split.alias("_shard")), "fed-rows", ["_shard"])
+    state = spark.createDataFrame([(i, 0.0, 0.0, 0.0) for i in range(dim + 1)], "pos int, x double, m double, v double")
+    n_all = base.groupBy("_shard", client).agg(F.count(F.lit(1)).alias("n"))
+    n_all = stage_table(n_all, "fed-counts")   # one row per shard and client
+    done = []
     for r in range(1, n_rounds + 1):
-        lr = float(spark.range(1).select(cosine_rate(F.lit(base_lr), F.lit(r), F.lit(n_rounds))).first()[0])
+        lr = base_lr * 0.5 * (1 + math.cos(math.pi * (r - 1) / n_rounds))   # ``cosine_rate`` of one round
         shard = base.filter(F.col("_shard") == r).select(client, features, label)
-        ids = [row[0] for row in shard.select(client).distinct().collect()]   # the sites: a short list
-        per_client = glob.select(F.explode(F.array(*[F.lit(c) for c in ids])).alias(client), "pos", "value")
-        local = (per_client.groupBy(client).agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("_w"))
-                 .select(client, F.transform("_w", lambda s: s["value"]).alias("w")))
+        n = n_all.filter(F.col("_shard") == r).select(client, "n")
+        local = n.crossJoin(F.broadcast(_vector(state, "x")))   # one row per client, dim + 1 numbers each
         for _ in range(local_steps):
-            j = shard.join(F.broadcast(local), client)   # one row per client: small
-            z = F.aggregate(F.zip_with(features, F.slice("w", 1, dim), lambda a, b: a * b), F.lit(0.0),
-                            lambda acc, x: acc + x) + F.element_at("w", dim + 1)
-            err = F.lit(1.0) / (F.lit(1.0) + F.exp(-z)) - F.col(label).cast("double")
-            grad = F.concat(F.transform(features, lambda x: x * err), F.array(err))
-            g = (j.select(client, F.posexplode(grad).alias("pos", "g"))
+            j = shard.join(F.broadcast(local.select(client, "w")), client)
+            err = _predicted(features, "w", dim) - F.col(label).cast("double")
+            grad = F.concat(F.transform(features, lambda x: x * F.col("_e")), F.array(F.col("_e")))
+            g = (j.withColumn("_e", err).select(client, F.posexplode(grad).alias("pos", "g"))
                  .groupBy(client, "pos").agg(F.sum("g").alias("g")))
-            n = shard.groupBy(client).agg(F.count(F.lit(1)).alias("n"))
-            cur = local.select(client, F.posexplode("w").alias("pos", "value"))
-            upd = (cur.join(g, [client, "pos"]).join(n, client)
-                   .select(client, "pos", (F.col("value") - F.lit(lr) * F.col("g") / F.col("n")).alias("value"), "n"))
-            local = (upd.groupBy(client).agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("_w"),
-                                             F.first("n").alias("n"))
-                     .select(client, F.transform("_w", lambda s: s["value"]).alias("w"), "n"))
-            local = local.cache()
-        cw = local.select(client, "n", F.posexplode("w").alias("pos", "value"))
-        avg = fed_avg(cw)
-        glob = avg.select(F.col("pos").cast("int").alias("pos"), "value")
-        path = f"{ck.rstrip('/')}/fed_train/round={r}"
-        glob.write.mode("overwrite").parquet(path)
-        glob = spark.read.parquet(path)
-        local.unpersist()
-        losses.append((r, lr))
-    return glob, spark.createDataFrame(losses, "round int, lr double")
+            step = g.groupBy(client).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "g"))), lambda s: s["g"]).alias("g"))
+            local = local.join(step, client).select(client, "n", F.zip_with("w", "g", lambda w, d: w - F.lit(lr) * d / F.col("n")).alias("w"))
+            local = stage_table(local, "fed-local")
+        avg = fed_avg(local.select("n", F.posexplode("w").alias("pos", "value"))).withColumnRenamed("value", "a")
+        x, m, v = STRATEGIES[strategy](F.col("x"), F.col("m"), F.col("v"), F.col("a"))
+        state = state.join(avg, "pos").select("pos", x.alias("x"), m.alias("m"), v.alias("v"))
+        state = stage_table(state, "fed-state")
+        done.append((r, lr, _loss(base, _vector(state, "x"), features, label, dim)))
+    return state.select("pos", F.col("x").alias("value")), spark.createDataFrame(done, "round int, lr double, loss double")
+
+
+def _vector(state: DataFrame, value: str) -> DataFrame:
+    """The dim + 1 weights as one row with the array ``w``."""
+    return state.agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", F.col(value).alias("c")))), lambda s: s["c"]).alias("w"))
+
+
+def _predicted(features: str, w: str, dim: int) -> Column:
+    z = F.aggregate(F.zip_with(features, F.slice(w, 1, dim), lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x) + F.element_at(w, dim + 1)
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+
+
+def _loss(rows: DataFrame, weights: DataFrame, features: str, label: str, dim: int) -> float:
+    """Mean logistic loss of all clients' rows (clients weigh by examples)."""
+    p = F.least(F.greatest(_predicted(features, "w", dim), F.lit(1e-12)), F.lit(1 - 1e-12))
+    y = F.col(label).cast("double")
+    return rows.crossJoin(F.broadcast(weights)).agg(F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p)))).first()[0]

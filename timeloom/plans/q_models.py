@@ -127,12 +127,18 @@ def rounds_sweep(spark, sf):
 
 @query("fed_train")
 def fed_train(spark, sf):
-    """Federated logistic regression on the embeddings: 3 clients, 3 rounds."""
+    """Federated logistic regression on the embeddings: 3 clients, 3 rounds,
+    each server strategy; the loss of the last round rides along."""
     e = _emb(spark, sf).select("vec_id", F.col("embedding").cast("array<double>").alias("x"),
                                (F.col("label") >= 5).cast("int").alias("y"),
                                F.floor(hash_unit("vec_id", 3) * 3).cast("int").alias("client"))
-    w, rounds = fd.fed_train(e, "client", "x", "y", dim=64, n_rounds=3, local_steps=2, key="vec_id")
-    return w
+    out = None
+    for name in sorted(fd.STRATEGIES):
+        w, rounds = fd.fed_train(e, "client", "x", "y", dim=64, n_rounds=3, local_steps=2, key="vec_id", strategy=name)
+        last = rounds.where("round = 3").first().loss
+        part = w.select(F.lit(name).alias("strategy"), "pos", r9("value").alias("value"), F.round(F.lit(last), 9).alias("loss"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query("scorer_hook", """WITH w AS (SELECT list(value ORDER BY pos) AS w FROM (SELECT pos, sum(value * n) / sum(n) AS value
