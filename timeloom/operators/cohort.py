@@ -3,10 +3,10 @@ within a window of the start; then every table restricted to the cohort."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from timeloom.operators.relational import checked_join, first_per_group
+from timeloom.operators.relational import first_per_group
 from timeloom.sources.io import subset_tables
 
 __all__ = ["first_stays", "first_unit_entry", "cohort_select", "cohort_apply"]
@@ -35,7 +35,11 @@ def cohort_select(stays: DataFrame, units: DataFrame, min_stay_days: int = 1,
     first = first_stays(stays, patient, stay, start)
     long_enough = first.filter(F.col(end) - F.col(start) >= F.expr(f"INTERVAL {min_stay_days} DAYS"))
     entry = first_unit_entry(units, stay)
-    j = checked_join(long_enough, entry, stay, "inner", validate=None)
+    # 1:1 by promise: the entry side is grouped, the stay side is checked in the plan
+    twice = F.count(F.lit(1)).over(Window.partitionBy(stay)) > 1
+    j = long_enough.withColumn("_twice", twice).join(entry, stay)
+    j = j.withColumn(patient, F.when(F.col("_twice"), F.raise_error(F.lit("a stay belongs to two patients")).cast(j.schema[patient].dataType))
+                     .otherwise(F.col(patient)))
     return (j.filter(F.col("first_unit_in") <= F.col(start) + F.expr(f"INTERVAL {unit_within_days} DAYS"))
             .select(patient, stay, "first_unit_in"))
 

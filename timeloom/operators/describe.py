@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from timeloom.functions.scalar import micros, trunc_div
 
+from timeloom.session import stage_table
+
 __all__ = [
     "explode_timelines", "token_counts", "token_stats", "quantized_groups",
     "site_divergence", "outcome_rates", "demographics_table", "timeline_stats",
@@ -63,9 +65,10 @@ def quantized_groups(stats: DataFrame, token: str = "token") -> DataFrame:
 
 def site_pairs(sites: DataFrame, site: str = "site") -> DataFrame:
     """All unordered pairs of distinct sites."""
-    a = sites.select(F.col(site).alias("site_a")).distinct()
-    b = sites.select(F.col(site).alias("site_b")).distinct()
-    return a.join(b, F.col("site_a") < F.col("site_b"))
+    every = sites.agg(F.array_sort(F.collect_set(site)).alias("s"))   # distinct sites: a dimension
+    pairs = F.flatten(F.transform("s", lambda a: F.transform(
+        F.filter("s", lambda b: a < b), lambda b: F.struct(a.alias("site_a"), b.alias("site_b")))))
+    return every.select(F.inline(pairs))
 
 
 def site_divergence(stats: DataFrame, value: str = "frequency") -> DataFrame:
@@ -78,6 +81,8 @@ def site_divergence(stats: DataFrame, value: str = "frequency") -> DataFrame:
     No site pairs are formed: for n sorted values x₁ ≤ … ≤ xₙ the sum of all
     pairwise gaps is Σⱼ xⱼ(2j − n − 1), a window over each (group, bin). The
     mean over pairs is that sum over bins divided by n(n − 1)/2."""
+    # one row per (site, token): written once, the steps below reread it
+    stats = stage_table(stats.select("site", "token", value), "token-stats")
     q = quantized_groups(stats)
     n_sites = stats.select("site").distinct().count()
     per_grp = Window.partitionBy("grp")

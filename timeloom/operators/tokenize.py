@@ -126,11 +126,12 @@ def vocab_apply(tokens: DataFrame, vocab, token: str = "token") -> DataFrame:
 
 
 def prefix_rank(prefix: Column | str = "prefix", ordering=DEFAULT_ORDERING) -> Column:
-    """1-based position in the ordering list; unknown prefixes after all
-    listed ones but before EOS is not guaranteed, so list every prefix."""
+    """1-based position in the ordering list; prefixes that are not listed come
+    after all listed ones, but before a closing EOS."""
     p = F.col(prefix) if isinstance(prefix, str) else prefix
     pos = F.array_position(F.array(*[F.lit(x) for x in ordering]), p)
-    return F.when(pos == 0, F.lit(len(ordering) + 1)).otherwise(pos).cast("int")
+    last = F.lit(bool(ordering) and ordering[-1] == "EOS") & (p == "EOS")
+    return F.when(last, F.lit(len(ordering) + 2)).when(pos == 0, F.lit(len(ordering) + 1)).otherwise(pos).cast("int")
 
 
 def add_bounds(tokens: DataFrame, ref: DataFrame, start: str = "start_time",
@@ -167,11 +168,12 @@ def timeline_build(tokens: DataFrame, ordering=DEFAULT_ORDERING,
                     F.transform("_ev", lambda x: x["t"]).alias("times"))
 
 
-def gap_spacers(tokens: DataFrame, keys=("site", "subject_id"), spacers=SPACERS) -> DataFrame:
+def gap_spacers(tokens: DataFrame, keys=("site", "subject_id"), spacers=SPACERS,
+                ordering=DEFAULT_ORDERING) -> DataFrame:
     """A ``TIME//<range>`` row before each event that follows a gap of at least
     5 minutes; the spacer carries the later event's time. Consecutive events
     at the same time never get one. Rows get ``prefix = 'TIME'``."""
-    w = Window.partitionBy(*keys).orderBy("time", prefix_rank("prefix"), "token")
+    w = Window.partitionBy(*keys).orderBy("time", prefix_rank("prefix", ordering), "token")
     gap_min = (micros("time") - F.lag(micros("time")).over(w)) / F.lit(60_000_000.0)
     label = F.lit(None).cast("string")
     for name, lo in spacers:

@@ -26,6 +26,46 @@ def scan_projected(spark, sf):
     return io.scan_projected(spark, sf, "orders", ["o_orderkey", "o_totalprice"])
 
 
+@query("scan_glob", "SELECT n_nationkey AS k, n_name AS name FROM nation")
+def scan_glob(spark, sf):
+    return io.scan_glob(spark, f"{sf}/nation*.parquet").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name"))
+
+
+@query("scan_optional", """SELECT 'nation' AS tbl, count(*) AS n_rows FROM nation
+    UNION ALL SELECT 'orders', count(*) FROM orders""")
+def scan_optional(spark, sf):
+    """The inputs that exist; the missing one is left out."""
+    found = io.scan_optional(spark, {"nation": f"{sf}/nation.parquet", "orders": f"{sf}/orders.parquet", "none": f"{sf}/no_such_table.parquet"})
+    return R.union_all([df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(k).alias("tbl"), "n_rows") for k, df in found.items()])
+
+
+@query("schema_discover", """SELECT 'cut' AS outcome, count(*) FILTER (WHERE l_discount > 0.05) AS n FROM lineitem
+    UNION ALL SELECT 'big', count(*) FILTER (WHERE l_quantity > 40) FROM lineitem""")
+def schema_discover(spark, sf):
+    """Outcomes found by the suffix of boolean columns, counted."""
+    li = T(spark, sf, "lineitem").select("l_orderkey", (F.col("l_discount") > 0.05).alias("cut_past"),
+                                         (F.col("l_quantity") > 40).alias("big_past"), F.col("l_linestatus").alias("note_past"))
+    names = io.schema_discover(li)
+    return li.agg(*[F.count(F.when(F.col(f"{n}_past"), 1)).alias(n) for n in names]).unpivot([], names, "outcome", "n")
+
+
+@query("cast_key", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_custkey FROM orders")
+def cast_key(spark, sf):
+    return io.cast_key(T(spark, sf, "orders"), "o_orderkey").select("o_orderkey", "o_custkey")
+
+
+@query("drop_optional", "SELECT * EXCLUDE (s_acctbal) FROM supplier")
+def drop_optional(spark, sf):
+    return io.drop_optional(T(spark, sf, "supplier"), "s_acctbal", "no_such_column")
+
+
+@query("join_guard", "SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+def join_guard(spark, sf):
+    """Many nations to one region: the right side is checked to be unique."""
+    region = T(spark, sf, "region").withColumnRenamed("r_regionkey", "n_regionkey")
+    return R.checked_join(T(spark, sf, "nation"), region, "n_regionkey", "inner", "m:1").select("n_name", "r_name")
+
+
 @query("subset_tables", """
     WITH stays AS (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'),
          pats AS (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
