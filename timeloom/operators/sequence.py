@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timeloom.session import checkpoint_dir
+from timeloom.session import stage_table
 
 __all__ = ["words", "bigram_counts", "cross_site_loss"]
 
@@ -46,9 +46,8 @@ def cross_site_loss(docs: DataFrame, site: str = "site", text: str = "text", alp
     each model site (sites are a short list)."""
     w = words(docs, site, text)
     # the bigram counts are the fitted models, read by five branches below:
-    # written once (reliable checkpoint in the shared folder)
-    checkpoint_dir(docs.sparkSession)
-    cnt = bigram_counts(w).checkpoint(eager=True)
+    # written once (Parquet in the shared folder)
+    cnt = stage_table(bigram_counts(w), "bigrams")
     sites = [r[0] for r in cnt.select("site").distinct().orderBy("site").collect()]
     # V_m: distinct words of the site's texts with two or more words (shorter
     # texts are skipped), read off the aggregated bigrams: no second text pass

@@ -1,7 +1,7 @@
 """Joins against fitted artifacts (vocabulary, quantile breaks).
 
-A fitted table is materialized once (reliable checkpoint in the shared
-checkpoint folder), its row count is known, and it is broadcast only when
+A fitted table is materialized once (Parquet in the shared checkpoint
+folder), its row count is known, and it is broadcast only when
 that count is under the bound; otherwise the join is left to the planner
 (sort-merge, or AQE's runtime broadcast)."""
 
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timeloom.session import checkpoint_dir
+from timeloom.session import stage_table
 
 # Fixed bound: at most this many rows of a fitted table are broadcast.
 BROADCAST_MAX_ROWS = 2_000_000
@@ -27,8 +27,7 @@ class Fitted:
     @classmethod
     def materialize(cls, df: DataFrame, checkpoint: bool = True) -> "Fitted":
         if checkpoint:
-            checkpoint_dir(df.sparkSession)
-            df = df.checkpoint(eager=True)
+            df = stage_table(df, "fitted")
         return cls(df, df.count())
 
     def join_to(self, big: DataFrame, on, how: str = "left") -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timeloom.operators.collate import Entry, Reference, collate, subject_split
-from timeloom.session import checkpoint_dir
+from timeloom.session import stage_table
 from timeloom.operators.tokenize import (add_bounds, quantile_apply, quantile_fit,
                                          timeline_build, token_build, vocab_apply,
                                          vocab_fit)
@@ -98,8 +98,7 @@ class Driver:
         tables = {"events": self.ev()}
         evl = subject_split(collate(tables, self.ref(), REFERENCE, ENTRIES), "group_id", SPLIT_SEED)
         if materialize:
-            checkpoint_dir(self.spark)
-            evl = evl.checkpoint(eager=True)
+            evl = stage_table(evl, "events-long", ["site", "split"])
             self._fitted["events_long"] = evl
         return evl
 
@@ -123,8 +122,7 @@ class Driver:
         binned = quantile_apply(self.events_long(materialize), self.breaks(materialize))
         tok = add_bounds(token_build(binned), self.ref())
         if materialize:   # read by the vocabulary fit and the id stage: written once
-            checkpoint_dir(self.spark)
-            tok = tok.checkpoint(eager=True)
+            tok = stage_table(tok, "tokens", ["site", "split"])
             self._fitted["tokens"] = tok
         return tok
 
@@ -141,14 +139,13 @@ class Driver:
 
         Like the source's staged pipeline (collate → tokenize → winnow, each
         stage written to parquet), the token stage is written once (reliable
-        checkpoint in the shared folder) and later stages read it."""
+        Parquet table in the shared folder) and later stages read it."""
         if "token_ids" in self._fitted:
             return self._fitted["token_ids"]
         ids = vocab_apply(self.tokens(), self.vocab())
         ids = ids.withColumn("token", F.when(F.col("token_id") == 0, F.lit("UNK")).otherwise(F.col("token")))
         if materialize:
-            checkpoint_dir(self.spark)
-            ids = ids.checkpoint(eager=True)
+            ids = stage_table(ids, "token-ids", ["site", "split"])
             self._fitted["token_ids"] = ids
         return ids
 
@@ -184,8 +181,7 @@ class Driver:
             return self._fitted["scores"]
         out = self._scores()
         if materialize:
-            checkpoint_dir(self.spark)
-            out = out.checkpoint(eager=True)
+            out = stage_table(out, "scores", ["site"])
             self._fitted["scores"] = out
         return out
 

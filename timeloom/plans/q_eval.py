@@ -9,6 +9,7 @@ from timeloom.operators import bootstrap as bs
 from timeloom.operators import metrics as mt
 from timeloom.operators.relational import (concat_metrics, custom_order, grid_complete,
                                            pivot_checked, split_table_parts as stp)
+from timeloom.session import stage_table
 from timeloom.plans.catalog import D, query, r9
 from timeloom.plans.oracle import CTES, hash_unit_sql, sql
 
@@ -216,7 +217,7 @@ def _cis(spark, sf):
     queries built on it (formatting, bars, cells)."""
     d = D(spark, sf)
     if "cis" not in d._fitted:
-        d._fitted["cis"] = bs.bootstrap_ci(_q(spark, sf), ("site", "model"), N_REP, SEED).checkpoint(eager=True)
+        d._fitted["cis"] = stage_table(bs.bootstrap_ci(_q(spark, sf), ("site", "model"), N_REP, SEED), "intervals")
     return d._fitted["cis"]
 
 

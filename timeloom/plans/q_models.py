@@ -13,6 +13,7 @@ from timeloom.operators import winnow as wnw
 from timeloom.operators.metrics import roc_auc
 from timeloom.operators.sequence import cross_site_loss as csl
 from timeloom.plans import driver as drv
+from timeloom.session import stage_table
 from timeloom.plans.catalog import D, query, r9
 from timeloom.plans.oracle import hash_unit_sql
 
@@ -178,7 +179,7 @@ def _fit_grid(spark, sf, fitter, pooled=False):
     d = D(spark, sf)
     key = ("fit_grid", fitter.__name__, pooled)
     if key not in d._fitted:
-        d._fitted[key] = _fit_grid_uncached(spark, sf, fitter, pooled).checkpoint(eager=True)
+        d._fitted[key] = stage_table(_fit_grid_uncached(spark, sf, fitter, pooled), "fit-grid")
     return d._fitted[key]
 
 
