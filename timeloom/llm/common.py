@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timeloom.session import stage_table
+from timeloom.session import release, stage_table
 
 #: Words of the contracts: runs of anything but space, tab, \n, \v, \f, \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -81,7 +81,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
         small = large.join(low2, "u").select(F.explode(F.array(
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("p")).select("p.*")
-        e = stage_table(small.where("u != v").distinct(), "cc")
+        before, e = e, stage_table(small.where("u != v").distinct(), "cc")
+        release(before)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             break
@@ -89,5 +90,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     stars = e.groupBy("u").agg(F.min("v").alias("component"))
-    return (stars.select(F.col("u").alias("node"), "component")
-            .unionByName(stars.select(F.col("component").alias("node"), "component").distinct()))
+    out = stage_table(stars.select(F.col("u").alias("node"), "component")
+                      .unionByName(stars.select(F.col("component").alias("node"), "component").distinct()), "cc-parts")
+    release(e)
+    return out

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from timeloom.llm.common import arrow_slices, connected_components
-from timeloom.session import stage_table
+from timeloom.session import release, stage_table
 
 SHINGLE = 3
 RADIUS = 3
@@ -221,7 +221,9 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     near = F.bit_count(F.col("q").bitwiseXOR(F.col("fp"))) <= radius
     # the planner cannot know how many probes a fingerprint makes: no broadcast
     met = probes.hint("merge").join(indexed, (probes["cell"] == indexed["cell"]) & (F.col("q") != F.col("fp")) & near)
-    return met.select(F.least("q", "fp").alias("a"), F.greatest("q", "fp").alias("b")).distinct()
+    found = stage_table(met.select(F.least("q", "fp").alias("a"), F.greatest("q", "fp").alias("b")).distinct(), "gph-links")
+    release(indexed)
+    return found
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -75,4 +75,15 @@ def stage_table(df: DataFrame, name: str, partition_by: list[str] | None = None)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    out = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    out._stage_path = path
+    return out
+
+
+def release(*stages: DataFrame) -> None:
+    """Remove the files of stage tables that nothing will read again: call it
+    once all that was derived from them is written."""
+    for df in stages:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._stage_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
