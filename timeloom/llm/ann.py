@@ -5,7 +5,8 @@ on a bounded sample). Codes are cut into 16-bit substrings, and every substring
 has an index of its own. By the pigeonhole principle a code within radius
 ``m * (t + 1) - 1`` of a query's agrees with it up to t bits in at least one of
 the m substrings; so after the buckets within t bits of each of the query's
-substrings have been probed, every code within that radius has been retrieved.
+substrings have been probed, every code within that radius has been retrieved
+(within t bits of the first j and t - 1 of the others: within m * t - 1 + j).
 Candidates within the radius are reranked with their float vectors. t grows
 until the radius covers the angle of the k-th best vector found, with a margin
 for the spread of the codes.
@@ -31,9 +32,9 @@ from timeloom.session import stage_table
 
 BITS, SUB = 128, 16
 SAMPLE = 8192
-SHARD_ROWS, BLOCK_ROWS = 16_384, 256
+SHARD_ROWS, BLOCK_ROWS = 65_536, 256
 #: Standard deviations of a code distance that the radius covers beyond the mean.
-MARGIN = 1.65
+MARGIN = 1.3
 
 
 def valid(emb) -> "F.Column":
@@ -80,6 +81,7 @@ class Shard:
         extra = np.sqrt(np.maximum(biggest ** 2 - (vectors ** 2).sum(axis=1), 0))
         self.codes = codes(np.concatenate([vectors, extra[:, None]], axis=1), projection)
         self.m = self.codes.shape[1]
+        self.packed = self.codes.astype(np.uint16).view(np.uint64)
         self.order = [np.argsort(self.codes[:, s], kind="stable") for s in range(self.m)]
         self.starts = [np.concatenate([[0], np.cumsum(np.bincount(self.codes[:, s], minlength=1 << SUB))]) for s in range(self.m)]
         self.values = [np.unique(self.codes[:, s]) for s in range(self.m)]
@@ -101,25 +103,32 @@ class Shard:
         return self.order[s][np.arange(ends[-1] if len(ends) else 0) + np.repeat(lo - (ends - n), n)]
 
     def search(self, q, k: int, margin: float = MARGIN):
-        """(rows, scores) of the k best found, best first."""
+        """(rows, scores) of the k best found, best first.
+
+        Probing substring after substring at t = 0, 1, .. bits widens the
+        radius of complete retrieval by one each time; the round at t stops
+        as soon as the radius that the k-th best asks for is reached."""
         np = self.np
         own = codes(np.append(q, 0.0)[None, :], self.projection)[0]
+        packed = own.astype(np.uint16).view(np.uint64)
         known = np.zeros(len(self.x), dtype=bool)
         far_rows, far_dist = np.zeros(0, np.int64), np.zeros(0, np.int64)
         best_rows, best = np.zeros(0, np.int64), np.zeros(0)
         bits, norm = self.m * SUB, float(np.sqrt((q * q).sum()))
+        radius, needed = -1, bits
         for t in range(SUB + 1):
+            asked = min(self.m, needed - radius)
             new = []
-            for s in range(self.m):
+            for s in range(asked):
                 rows = self.rows_at(s, int(own[s]), t)
                 rows = rows[~known[rows]]
                 known[rows] = True
                 new.append(rows)
+            radius += asked
             rows = np.concatenate(new)
-            dist = self.weight[self.codes[rows] ^ own].sum(axis=1)
+            dist = np.bitwise_count(self.packed[rows] ^ packed).sum(axis=1, dtype=np.int64)
             rows, dist = np.concatenate([far_rows, rows]), np.concatenate([far_dist, dist])
-            radius = self.m * (t + 1) - 1
-            near = dist <= radius if t < SUB else np.ones(len(rows), dtype=bool)
+            near = dist <= radius
             far_rows, far_dist, rows = rows[~near], dist[~near], rows[near]
             if len(rows):
                 # a sum of each row by itself: equal vectors get equal scores
@@ -129,8 +138,9 @@ class Shard:
                 best_rows, best = best_rows[keep], best[keep]
             if len(best) >= k:
                 p = math.acos(max(-1.0, min(1.0, best[-1] / (self.biggest * norm)))) / math.pi
-                if radius >= bits * p + margin * math.sqrt(bits * p * (1 - p)):
-                    break
+                needed = min(bits, math.ceil(bits * p + margin * math.sqrt(bits * p * (1 - p))))
+            if radius >= needed:
+                break
         return best_rows, best
 
 
