@@ -31,38 +31,22 @@ def col_of(c) -> Column:
 
 
 # ---------------------------------------------------------------- patterns
+#: A shell pattern's pieces: a closed bracket set, or one character.
+_GLOB_PIECE = re.compile(r"\[(!?)(\]?[^\]]*)\]|(.)", re.S)
+
+
 def glob_to_regex(pattern: str) -> str:
-    """Shell pattern (``fnmatch`` rules, case-sensitive) → anchored regex that
-    both Java and RE2 accept. ``\\z`` anchors at the very end, unlike ``$``."""
-    out, i, n = [], 0, len(pattern)
-    while i < n:
-        ch = pattern[i]
-        i += 1
-        if ch == "*":
-            out.append(".*")
-        elif ch == "?":
-            out.append(".")
-        elif ch == "[":
-            j = i
-            if j < n and pattern[j] == "!":
-                j += 1
-            if j < n and pattern[j] == "]":
-                j += 1
-            while j < n and pattern[j] != "]":
-                j += 1
-            if j >= n:
-                out.append("\\[")
-            else:
-                body = pattern[i:j].replace("\\", "\\\\")
-                i = j + 1
-                if body.startswith("!"):
-                    body = "^" + body[1:]
-                elif body.startswith("^"):
-                    body = "\\" + body
-                out.append(f"[{body}]")
-        else:
-            out.append(re.escape(ch) if not ch.isalnum() else ch)
-    return "(?s)\\A" + "".join(out) + "\\z"
+    """Shell pattern (case-sensitive) as an anchored regex that both Java and
+    RE2 accept. ``\\z`` anchors at the very end, unlike ``$``."""
+    wild = {"*": ".*", "?": "."}
+
+    def piece(m) -> str:
+        if m[3] is not None:
+            return wild.get(m[3], re.escape(m[3]))
+        members = re.sub(r"([\\\[\]^&])", r"\\\1", m[2])
+        return f"[{'^' if m[1] else ''}{members}]"
+
+    return "(?s)\\A" + _GLOB_PIECE.sub(piece, pattern) + "\\z"
 
 
 def globs_to_regex(patterns) -> str:
@@ -74,7 +58,8 @@ def matches_any_glob(c, patterns) -> Column:
     return col_of(c).rlike(globs_to_regex(patterns))
 
 
-def _fnmatch_check(text: str, patterns) -> bool:  # used by tests only
+def _fnmatch_check(text: str, patterns) -> bool:
+    """What the patterns mean, by the standard library (for tests)."""
     return any(fnmatch.fnmatchcase(text, p) for p in patterns)
 
 
@@ -249,11 +234,7 @@ def concat_cast(prefix: str, c) -> Column:
     return F.concat(F.lit(prefix), col_of(c).cast("string"))
 
 
-# Site labels recognised in model names, checked in this order.
-SITE_LABELS = ["ucmc", "nu", "mimic", "all"]
-
-
-def site_label(c, labels=SITE_LABELS, suffix_sep: str = "-") -> Column:
+def site_label(c, labels, suffix_sep: str = "-") -> Column:
     """First listed label found in the name decides; else the last part of
     the name upper-cased."""
     s = F.lower(col_of(c))

@@ -228,13 +228,17 @@ def case_map(spark, sf):
                     .otherwise(F.col("o_orderstatus")).alias("status"))
 
 
+# Site labels recognised in names, checked in this order.
+SITE_LABELS = ["ucmc", "nu", "mimic", "all"]
+
+
 @query("case_extract_site", """SELECT p_partkey, CASE
         WHEN contains(lower(p_name), 'ucmc') THEN 'UCMC' WHEN contains(lower(p_name), 'nu') THEN 'NU'
         WHEN contains(lower(p_name), 'mimic') THEN 'MIMIC' WHEN contains(lower(p_name), 'all') THEN 'ALL'
         ELSE upper(split_part(p_name, ' ', -1)) END AS label FROM part""")
 def case_extract_site(spark, sf):
     p = T(spark, sf, "part")
-    return p.select("p_partkey", S.site_label("p_name", suffix_sep=" ").alias("label"))
+    return p.select("p_partkey", S.site_label("p_name", SITE_LABELS, suffix_sep=" ").alias("label"))
 
 
 @query("sort_table", "SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey")
