@@ -98,25 +98,27 @@ def forward(p: dict, x, counts):
 
 def fit_bags(x, counts, labels, seed: int = 1) -> dict:
     """Parameters by Adam on the logistic loss; repeatable for the same bags
-    in the same order."""
+    in the same order. ``x`` may be float16: rows become float32, scaled, batch
+    by batch, so the sample is held once and small."""
     import numpy as np
 
     rng = np.random.default_rng(seed)
     n, starts = len(counts), np.cumsum(counts) - counts
-    mean, std = x.mean(axis=0), x.std(axis=0) + 1e-3
+    mean = x.mean(axis=0, dtype=np.float64).astype(np.float32)
+    square = sum((x[i:i + 1024].astype(np.float64) ** 2).sum(axis=0) for i in range(0, len(x), 1024)) / len(x)
+    std = (np.sqrt(np.maximum(square - mean.astype(np.float64) ** 2, 0)) + 1e-3).astype(np.float32)
     p = {"We": rng.normal(0, FEATURES ** -0.5, (FEATURES, HIDDEN)), "be": np.zeros(HIDDEN),
          "Wt": rng.normal(0, HIDDEN ** -0.5, (HIDDEN, GATE)), "Wg": rng.normal(0, HIDDEN ** -0.5, (HIDDEN, GATE)),
          "wa": rng.normal(0, GATE ** -0.5, GATE), "w": rng.normal(0, HIDDEN ** -0.5, HIDDEN), "b": np.zeros(1)}
     p = {k: v.astype(np.float32) for k, v in p.items()}
     m1, m2, step = {k: 0 * v for k, v in p.items()}, {k: 0 * v for k, v in p.items()}, 0
-    x = (x - mean) / std
     for _ in range(EPOCHS):
         order = rng.permutation(n)
         for at in range(0, n, BATCH):
             bags = order[at:at + BATCH]
             c = counts[bags]
             rows = np.arange(c.sum()) + np.repeat(starts[bags] - (np.cumsum(c) - c), c)
-            xb = x[rows]
+            xb = (x[rows].astype(np.float32) - mean) / std
             s, (h, t, g, a, z, first) = forward(p, xb, c)
             dz1 = ((s - labels[bags]) / len(bags)).astype(np.float32)
             dz = dz1[:, None] * p["w"]
@@ -153,7 +155,6 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
              .select(F.xxhash64(F.lit(11), "_id", "_y").alias("_h"), F.col("_id"), F.col("_y"),
                      F.coalesce(text_col, F.lit("")).alias("_t")))
     bytes_upto = F.sum(F.octet_length("_t")).over(_by_hash())
-    xs, cs, ys = [], [], []
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -168,17 +169,20 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     schema = T.StructType([T.StructField("h", T.LongType()), T.StructField("id", taken.schema["_id"].dataType),
                            T.StructField("y", taken.schema["_y"].dataType), T.StructField("bag", T.BinaryType())])
     kept = taken.withColumn("_n", bytes_upto).where(F.col("_n") <= FIT_BYTES).select("_h", "_id", "_y", "_t").mapInArrow(run, schema)
-    for r in kept.toPandas().sort_values(["h", "id", "y", "bag"]).itertuples():
-        bag = np.frombuffer(r.bag, dtype=np.float16).reshape(-1, FEATURES).astype(np.float32)
-        xs.append(bag)
-        cs.append(len(bag))
-        ys.append(int(r.y))
-    if not ys:
+    rows = kept.toPandas().sort_values(["h", "id", "y", "bag"])
+    if not len(rows):
         return None
+    counts = np.array([len(b) // (2 * FEATURES) for b in rows["bag"]], dtype=np.int64)
+    ys = rows["y"].to_numpy(np.int64)
+    x, at = np.empty((counts.sum(), FEATURES), dtype=np.float16), 0
+    for bag, n in zip(rows["bag"], counts, strict=True):
+        x[at:at + n] = np.frombuffer(bag, dtype=np.float16).reshape(-1, FEATURES)
+        at += n
+    del rows
     y = np.array(ys, dtype=np.float32)
     if y.min() == y.max():
         return {"constant": float(y[0]) * 0.98 + 0.01}
-    return fit_bags(np.concatenate(xs), np.array(cs, dtype=np.int64), y)
+    return fit_bags(x, counts, y)
 
 
 def _by_hash():
