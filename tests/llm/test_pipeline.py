@@ -8,7 +8,7 @@ import corpus_pipeline
 from timeloom.llm import bpe, mixing
 from timeloom.session import stage_table
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"  # enough labels to learn from
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
