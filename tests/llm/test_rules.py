@@ -47,6 +47,24 @@ def test_documents_against_brute_force(spark, docs):
     assert all(abs(g[7] - w[7]) < 1e-6 for g, w in zip(got, want, strict=True))
 
 
+def test_target_covers_every_trusted_document(spark):
+    """More trusted ids than any sample of 20,000, a hot id and rows without
+    id: every trusted row counts, and no other."""
+    docs = spark.range(30_000).select("id", F.concat(F.lit("w"), F.col("id") % 7).alias("text"))
+    docs = docs.unionByName(spark.range(500).select(F.lit(3).cast("long").alias("id"), F.lit("hot").alias("text")))
+    docs = docs.unionByName(spark.range(40).select(F.lit(None).cast("long").alias("id"), F.lit("nobody").alias("text")))
+    counts = rules.cell_counts(docs, spark.range(25_000).select(F.col("id").alias("_id")), "id", "text").collect()
+    assert sum(r.raw for r in counts) == 30_540 and sum(r.target for r in counts) == 25_500
+    cell = spark.range(1).select(F.pmod(F.xxhash64(F.lit("nobody")), F.lit(rules.BUCKETS)).alias("c")).first().c
+    assert [r.target for r in counts if r.cell == cell] == [0]
+    # judged as the contract says: mean log ratio over all 25,500 trusted rows
+    got = rules.judge(docs, spark.range(25_000), "id").where("id = 29999").first().ratio
+    trusted = sum(1 for i in range(25_000) if i % 7 == 29_999 % 7)
+    whole = sum(1 for i in range(30_000) if i % 7 == 29_999 % 7)
+    want = math.log((trusted + 1) / (25_500 + rules.BUCKETS)) - math.log((whole + 1) / (30_540 + rules.BUCKETS))
+    assert abs(got - want) < 1e-9
+
+
 def test_no_trusted_documents_and_empty_table(spark, docs, no_docs):
     none = spark.createDataFrame([], "doc_id long")
     assert {r.ratio for r in rules.judge(docs, none).collect()} == {0.0}

@@ -3,9 +3,8 @@ against the raw corpus, with plain counting rules before it. Native: built-in
 functions only.
 
 Words and word pairs are hashed to ``BUCKETS`` cells. Two multinomials are
-counted over whole texts, one over all documents and one over a bounded sample
-of the trusted ones (the ``TRUSTED_DOCS`` ids of smallest hash), both with
-``PRIOR`` added to every cell. A document's ratio is the
+counted over whole texts, one over all documents and one over all trusted ones,
+both with ``PRIOR`` added to every cell. A document's ratio is the
 mean over its n-grams of log p_target(cell) - log p_raw(cell); it is kept if
 that is at least ``THRESHOLD`` nats and no base rule failed. The cells are a
 fixed number, so what is collected and sent back is bounded (80 KB).
@@ -22,7 +21,6 @@ from timeloom.llm.common import let, words_of
 
 BUCKETS = 10_000
 PRIOR = 1.0
-TRUSTED_DOCS = 20_000
 THRESHOLD = -0.15
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 WINDOW = 3
@@ -30,6 +28,8 @@ WINDOW = 3
 SYMBOLS = "#*$%&|<>"
 #: Low bits of a packed window that hold its position.
 POSITION_BITS = 24
+#: Places in which a trusted id meets its documents.
+SALTS = 8
 
 
 def ngram_cells(words: Column) -> Column:
@@ -90,9 +90,21 @@ def base_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select(id_col, "_m.n_words", "word_chars", "n_symbols", "n_dup_lines", "_m.n_repeat_words", "_m.cells")
 
 
-def cell_counts(df: DataFrame, text_col: str, weight: Column) -> DataFrame:
-    """(cell, raw, target): n-grams of all rows and of rows with weight 1."""
-    return (df.select(weight.alias("_t"), F.explode(let(words_of(F.col(text_col)), ngram_cells)).alias("cell"))
+def cell_counts(df: DataFrame, trusted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(cell, raw, target): n-grams of all rows and of rows whose id is in the
+    column ``_id`` of ``trusted``.
+
+    No text is shuffled: a document meets the ids as its cells, two bytes each.
+    Rows of one id are dealt over ``SALTS`` places, rows without id over all."""
+    number = F.monotonically_increasing_id()
+    salt = F.when(F.col(id_col).isNull(), number).otherwise(F.pmod(number, F.lit(SALTS)))
+    # BUCKETS cells fit two bytes
+    cells = df.select(F.col(id_col).alias("_doc"), salt.alias("_at"),
+                      let(words_of(F.col(text_col)), ngram_cells).cast("array<smallint>").alias("_cells"))
+    places = trusted.select("_id", F.lit(1).alias("_t"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_place"))
+    # merge at every size: trusted ids grow with the corpus
+    marked = cells.hint("merge").join(places, (F.col("_doc") == F.col("_id")) & (F.col("_at") == F.col("_place")), "left")
+    return (marked.select(F.coalesce("_t", F.lit(0)).alias("_t"), F.explode("_cells").alias("cell"))
             .groupBy("cell").agg(F.count("*").alias("raw"), F.sum("_t").alias("target")))
 
 
@@ -109,22 +121,17 @@ def log_ratios(counts: DataFrame) -> list[float]:
 
 
 def judge(df: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          threshold: float = THRESHOLD, trusted_docs: int = TRUSTED_DOCS) -> DataFrame:
+          threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``df``: the id column, n_words, word_chars,
     n_symbols, n_dup_lines, n_repeat_words, base_failed, ratio, kept.
 
     ``trusted_ids`` has the ids of the trusted documents in its first column
-    (repeats and ids without a document do no harm); ``trusted_docs`` bounds
-    how many of them the target is counted on. A null text has no words,
+    (repeats and ids without a document do no harm). A null text has no words,
     fails the base rules and has ratio 0, as has any text without words.
     Repeated rows are judged alike; extra columns are left out; an empty table
     gives an empty one. Without a trusted document every ratio is 0."""
     trusted = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("_id")).where("_id is not null").distinct()
-    trusted = trusted.orderBy(F.xxhash64("_id"), "_id").limit(trusted_docs).withColumn("_t", F.lit(1))
-    # at most trusted_docs ids are sent, so no text is shuffled
-    marked = (df.select(id_col, text_col).join(F.broadcast(trusted), F.col(id_col) == F.col("_id"), "left")
-              .select(F.col(id_col), F.col(text_col), F.coalesce("_t", F.lit(0)).alias("_t")))
-    ratios = log_ratios(cell_counts(marked, text_col, F.col("_t")))
+    ratios = log_ratios(cell_counts(df, trusted, id_col, text_col))
     # one literal array: parsed once by the optimizer, not built per row
     table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
     rows = base_counts(df, id_col, text_col)
