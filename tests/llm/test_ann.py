@@ -69,6 +69,16 @@ def test_every_code_within_the_radius_is_retrieved():
         assert set(np.flatnonzero(dist <= shard.m * (t + 1) - 1).tolist()) <= found
 
 
+def test_recall_without_clusters():
+    x = np.random.default_rng(5).normal(size=(8000, 64)).astype(np.float32).astype(float)
+    norms = np.sqrt((x * x).sum(axis=1))
+    wide = np.concatenate([x, np.sqrt(np.maximum(norms.max() ** 2 - norms ** 2, 0))[:, None]], axis=1)
+    shard = ann.Shard(x, float(norms.max()), ann.learn(wide[:ann.SAMPLE]))
+    want = {i: {(int(j), 0) for j in np.argsort(-(x @ x[i]), kind="stable")[:21]} for i in range(0, 8000, 80)}
+    got = {i: {(int(j), 0) for j in shard.search(x[i], 21)[0]} for i in want}
+    assert recall(got, want) >= 0.993
+
+
 def test_query_recall(spark):
     from timeloom.llm.queries import QUERIES
     sf = "/root/testdata/sf0.01"

@@ -34,7 +34,7 @@ BITS, SUB = 128, 16
 SAMPLE = 8192
 SHARD_ROWS, BLOCK_ROWS = 65_536, 256
 #: Standard deviations of a code distance that the radius covers beyond the mean.
-MARGIN = 1.3
+MARGIN = 1.65
 
 
 def valid(emb) -> "F.Column":
