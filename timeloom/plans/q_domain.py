@@ -926,17 +926,21 @@ def _med_rows(spark, sf):
     li = li.join(d.t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     li = li.join(d.site_map(), F.col("o_custkey") == F.col("group_id"))
     factors = spark.createDataFrame(UNIT_FACTORS, "from_unit string, to_unit string, factor double")
-    return hz.convert_dose_units(li, factors, "p_brand", "l_quantity", "p_type") \
+    preferred = d.t("part").select("p_brand", F.expr(PREFERRED_SQL).alias("to_unit")).where("to_unit is not null").distinct()
+    return hz.convert_dose_units(li, factors, "p_brand", "l_quantity", "p_type", preferred) \
         .withColumnRenamed("l_orderkey", "subject_id")
 
 
 @query("ev_meds", """WITH sm AS (SELECT c.c_custkey AS group_id, r.r_name AS site FROM customer c
         JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
+    pref AS (SELECT DISTINCT p_brand, """ + PREFERRED_SQL + """ AS to_unit FROM part WHERE """ + PREFERRED_SQL + """ IS NOT NULL),
+    f(u, t, factor) AS (VALUES """ + ", ".join(f"('{u}', '{t}', {x})" for u, t, x in UNIT_FACTORS) + """),
     m AS (SELECT sm.site, l.l_orderkey AS subject_id, l.l_shipdate AS t, p.p_brand, l.l_quantity * f.factor AS dose,
-        CASE WHEN l.l_quantity IS NULL THEN 'missing dose' WHEN f.factor IS NULL THEN 'unknown unit' ELSE 'success' END AS status
+        CASE WHEN l.l_quantity IS NULL THEN 'missing dose' WHEN p.p_type NOT IN (SELECT u FROM f) THEN 'unknown unit'
+             WHEN pref.to_unit IS NULL THEN 'no preferred unit' WHEN f.factor IS NULL THEN 'no factor' ELSE 'success' END AS status
         FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN orders o ON l.l_orderkey = o.o_orderkey
-        JOIN sm ON o.o_custkey = sm.group_id
-        LEFT JOIN (VALUES """ + ", ".join(f"('{u}', {f})" for u, _, f in UNIT_FACTORS) + """) f(u, factor) ON p.p_type = f.u)
+        JOIN sm ON o.o_custkey = sm.group_id LEFT JOIN pref ON p.p_brand = pref.p_brand
+        LEFT JOIN f ON p.p_type = f.u AND pref.to_unit = f.t)
     SELECT site, subject_id, t AS time, 'MED-CTS' AS prefix, p_brand AS code, round(dose, 6) AS numeric_value,
         CAST(NULL AS VARCHAR) AS text_value FROM m WHERE status = 'success'
     UNION ALL SELECT site, subject_id, t, 'MED-CTS', p_brand, NULL, NULL FROM m WHERE status <> 'success'""")
