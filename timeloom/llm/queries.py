@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeloom.llm import ann, bpe, chat, html, langid, lines, mixing, quality_mil, rules, simhash
+from timeloom.llm import ann, bpe, chat, html, langid, lines, merkle, mixing, quality_mil, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,3 +122,59 @@ def op4_quality_rules(spark, sf_dir):
 @query("op5_line_dedup")
 def op5_line_dedup(spark, sf_dir):
     return lines.count_lines(table(spark, sf_dir, "documents"))
+
+
+#: One step of the crc32 of the polynomial 0xEDB88320, and the crc of a decimal number, in DuckDB.
+CRC_STEP = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+CRC_OF_ID = f"""xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+  lambda a, c: list_reduce([xor(a, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: {CRC_STEP})))"""
+
+
+def field_sql(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR)) || ':' || {value}::VARCHAR, '-')"
+
+
+def leaf_sql(n_chars: str) -> str:
+    return "sha256(" + " || ".join(field_sql(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+@query("op13_merkle", f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, coalesce('=' || lang, '') AS g, {leaf_sql('n_chars')} AS leaf,
+         CASE WHEN ({CRC_OF_ID}) % 7 = 0 THEN {leaf_sql('(n_chars + 1)')} ELSE {leaf_sql('n_chars')} END AS other FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+low(g, level, pos, h) AS (
+  SELECT g, 0, pos, leaf FROM placed
+  UNION ALL
+  SELECT g, any_value(level) + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM low) WHERE n > 1 GROUP BY g, pos // 2),
+subroots AS (SELECT g, arg_max(h, level) AS h, max(level) AS level, row_number() OVER (ORDER BY g) - 1 AS pos FROM low GROUP BY g),
+high(level, pos, h) AS (
+  SELECT 0, pos, h FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER () AS n FROM high) WHERE n > 1 GROUP BY pos // 2),
+top AS (SELECT arg_max(h, level) AS root, max(level) AS level FROM high),
+path AS (
+  SELECT p.g, p.pos, l.level, (p.pos >> l.level) & 1 AS bit, s.h
+  FROM placed p JOIN (SELECT DISTINCT g, level FROM low) l USING (g) JOIN subroots r USING (g)
+  LEFT JOIN low s ON s.g = p.g AND s.level = l.level AND s.pos = xor(p.pos >> l.level, 1) WHERE l.level < r.level
+  UNION ALL
+  SELECT p.g, p.pos, r.level + l.level, (r.pos >> l.level) & 1, s.h
+  FROM placed p JOIN subroots r USING (g) CROSS JOIN (SELECT DISTINCT level FROM high) l CROSS JOIN top
+  LEFT JOIN high s ON s.level = l.level AND s.pos = xor(r.pos >> l.level, 1) WHERE l.level < top.level),
+folded(g, pos, level, h) AS (
+  SELECT g, pos, 0, other FROM placed
+  UNION ALL
+  SELECT f.g, f.pos, f.level + 1, sha256(CASE WHEN p.h IS NULL THEN f.h WHEN p.bit = 1 THEN p.h || f.h ELSE f.h || p.h END)
+  FROM folded f JOIN path p ON p.g = f.g AND p.pos = f.pos AND p.level = f.level)
+SELECT p.doc_id, p.leaf, s.h AS subroot, top.root, sha256(coalesce(w.proof, '')) AS proof_sha256, f.h AS folded_root, f.h = top.root AS verified
+FROM placed p JOIN subroots s USING (g) CROSS JOIN top
+LEFT JOIN (SELECT g, pos, string_agg(h, '' ORDER BY level) AS proof FROM path GROUP BY g, pos) w ON w.g = p.g AND w.pos = p.pos
+JOIN (SELECT g, pos, arg_max(h, level) AS h FROM folded GROUP BY g, pos) f ON f.g = p.g AND f.pos = p.pos
+""")
+def op13_merkle(spark, sf_dir):
+    tampered = F.when(crc_remainder(7) == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    rows = merkle.verify(merkle.manifest(table(spark, sf_dir, "documents"), {"n_chars": tampered}), "other")
+    hexed = [F.lower(F.hex(c)).alias(c) for c in ("leaf", "subroot", "root")]
+    return rows.select("doc_id", *hexed, "proof_sha256", "folded_root", "verified")
