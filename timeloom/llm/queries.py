@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeloom.llm import ann, bpe, chat, html, langid, lines, merkle, mixing, quality_mil, rules, simhash
+from timeloom.llm import ann, bpe, chat, html, langid, lines, merkle, mixing, planes, quality_mil, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -178,3 +178,8 @@ def op13_merkle(spark, sf_dir):
     rows = merkle.verify(merkle.manifest(table(spark, sf_dir, "documents"), {"n_chars": tampered}), "other")
     hexed = [F.lower(F.hex(c)).alias(c) for c in ("leaf", "subroot", "root")]
     return rows.select("doc_id", *hexed, "proof_sha256", "folded_root", "verified")
+
+
+@query("op12_planes")
+def op12_planes(spark, sf_dir):
+    return planes.read_digests(planes.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
