@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeloom.llm import ann, bpe, chat, html, langid, lines, merkle, mixing, planes, quality_mil, rules, simhash
+from timeloom.llm import align, ann, bpe, chat, html, langid, lines, merkle, mixing, planes, quality_mil, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -183,3 +183,10 @@ def op13_merkle(spark, sf_dir):
 @query("op12_planes")
 def op12_planes(spark, sf_dir):
     return planes.read_digests(planes.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+@query("op11_align")
+def op11_align(spark, sf_dir):
+    done = align.cross_align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+    return done.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
