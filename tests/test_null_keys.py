@@ -69,11 +69,12 @@ def test_interval_text(spark):
 
 
 def test_one_class_outcome_voids_the_replicate(spark):
-    rep = spark.createDataFrame([("s", 1, "o1", float(i), i > 2, 1) for i in range(6)] + [("s", 1, "o2", float(i), True, 1) for i in range(4)]
-                                + [("s", 2, "o1", float(i), i > 2, 1) for i in range(6)],
-                                "site string, rep int, outcome string, score double, future boolean, w int")
-    got = {(r.rep, r.metric): r.stat for r in bs.replicate_stats(rep, ["site"]).collect()}
-    assert got[1, "roc_auc"] is None and got[2, "roc_auc"] == 1.0
+    rows = [("s", "o1", i, float(i % 50), i % 50 > 20) for i in range(500)]
+    void = spark.createDataFrame(rows + [("s", "o2", i, float(i), True) for i in range(4)] + [("t", "o1", *r[2:]) for r in rows],
+                                 "site string, outcome string, subject_id int, score double, future boolean")
+    got = bs.replicate_stats(void, ["site"], 5, 1, ["outcome", "subject_id"]).collect()
+    assert {r.stat for r in got if r.site == "s" and r.metric == "roc_auc"} == {None}
+    assert {r.stat for r in got if r.site == "t" and r.metric == "roc_auc"} == {1.0} and len(got) == 20
 
 
 def test_unpaired_test_checks_labels_and_alternatives(spark):

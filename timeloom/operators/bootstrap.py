@@ -1,93 +1,41 @@
-"""Bootstrap intervals and tests with replicates as rows.
+"""Bootstrap intervals and tests. Replicates are vectors of weights, summed
+per score (see ``replicates``); what has a row per replicate is a table of
+results per key.
 
-A replicate does not copy rows: each (replicate, outcome, subject) gets a
-weight drawn from Poisson(1) by a seeded hash — the number of times the row
-would be drawn. It approximates drawing n rows with replacement
-(multinomial) and needs no global state, so two models scored on the same
+Weights are drawn from Poisson(1) by a seeded hash of (outcome, subject) and
+replicate: the number of times the row would be drawn. That approximates n
+draws with replacement and needs no state, so two models scored on the same
 subjects share draws (paired, S20) and a rerun gives the same numbers
-(stateless, S21). Weighted AUCs per replicate come from the grouped metric
-job; percentiles of replicate statistics close it."""
+(stateless, S21). ``exact=True`` draws exactly n rows with replacement from
+every group instead, shared by the models in the same way."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from timeloom.operators.replicates import multinomial_cells, poisson_cells, poisson_cuts, replicate, replicate_areas
+
+__all__ = ["poisson_cuts", "replicate", "replicate_stats", "bootstrap_ci", "paired_diff_ci", "bootstrap_pvalue",
+           "check_paired", "check_paired_all"]
+
 
-from timeloom.functions.scalar import hash_unit
-from timeloom.operators.metrics import roc_pr_from_counts, score_counts
-
-__all__ = ["poisson_cuts", "poisson_weight", "replicate", "replicate_stats", "bootstrap_ci",
-           "paired_diff_ci", "bootstrap_pvalue", "check_paired", "check_paired_all"]
-
-
-def poisson_cuts(lam: float = 1.0, tail: float = 1e-12) -> list[float]:
-    """Cumulative Poisson(λ) probabilities P(X ≤ k) for k = 0, 1, … until the
-    tail is below ``tail``; a uniform draw u gives X = #{k : u ≥ cut_k}."""
-    cuts, p, c, k = [], math.exp(-lam), 0.0, 0
-    while True:
-        c += p
-        cuts.append(c)
-        if 1.0 - c < tail:
-            return cuts
-        k += 1
-        p *= lam / k
-
-
-def poisson_weight(u) -> F.Column:
-    """Poisson(1) count from a uniform draw column: a CASE chain that stops
-    at the first cut above u (mostly after one or two tests)."""
-    cuts = poisson_cuts()
-    expr = F.when(u < F.lit(cuts[0]), F.lit(0))
-    for k, c in enumerate(cuts[1:], start=1):
-        expr = expr.when(u < F.lit(c), F.lit(k))
-    return expr.otherwise(F.lit(len(cuts)))
-
-
-def replicate(scores: DataFrame, n_rep: int, seed, draw_keys, share: str | None = "model",
-              value: str = "score") -> DataFrame:
-    """Rows × replicates with weight ``w`` > 0. ``draw_keys`` name the columns
-    the draw depends on (with the replicate); leaving the model out shares
-    draws between models. Rows that differ only in ``share`` (the model) are
-    packed first, so each draw is hashed once and then fanned out."""
-    pack = share is not None and share in scores.columns and share not in draw_keys
-    if pack:
-        rest = [c for c in scores.columns if c not in (share, value)]
-        scores = scores.groupBy(*rest).agg(F.collect_list(F.struct(share, value)).alias("_m"))
-    # the input is n_rep times smaller than the output: spread it over all
-    # shuffle partitions first (AQE would coalesce a small table into one
-    # task, which would then draw and explode every replicate alone)
-    n_parts = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    scores = scores.repartition(n_parts, *[F.col(k) for k in draw_keys])
-
-    def draw(r):
-        key = F.concat_ws("|", r.cast("string"), *[F.col(k).cast("string") for k in draw_keys])
-        return F.struct(r.alias("rep"), hash_unit(key, seed).alias("_u"))
-
-    # the draw is produced by the generator, so it is an attribute computed
-    # once per row (an inlined hash would be repeated in every CASE branch)
-    r = scores.select("*", F.inline(F.transform(F.sequence(F.lit(1), F.lit(n_rep)), draw)))
-    r = r.withColumn("w", poisson_weight(F.col("_u"))).drop("_u").filter(F.col("w") > 0)
-    if pack:
-        r = r.select("*", F.inline("_m")).drop("_m")
-    return r
-
-
-def replicate_stats(rep: DataFrame, keys, outcome: str = "outcome", metrics=("roc", "pr")) -> DataFrame:
-    """Per (keys…, rep): AUCs averaged over outcomes. An outcome without both
-    classes in a replicate voids it (null), as an average with NaN would."""
+def replicate_stats(scores: DataFrame, keys, n_rep: int, seed, draw_keys, outcome: str = "outcome", exact: bool = False,
+                    group=None, subject: str = "subject_id") -> DataFrame:
+    """Per (keys…, metric, rep): AUCs averaged over outcomes. An outcome
+    without both classes in a replicate voids it (null), as an average with NaN
+    would. ``draw_keys`` name the columns that a Poisson draw depends on;
+    ``group`` the columns within which an exact draw is made."""
     keys = list(keys)
-    k = keys + ["rep", outcome]
-    # one shuffle of the replicated rows, by (keys, rep, outcome): the score
-    # aggregation, both metric windows and the PR regrouping reuse it
-    n_parts = int(rep.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = score_counts(rep.repartition(n_parts, *k), k, weight="w")
-    both = roc_pr_from_counts(counts, k)
-    want = [m for m, short in (("roc_auc", "roc"), ("pr_auc", "pr")) if short in metrics]
-    u = both.filter(F.col("metric").isin(want))
-    return u.groupBy(*keys, "metric", "rep").agg(
-        F.when(F.count("v") == F.count(F.lit(1)), F.avg("v")).alias("stat"))
+    each = [*keys, outcome]
+    if exact:
+        cells = multinomial_cells(scores, each, n_rep, seed, group, subject)
+    else:
+        cells = poisson_cells(scores, each, n_rep, seed, draw_keys)
+    areas = replicate_areas(cells, T.StructType([scores.schema[c] for c in each]), n_rep)
+    v = areas.unpivot([*each, "rep"], ["roc_auc", "pr_auc"], "metric", "v")
+    return v.groupBy(*keys, "metric", "rep").agg(F.when(F.count("v") == F.count(F.lit(1)), F.avg("v")).alias("stat"))
 
 
 def _interval(stats: DataFrame, keys, alpha: float) -> DataFrame:
@@ -98,12 +46,14 @@ def _interval(stats: DataFrame, keys, alpha: float) -> DataFrame:
 
 
 def bootstrap_ci(scores: DataFrame, keys=("site", "model"), n_rep: int = 1000, seed: int = 42,
-                 alpha: float = 0.05, outcome: str = "outcome", subject: str = "subject_id") -> DataFrame:
+                 alpha: float = 0.05, outcome: str = "outcome", subject: str = "subject_id",
+                 exact: bool = False, site: str = "site") -> DataFrame:
     """(keys…, metric, lo, hi): percentile interval of the outcome-averaged
     ROC/PR AUC. Draws are per (replicate, outcome, subject), as the source
-    draws a fresh sample per label."""
-    rep = replicate(scores, n_rep, seed, [outcome, subject])
-    return _interval(replicate_stats(rep, keys, outcome), list(keys) + [], alpha)
+    draws a fresh sample per label; ``exact`` draws n of the n subjects of each
+    (site, outcome)."""
+    st = replicate_stats(scores, keys, n_rep, seed, [outcome, subject], outcome, exact, [site, outcome], subject)
+    return _interval(st, list(keys), alpha)
 
 
 def check_paired(a: DataFrame, b: DataFrame, on, label: str = "future") -> None:
@@ -128,15 +78,15 @@ def check_paired_all(scores: DataFrame, on, n_models: int, label: str = "future"
 
 def paired_diff_ci(scores: DataFrame, base: str, models=None, keys=("site",), n_rep: int = 1000,
                    seed: int = 42, alpha: float = 0.05, outcome: str = "outcome",
-                   subject: str = "subject_id", model: str = "model") -> DataFrame:
+                   subject: str = "subject_id", model: str = "model", exact: bool = False) -> DataFrame:
     """(keys…, model, metric, lo, hi) of model − base, with shared draws per
-    (replicate, outcome, subject) so the difference is paired."""
+    (replicate, outcome, subject) so the difference is paired. ``exact`` draws
+    n of the n subjects of each (keys…, outcome)."""
     keys = list(keys)
     models = models or [r[0] for r in scores.select(model).distinct().collect() if r[0] != base]
     sub = scores.filter(F.col(model).isin([base] + list(models)))
     check_paired_all(sub, keys + [outcome, subject], len(models) + 1, model=model)
-    rep = replicate(sub, n_rep, seed, [outcome, subject])
-    st = replicate_stats(rep, keys + [model], outcome)
+    st = replicate_stats(sub, keys + [model], n_rep, seed, [outcome, subject], outcome, exact, keys + [outcome], subject)
     # the base statistic rides along on the small per-replicate table (one
     # pass; two filtered branches would recompute the replicates)
     same = Window.partitionBy(*keys, "metric", "rep")
@@ -147,7 +97,7 @@ def paired_diff_ci(scores: DataFrame, base: str, models=None, keys=("site",), n_
 
 def bootstrap_pvalue(scores: DataFrame, base: str, other: str, keys=("site",), n_rep: int = 1000,
                      seed: int = 42, outcome: str = "outcome", subject: str = "subject_id",
-                     model: str = "model", alternative: str = "two-sided") -> DataFrame:
+                     model: str = "model", alternative: str = "two-sided", exact: bool = False) -> DataFrame:
     """Unpaired test of other − base: separate draws per model. Over replicates
     (ours): P(d ≤ 0) for "greater", P(d ≥ 0) for "less", and twice the smaller
     of them, at most 1, for "two-sided". Both models must score the same rows
@@ -157,8 +107,7 @@ def bootstrap_pvalue(scores: DataFrame, base: str, other: str, keys=("site",), n
     keys = list(keys)
     sub = scores.filter(F.col(model).isin(base, other))
     check_paired_all(sub, keys + [outcome, subject], 2, model=model)
-    rep = replicate(sub, n_rep, seed, [model, outcome, subject])
-    st = replicate_stats(rep, keys + [model], outcome)
+    st = replicate_stats(sub, keys + [model], n_rep, seed, [model, outcome, subject], outcome, exact, keys + [model, outcome], subject)
     d = (st.groupBy(*keys, "metric", "rep")
          .agg(F.max(F.when(F.col(model) == other, F.col("stat"))).alias("_o"),
               F.max(F.when(F.col(model) == base, F.col("stat"))).alias("_b"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from timeloom.functions import scalar as S
 from timeloom.operators import bootstrap as bs
 from timeloom.operators import metrics as mt
+from timeloom.operators import replicates as rp
 from timeloom.operators.relational import (concat_metrics, custom_order, grid_complete,
                                            pivot_checked, split_table_parts as stp)
 from timeloom.session import stage_table
@@ -22,8 +23,16 @@ CUTS = bs.poisson_cuts()
 
 
 def _w_sql(key: str) -> str:
-    u = hash_unit_sql(key, SEED).replace(f"CAST({key} AS VARCHAR)", key)
-    return " + ".join(f"CASE WHEN {u} >= {c!r}::DOUBLE THEN 1 ELSE 0 END" for c in CUTS)
+    """Weight of a row in replicate r.rep: splitmix64 of the draw key's hash."""
+    from timeloom.operators.replicates import GAMMA, MASK, MIX_1, MIX_2
+    mul = lambda x, c: f"((({x}) * {c}::UHUGEINT) & {MASK}::UHUGEINT)"
+    z = f"((('0x' || substr(md5('{SEED}|' || {key}), 1, 16))::UHUGEINT + r.rep::UHUGEINT * {GAMMA}::UHUGEINT) & {MASK}::UHUGEINT)"
+    steps = (("xor(z, z >> 30)", MIX_1), ("xor(z, z >> 27)", MIX_2))
+    # lambdas over a list of one, so that every step is computed once
+    for x, c in steps:
+        z = f"list_transform([{z}], lambda z: {mul(x, c)})[1]"
+    u = f"list_transform([{z}], lambda z: xor(z, z >> 31) >> 11)[1]"
+    return f"list_transform([{u}], lambda u: {' + '.join(f'(u >= {c})::INT' for c in CUTS)})[1]"
 
 
 def _roc_sql(src: str, keys: str, w: str = "1") -> str:
@@ -61,7 +70,7 @@ CTES.update({
         GROUP BY site, model, outcome""",
     "pr_t": _pr_sql("qs", _K).replace(" AS v FROM", " AS pr_auc FROM", 1),
     "aucs": "SELECT r.site, r.model, r.outcome, r.roc_auc, p.pr_auc FROM roc_rank r JOIN pr_t p USING (site, model, outcome)",
-    "reps": f"""SELECT * FROM (SELECT q.*, r.rep, {_w_sql("(CAST(r.rep AS VARCHAR) || '|' || q.outcome || '|' || CAST(q.subject_id AS VARCHAR))")} AS w
+    "reps": f"""SELECT * FROM (SELECT q.*, r.rep, {_w_sql("(q.outcome || '|' || CAST(q.subject_id AS VARCHAR))")} AS w
         FROM qs q, range(1, {N_REP + 1}) r(rep)) WHERE w > 0""",
     "rep_stats": f"""SELECT site, model, 'roc_auc' AS metric, rep, CASE WHEN count(v) = count(*) THEN avg(v) END AS stat FROM ({_roc_sql("reps", _RK, "w")}) GROUP BY site, model, rep
         UNION ALL SELECT site, model, 'pr_auc', rep, CASE WHEN count(v) = count(*) THEN avg(v) END FROM ({_pr_sql("reps", _RK, "w")}) GROUP BY site, model, rep""",
@@ -195,7 +204,7 @@ def all_diff_cis(spark, sf):
 
 
 CTES.update({
-    "reps_u": f"""SELECT * FROM (SELECT q.*, r.rep, {_w_sql("(CAST(r.rep AS VARCHAR) || '|' || q.model || '|' || q.outcome || '|' || CAST(q.subject_id AS VARCHAR))")} AS w
+    "reps_u": f"""SELECT * FROM (SELECT q.*, r.rep, {_w_sql("(q.model || '|' || q.outcome || '|' || CAST(q.subject_id AS VARCHAR))")} AS w
         FROM qs q, range(1, {N_REP + 1}) r(rep) WHERE q.model IN ('{BASE}', 'source')) WHERE w > 0""",
     "rep_stats_u": f"""SELECT site, model, 'roc_auc' AS metric, rep, CASE WHEN count(v) = count(*) THEN avg(v) END AS stat FROM ({_roc_sql("reps_u", _RK, "w")}) GROUP BY site, model, rep
         UNION ALL SELECT site, model, 'pr_auc', rep, CASE WHEN count(v) = count(*) THEN avg(v) END FROM ({_pr_sql("reps_u", _RK, "w")}) GROUP BY site, model, rep""",
@@ -212,6 +221,26 @@ def bootstrap_pvalue(spark, sf):
     return p.select("site", "metric", r9("p_value").alias("p_value"))
 
 
+@query("bootstrap_exact_split", sql(f"""SELECT * FROM (WITH t AS (SELECT site, outcome, count(DISTINCT subject_id) AS n FROM qs GROUP BY site, outcome),
+    b AS (SELECT site, outcome, n, unnest(range(0, (n + 31) // 32)) AS block FROM t)
+    SELECT site, outcome, n, count(*) AS blocks, CAST({N_REP} AS BIGINT) AS full_replicates FROM b GROUP BY site, outcome, n)"""))
+def bootstrap_exact_split(spark, sf):
+    """The split table of the exact draw (blocks of 32 subjects): how many
+    replicates' draws add up to the number of subjects, per site and outcome."""
+    rows = rp.numbered_subjects(_q(spark, sf), ["site", "outcome"], "subject_id", KEYS)
+    blocks = rows.select("_g", "_n", F.floor(F.col("_pos") / 32).alias("_block")).distinct()
+    drawn = rp.split_draws(blocks, N_REP, SEED, 32).select("_g", "_n", "_block", F.posexplode("draws").alias("rep", "drawn"))
+    per = drawn.groupBy("_g", "_n", "rep").agg(F.sum("drawn").alias("drawn"), F.count(F.lit(1)).alias("blocks"))
+    per = per.groupBy("_g", "_n").agg(F.max("blocks").alias("blocks"), F.count_if(F.col("drawn") == F.col("_n")).alias("full_replicates"))
+    return per.select(F.from_json("_g", "site string, outcome string").alias("k"), "*").select("k.*", F.col("_n").alias("n"), "blocks", "full_replicates")
+
+
+@query("bootstrap_ci_exact")
+def bootstrap_ci_exact(spark, sf):
+    """Intervals from exact draws (numpy generators seeded per block: no twin)."""
+    return _ci_out(bs.bootstrap_ci(_q(spark, sf), ("site", "model"), N_REP, SEED, exact=True))
+
+
 def _cis(spark, sf):
     """The interval table, computed once per driver and shared by the report
     queries built on it (formatting, bars, cells)."""
