@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from timeloom.functions.scalar import micros, trunc_div
+from timeloom.operators.order_stats import exact_quantiles
+from timeloom.operators.scans import null_safe_join
 
 from timeloom.session import stage_table
 
@@ -153,13 +155,15 @@ def micros_diff(end: Column, start: Column) -> Column:
 
 def timeline_stats(timelines: DataFrame, by=("site",)) -> DataFrame:
     """count, mean and median length, mean and median stay (last − first time,
-    in seconds; empty timelines give null, S11)."""
-    n = F.array_size("tokens")
-    span = _span_micros() / F.lit(1e6)
-    return timelines.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("count"), F.avg(n).alias("avg_tkns"),
-        F.median(n).alias("med_tkns"), F.avg(span).alias("avg_los_s"),
-        F.median(span).alias("med_los_s"))
+    in seconds; empty timelines give null, S11). The medians are exact ranks,
+    found by narrowing over (group, statistic)."""
+    by = list(by)
+    rows = stage_table(timelines.select(*by, F.array_size("tokens").cast("double").alias("tkns"), (_span_micros() / F.lit(1e6)).alias("los_s")), "timeline-sizes")
+    means = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("count"), F.avg("tkns").alias("avg_tkns"), F.avg("los_s").alias("avg_los_s"))
+    medians = exact_quantiles(rows.unpivot(by, ["tkns", "los_s"], "_stat", "_x"), [*by, "_stat"], "_x", [0.5])
+    pick = lambda stat: F.max(F.when(F.col("_stat") == stat, F.col("breaks")[0])).alias(f"med_{stat}")
+    return null_safe_join(means, medians.groupBy(*by).agg(pick("tkns"), pick("los_s")), by, "left").select(
+        *by, "count", "avg_tkns", "med_tkns", "avg_los_s", "med_los_s")
 
 
 def training_volume(timelines: DataFrame, by=("site",)) -> DataFrame:

@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from timeloom.functions.scalar import micros
+from timeloom.operators.order_stats import exact_quantiles, merge_sketches, numbers, sketch_quantiles
 from timeloom.operators.sizing import Fitted
 
 __all__ = [
-    "DEFAULT_ORDERING", "SPACERS", "CLOCKS", "quantile_fit", "quantile_apply",
+    "DEFAULT_ORDERING", "SPACERS", "CLOCKS", "quantile_fit", "quantile_fit_sketch", "quantile_apply",
     "token_build", "vocab_fit", "vocab_apply", "prefix_rank", "add_bounds",
     "timeline_build", "gap_spacers", "clock_tokens", "time_positions",
     "timeline_decode", "UNK",
@@ -53,16 +54,23 @@ def quantile_fit(events: DataFrame, n_bins: int = 10, by=("prefix", "code"),
                  accuracy: int = 100_000, materialize: bool = False):
     """Break points per (prefix, code): the n_bins−1 inner quantiles.
 
-    ``exact`` uses ``percentile`` (linear interpolation, same as DuckDB
-    ``quantile_cont``); it keeps a value→count map per group, fine while the
-    distinct values per code are bounded. ``exact=False`` uses
-    ``percentile_approx`` (bounded memory per group, the choice at scale)."""
-    v = F.col(value).cast("double")
-    probs = F.array(*[F.lit(p) for p in _probs(n_bins)])
-    agg = (F.percentile(v, probs) if exact
-           else F.percentile_approx(v, probs, accuracy).cast("array<double>"))
-    df = (events.filter(v.isNotNull() & ~F.isnan(v))
-          .groupBy(*by).agg(agg.alias("breaks")))
+    ``exact`` finds the ranks by rounds of narrowing (linear interpolation,
+    the same as ``quantile_cont``). ``exact=False`` uses ``percentile_approx``
+    (bounded memory per group, one pass). ``quantile_fit_sketch`` reads the
+    breaks from stored sketches instead."""
+    if exact:
+        df = exact_quantiles(events, by, value, _probs(n_bins)).drop("n")
+    else:
+        v = numbers(value)
+        df = (events.where(v.isNotNull()).groupBy(*by)
+              .agg(F.percentile_approx(v, F.array(*[F.lit(p) for p in _probs(n_bins)]), accuracy).cast("array<double>").alias("breaks")))
+    return Fitted.materialize(df) if materialize else df
+
+
+def quantile_fit_sketch(sketches: DataFrame, n_bins: int = 10, by=("prefix", "code"), materialize: bool = False):
+    """Break points from a stored ``sketch_table``, merged to ``by``: for any
+    choice of sites, without the events."""
+    df = sketch_quantiles(merge_sketches(sketches, by), _probs(n_bins)).select(*by, "breaks")
     return Fitted.materialize(df) if materialize else df
 
 

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from timeloom.operators import describe as dsc
+from timeloom.operators import order_stats as ost
 from timeloom.operators.relational import top_bottom_k
+from timeloom.operators.scans import null_safe_join
 from timeloom.plans.catalog import D, query, r9
 from timeloom.plans.oracle import sql
+from timeloom.session import stage_table
 
 
 def _stats(spark, sf):
@@ -259,6 +262,24 @@ def quantile_fit(spark, sf):
         .select("prefix", "code", (F.col("q") + 1).alias("q"), F.round("brk", 6).alias("brk"))
 
 
+@query("quantile_sketch", sql("""SELECT prefix, code, count(*) AS n, true AS within FROM evl
+    WHERE numeric_value IS NOT NULL AND NOT isnan(numeric_value) GROUP BY prefix, code"""))
+def quantile_sketch(spark, sf):
+    """Breaks from a sketch table per (site, prefix, code), merged over sites:
+    number of values, and whether every break's exact rank is within 1 % of
+    the wanted one."""
+    ev = D(spark, sf).events_long()
+    table = stage_table(ost.sketch_table(ev, ["site", "prefix", "code"], "numeric_value"), "sketches")
+    probs = [i / 10 for i in range(1, 10)]
+    sizes = table.groupBy("prefix", "code").agg(F.sum("n").alias("n"))
+    fit = null_safe_join(tkz.quantile_fit_sketch(table), sizes, ["prefix", "code"])
+    seen = null_safe_join(ev.select("prefix", "code", ost.numbers("numeric_value").alias("v")).where("v is not null"), fit, ["prefix", "code"])
+    ranks = [F.struct((F.sum((F.col("v") < F.col("breaks")[i]).cast("long")) / F.count("v")).alias("lt"),
+                      (F.sum((F.col("v") <= F.col("breaks")[i]).cast("long")) / F.count("v")).alias("le")) for i in range(len(probs))]
+    off = [F.greatest(F.lit(0.0), p - r["le"], r["lt"] - p) for p, r in zip(probs, ranks)]
+    return seen.groupBy("prefix", "code", "n").agg((F.greatest(*off) <= 0.01).alias("within"))
+
+
 @query("quantile_apply", sql("SELECT prefix, code, bin, count(*) AS n FROM binned GROUP BY ALL"))
 def quantile_apply(spark, sf):
     d = D(spark, sf)
