@@ -39,16 +39,16 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timeloom.llm.common import arrow_slices
+from timeloom.llm.common import arrow_slices, per_process
 from timeloom.llm.words import byte_symbols
 from timeloom.session import stage_table
 
 #: White space of the tokenizer's splitter (the Unicode property).
 WHITE = "\t\n\x0b\x0c\r \x85\xa0                　"
 #: Pieces that a task remembers before it starts anew.
-PIECES_KEPT = 400_000
+PIECES_KEPT = 200_000
 #: Text of a slice, in bytes, and pairs of a lot.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 LOT_PAIRS = 1_000_000
 SPACE_MARK = "▁"
 
@@ -77,40 +77,48 @@ def pieces_of(text: str) -> list[str]:
     return out
 
 
+def load(path_a: str, path_b: str) -> tuple:
+    """(A's library tokenizer, A's table in tiktoken or None, B, whether B
+    needs whole texts, bytes of A's and B's ids as Arrow arrays, their sizes)."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    import numpy as np
+    import pyarrow as pa
+    import sentencepiece
+    import tiktoken
+    import tokenizers
+
+    with open(path_a, encoding="utf-8") as f:
+        config = json.load(f)
+    special = {t["id"] for t in config["added_tokens"]}
+    symbols, vocab = byte_symbols(), config["model"]["vocab"]
+    a = tokenizers.Tokenizer.from_file(path_a)
+    a.encode_special_tokens = True
+    bytes_a = [b""] * (max(vocab.values()) + 1)
+    for token, i in vocab.items():
+        if i not in special:
+            bytes_a[i] = bytes(symbols[c] for c in token)
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in config["model"]["merges"]]
+    ranked = [vocab[x + y] for x, y in pairs]
+    plain = None
+    if config["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True} and ranked == sorted(ranked):
+        import public_tokenizers
+        plain = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, special_tokens={}, mergeable_ranks={b: i for i, b in enumerate(bytes_a) if b})
+    model = sentencepiece.SentencePieceProcessor(model_file=path_b)
+    bytes_b = piece_bytes(model)
+    whole = any(b" " in x.lstrip(b" ") for x in bytes_b)
+    return (a, plain, model, whole, pa.array(bytes_a, pa.binary()), pa.array(bytes_b, pa.binary()),
+            *(np.array([len(x) for x in t], np.int32) for t in (bytes_a, bytes_b)))
+
+
 class Coder:
     """Both tokenizers of a task, over distinct pieces."""
 
     def __init__(self, path_a: str, path_b: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import numpy as np
-        import pyarrow as pa
-        import sentencepiece
-        import tiktoken
-        import tokenizers
 
         self.np = np
-        with open(path_a, encoding="utf-8") as f:
-            config = json.load(f)
-        special = {t["id"] for t in config["added_tokens"]}
-        symbols, vocab = byte_symbols(), config["model"]["vocab"]
-        self.a = tokenizers.Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
-        bytes_a = [b""] * (max(vocab.values()) + 1)
-        for token, i in vocab.items():
-            if i not in special:
-                bytes_a[i] = bytes(symbols[c] for c in token)
-        pairs = [m if isinstance(m, list) else m.split(" ") for m in config["model"]["merges"]]
-        ranked = [vocab[x + y] for x, y in pairs]
-        self.plain = None
-        if config["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True} and ranked == sorted(ranked):
-            import public_tokenizers
-            self.plain = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, special_tokens={},
-                                           mergeable_ranks={b: i for i, b in enumerate(bytes_a) if b})
-        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        bytes_b = piece_bytes(self.b)
-        self.whole = any(b" " in x.lstrip(b" ") for x in bytes_b)
-        self.bytes_a, self.bytes_b = pa.array(bytes_a, pa.binary()), pa.array(bytes_b, pa.binary())
-        self.size_a, self.size_b = (np.array([len(x) for x in t], np.int32) for t in (bytes_a, bytes_b))
+        (self.a, self.plain, self.b, self.whole, self.bytes_a, self.bytes_b, self.size_a,
+         self.size_b) = per_process(("align", path_a, path_b), lambda: load(path_a, path_b))
         self._forget()
 
     def _forget(self):

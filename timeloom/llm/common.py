@@ -3,7 +3,9 @@ bytes, stage tables and distributed connected components."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +56,16 @@ def arrow_slices(batches, column: int, max_bytes: int = 4 << 20) -> Iterator:
             yield batch.slice(start, batch.num_rows - start)
 
 
+def per_process(key: tuple, make: Callable):
+    """``make()``, made once in a Python worker and kept for its later tasks:
+    for vocabularies, which are read-only and of a fixed size. Task functions
+    travel by value, so a global of this module would not outlive a task."""
+    held = sys.modules.setdefault("_timeloom_llm_held", types.ModuleType("_timeloom_llm_held")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -> DataFrame:
     """(node, component): the smallest node reachable over undirected edges.
 
