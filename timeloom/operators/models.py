@@ -1,8 +1,5 @@
-"""Features and baseline models (Spark ML).
-
-Features stay sparse: counts per (subject, token id) in long form, turned into
-``SparseVector`` columns by ``CountVectorizerModel.from_vocabulary`` — never a
-column per vocabulary entry."""
+"""Features in long form and the logistic-CV score of representation vectors
+(Spark ML). The baseline models per outcome and site are in ``cell_models``."""
 
 from __future__ import annotations
 
@@ -21,37 +18,10 @@ def counts_long(tokens: DataFrame, keys=("site", "subject_id"), token: str = "to
 
 
 # ---------------------------------------------------------------- Spark ML
-from pyspark.ml.classification import GBTClassifier, LogisticRegression  # noqa: E402
-from pyspark.ml.feature import CountVectorizerModel  # noqa: E402
+from pyspark.ml.classification import LogisticRegression  # noqa: E402
 from pyspark.ml.functions import array_to_vector, vector_to_array  # noqa: E402
 
-__all__ += ["sparse_features", "fit_logistic", "fit_boosted", "score_model", "rep_score"]
-
-
-def sparse_features(rows: DataFrame, vocab_ids: list, col: str = "tokens_past",
-                    binary: bool = False, out: str = "features") -> DataFrame:
-    """Token-id lists → SparseVector counts (or presence) over the vocabulary,
-    JVM-side; one vector column, not a column per token."""
-    cv = CountVectorizerModel.from_vocabulary([str(i) for i in vocab_ids], inputCol="_toks",
-                                              outputCol=out, binary=binary)
-    return cv.transform(rows.withColumn("_toks", F.col(col).cast("array<string>"))).drop("_toks")
-
-
-def fit_logistic(train: DataFrame, label: str = "label", features: str = "features", max_iter: int = 100):
-    """L2 logistic regression matching the common C = 1 default: Spark's
-    objective is the mean loss, so regParam = 1/n; no standardization."""
-    n = train.count()
-    lr = LogisticRegression(featuresCol=features, labelCol=label, regParam=1.0 / max(n, 1),
-                            elasticNetParam=0.0, standardization=False, maxIter=max_iter)
-    return lr.fit(train)
-
-
-def fit_boosted(train: DataFrame, label: str = "label", features: str = "features",
-                max_iter: int = 20, max_depth: int = 3, seed: int = 0):
-    """Gradient-boosted trees (a different algorithm from the source's
-    booster; compare by quality only)."""
-    return GBTClassifier(featuresCol=features, labelCol=label, maxIter=max_iter, maxDepth=max_depth,
-                         seed=seed).fit(train)
+__all__ += ["score_model", "rep_score"]
 
 
 def score_model(model, df: DataFrame, out: str = "score") -> DataFrame:

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 from timeloom.functions.scalar import hash_unit
+from timeloom.operators import bootstrap as bs
+from timeloom.operators import cell_models as cm
 from timeloom.operators import federate as fd
 from timeloom.operators import models as ml
 from timeloom.operators import winnow as wnw
-from timeloom.operators.metrics import roc_auc
+from timeloom.operators.metrics import auc_table
 from timeloom.operators.sequence import cross_site_loss as csl
 from timeloom.plans import driver as drv
 from timeloom.session import stage_table
 from timeloom.plans.catalog import D, query, r9
-from timeloom.plans.oracle import hash_unit_sql
+from timeloom.plans.oracle import hash_unit_sql, sql
 
 # Plan parameters for the embeddings table.
 ROUNDS = 3            # averaging rounds for the server-side rules
@@ -164,75 +168,152 @@ def scorer_hook(spark, sf):
 
 
 # ---------------------------------------------------------------- baselines
+KINDS = ("logistic", "boosted")
+#: Features: counts of past tokens, or their presence.
+METHODS = ("counts", "presence")
+N_REP, SEED = 1000, 42
+POOLED = "all"
+
+
 def _inference(spark, sf):
+    """(past token lists with split, outcome flags), staged once per driver."""
+    d = D(spark, sf)
+    if "inference" not in d._fitted:
+        win = wnw.winnow_duration(d.token_ids(), drv.WINNOW_SECONDS)
+        rows = wnw.inference_rows(win, keys=("site", "subject_id", "split"), ordering=drv.ORDERING).drop("tokens")
+        flags = wnw.outcome_flags(win, d.subjects(), wnw.outcome_tokens(d.vocab().df, drv.OUTCOMES))
+        d._fitted["inference"] = stage_table(rows, "inference", ["split"]), stage_table(flags, "flags")
+    return d._fitted["inference"]
+
+
+def _cells(spark, sf, method):
+    """(rows of all splits with features, qualified labels, {(site or all,
+    outcome): cell}) of the cells whose training rows have both labels."""
+    d = D(spark, sf)
+    key = ("cells", method)
+    if key not in d._fitted:
+        rows, flags = _inference(spark, sf)
+        feats = stage_table(cm.sparse_rows(rows, ["site", "subject_id", "split"], binary=method == "presence"), "features", ["split"])
+        labels = stage_table(flags.where("not past").join(rows.select("site", "subject_id", "split"), ["site", "subject_id"]).select(
+            "site", "subject_id", "split", "outcome", F.col("future").cast("double").alias("label")), "labels", ["split"])
+        both = labels.where("split = 'train'").rollup("outcome", "site").agg(F.count_distinct("label").alias("k"), F.grouping_id().alias("g"))
+        found = both.where("k = 2 and g < 3").select(F.when(F.col("g") == 1, POOLED).otherwise(F.col("site")).alias("s"), "outcome").orderBy("outcome", "s").collect()
+        d._fitted[key] = feats, labels, {(r.s, r.outcome): i for i, r in enumerate(found)}
+    return d._fitted[key]
+
+
+def _models(spark, sf, kind, method):
+    """All cells' models, fitted together."""
     d = D(spark, sf)
-    win = wnw.winnow_duration(d.token_ids(), drv.WINNOW_SECONDS)
-    rows = wnw.inference_rows(win, keys=("site", "subject_id", "split"), ordering=drv.ORDERING)
-    flags = wnw.outcome_flags(win, d.subjects(), wnw.outcome_tokens(d.vocab().df, drv.OUTCOMES))
-    ids = [r[0] for r in d.vocab().df.select("token_id").orderBy("token_id").collect()]   # vocabulary size
-    return ml.sparse_features(rows, ids).join(flags, ["site", "subject_id"]), flags
+    key = ("models", kind, method)
+    if key not in d._fitted:
+        feats, labels, cells = _cells(spark, sf, method)
+        keys = ["site", "subject_id"]
+        train = cm.with_cells(feats.where("split = 'train'").drop("split"), labels.where("split = 'train'"), keys, cells, ["site", "outcome"], POOLED)
+        train = stage_table(train.select("idx", "val", "cells", "labels"), "train-rows")
+        if kind == "logistic":
+            dim = (d.vocab().df.agg(F.max("token_id")).first()[0] or 0) + 1
+            d._fitted[key] = cm.fit_logistic_cells(train, len(cells), dim, tol=1e-3)
+        else:
+            d._fitted[key] = cm.fit_boosted_cells(train, len(cells))
+    return d._fitted[key]
+
+
+def _scored(spark, sf, kind, method):
+    """Held-out scores of every (training site or all, outcome) model on every
+    site: train_site, site, subject_id, outcome, future, score."""
+    d = D(spark, sf)
+    key = ("scored", kind, method)
+    if key not in d._fitted:
+        feats, labels, cells = _cells(spark, sf, method)
+        by_outcome = {}
+        for (_, o), c in cells.items():
+            by_outcome.setdefault(o, []).append(c)
+        wanted = spark.createDataFrame(sorted(by_outcome.items()), "outcome string, for_cells array<int>")
+        rows = (labels.where("split = 'held_out'").join(F.broadcast(wanted), "outcome")
+                .join(feats.where("split = 'held_out'").drop("split"), ["site", "subject_id"])
+                .select("site", "subject_id", "outcome", (F.col("label") == 1).alias("future"), "idx", "val", "for_cells"))
+        models = _models(spark, sf, kind, method)
+        scored = (cm.score_logistic_cells if kind == "logistic" else cm.score_boosted_cells)(rows, models)
+        names = spark.createDataFrame([(c, s) for (s, _), c in cells.items()], "cell int, train_site string")
+        d._fitted[key] = stage_table(scored.join(F.broadcast(names), "cell").drop("cell"), "fit-scores")
+    return d._fitted[key]
 
 
-def _fit_grid(spark, sf, fitter, pooled=False):
-    """Held-out AUCs of models fit per (outcome, training site); the fitted
-    grid is kept per driver, so queries that share fits do not refit."""
+def _areas(spark, sf, kind, method):
     d = D(spark, sf)
-    key = ("fit_grid", fitter.__name__, pooled)
+    key = ("areas", kind, method)
     if key not in d._fitted:
-        d._fitted[key] = stage_table(_fit_grid_uncached(spark, sf, fitter, pooled), "fit-grid")
+        d._fitted[key] = stage_table(auc_table(_scored(spark, sf, kind, method), ["train_site", "site", "outcome"])
+                                     .withColumnRenamed("site", "test_site"), "fit-areas")
     return d._fitted[key]
 
 
-def _fit_grid_uncached(spark, sf, fitter, pooled=False):
-    from concurrent.futures import ThreadPoolExecutor
-    feats, _ = _inference(spark, sf)
-    q = feats.filter(~F.col("past")).withColumn("label", F.col("future").cast("double")).cache()
-    train, test = q.filter(F.col("split") == "train"), q.filter(F.col("split") == "held_out")
-    site_col = F.lit("all") if pooled else F.col("site")
-    # cells with both classes, found in one aggregate (a one-class cell has no model)
-    cells = [(r.outcome, r.cell) for r in train.groupBy("outcome", site_col.alias("cell"))
-             .agg(F.countDistinct("label").alias("k")).filter("k = 2").orderBy("outcome", "cell").collect()]
-
-    def fit_one(cell):
-        o, s = cell
-        tr = train.filter(F.col("outcome") == o)
-        tr = tr if s == "all" else tr.filter(F.col("site") == s)
-        m = fitter(tr)
-        te = test.filter(F.col("outcome") == o)
-        return (ml.score_model(m, te.select("site", "subject_id", "outcome", "future", "features"))
-                .withColumn("train_site", F.lit(s)).drop("features"))
-
-    # the fits are independent small jobs: submit them concurrently
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        scored = list(pool.map(fit_one, cells))
-    out = scored[0]
-    for x in scored[1:]:
-        out = out.unionByName(x)
-    return roc_auc(out, ["train_site", "site", "outcome"]).withColumnRenamed("site", "test_site")
+def _rocs(spark, sf, kind):
+    return _areas(spark, sf, kind, "counts").select("train_site", "test_site", "outcome", "roc_auc")
 
 
 @query("fit_logistic")
 def fit_logistic(spark, sf):
     """Logistic regression per (outcome, training site) on sparse past-token
-    counts; held-out ROC AUC on the same site and the others."""
-    return _fit_grid(spark, sf, ml.fit_logistic)
+    counts, all cells in one job a round; held-out ROC AUC on every site."""
+    return _rocs(spark, sf, "logistic").where(F.col("train_site") != POOLED)
 
 
 @query("fit_boosted")
 def fit_boosted(spark, sf):
-    return _fit_grid(spark, sf, ml.fit_boosted)
+    """Leaf-wise boosted trees per (outcome, training site), all cells in the
+    same rounds; held-out ROC AUC on every site."""
+    return _rocs(spark, sf, "boosted").where(F.col("train_site") != POOLED)
 
 
 @query("fit_pooled")
 def fit_pooled(spark, sf):
-    return _fit_grid(spark, sf, ml.fit_logistic, pooled=True)
+    return _rocs(spark, sf, "logistic").where(F.col("train_site") == POOLED)
 
 
 @query("cross_site_eval")
 def cross_site_eval(spark, sf):
     """Every training site (and the pooled model) × every test site ×
     outcome, one grouped metric job over the long scores."""
-    return _fit_grid(spark, sf, ml.fit_logistic).unionByName(_fit_grid(spark, sf, ml.fit_logistic, pooled=True))
+    return _rocs(spark, sf, "logistic")
+
+
+_FIT_CELLS = """SELECT coalesce(i.site, 'all') AS train_site, f.outcome, count(*) AS n, count(*) FILTER (WHERE f.future) AS positives, true AS optimal
+    FROM (SELECT site, subject_id FROM infr WHERE split = 'train') i JOIN flags f ON f.site = i.site AND f.subject_id = i.subject_id
+    WHERE NOT f.past GROUP BY GROUPING SETS ((i.site, f.outcome), (f.outcome)) HAVING count(DISTINCT f.future) = 2"""
+
+
+@query("fit_logistic_cells", sql(_FIT_CELLS))
+def fit_logistic_cells(spark, sf):
+    """Per model: training rows, positives, and whether the gradient of its
+    objective vanishes at the result (largest component below 0.01)."""
+    _, labels, cells = _cells(spark, sf, "counts")
+    names = spark.createDataFrame([(c, s, o) for (s, o), c in cells.items()], "cell int, train_site string, outcome string")
+    got = _models(spark, sf, "logistic", "counts").join(names, "cell").select("train_site", "outcome", "n", (F.col("residual") < 0.01).alias("optimal"))
+    pos = labels.where("split = 'train'").rollup("outcome", "site").agg(F.count_if(F.col("label") == 1).alias("positives")).where("outcome is not null")
+    return got.join(pos.withColumn("train_site", F.coalesce("site", F.lit(POOLED))).drop("site"), ["train_site", "outcome"])
+
+
+@query("baseline_grid")
+def baseline_grid(spark, sf):
+    """Both kinds of model on counts and on presence, every training site and
+    the pooled model, every test site and outcome: ROC and PR area."""
+    parts = [_areas(spark, sf, k, m).select(F.lit(k).alias("kind"), F.lit(m).alias("method"), "*") for k in KINDS for m in METHODS]
+    return reduce(lambda a, b: a.unionByName(b), parts).select("kind", "method", "train_site", "test_site", "outcome",
+                                                               F.round("roc_auc", 9).alias("roc_auc"), F.round("pr_auc", 9).alias("pr_auc"))
+
+
+@query("baseline_cis")
+def baseline_cis(spark, sf):
+    """95 % intervals of the outcome-averaged areas of every grid cell; the
+    draws are shared by all models on the same subjects."""
+    parts = [_scored(spark, sf, k, m).select(F.concat_ws("/", F.lit(k), F.lit(m), "train_site").alias("model"), "site", "subject_id", "outcome", "future", "score")
+             for k in KINDS for m in METHODS]
+    got = bs.bootstrap_ci(reduce(lambda a, b: a.unionByName(b), parts), ("model", "site"), N_REP, SEED)
+    name = F.split("model", "/")
+    return got.select(name[0].alias("kind"), name[1].alias("method"), name[2].alias("train_site"), F.col("site").alias("test_site"), "metric",
+                      F.round("lo", 9).alias("lo"), F.round("hi", 9).alias("hi"))
 
 
 @query("rep_score")
