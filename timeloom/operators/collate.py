@@ -72,7 +72,7 @@ def reference_frame(tables: dict, ref: Reference, validate: bool = True) -> Data
     for name, key in ref.augment:
         other = tables[name]
         keep = [c for c in other.columns if c == key or c not in df.columns]
-        df = checked_join(df, other.select(*keep), key, "left", "m:1" if validate else None)
+        df = checked_join(df, other.select(*keep), key, "left", "m:1" if validate else None, in_plan=True)
     return df
 
 

@@ -9,8 +9,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from timeloom.operators.relational import join_guard
+from timeloom.operators.relational import unique_rows
 from timeloom.operators.scans import forward_fill as _ffill
+from timeloom.operators.scans import null_safe_join
 
 __all__ = ["convert_dose_units", "forward_fill", "severity_score", "encounter_block",
            "block_summary", "validate_table"]
@@ -28,12 +29,12 @@ def convert_dose_units(df: DataFrame, factors: DataFrame, category: str, dose: s
     'no preferred unit' (the category has none) or 'no factor' (none to the
     preferred unit); only a success has a converted dose."""
     if preferred is None:
-        f = join_guard(factors, ["from_unit"], "factors").withColumn("_known", F.lit(True))
+        f = unique_rows(factors, ["from_unit"], "factors").withColumn("_known", F.lit(True))
         j = df.join(f, F.col(unit) == F.col("from_unit"), "left")
         st = F.when(F.col("_known").isNull(), "unknown unit")
     else:
-        p = join_guard(preferred.select(F.col(category).alias("_cat"), F.col("to_unit").alias("_pref")), ["_cat"], "preferred")
-        f = join_guard(factors, ["from_unit", "to_unit"], "factors")
+        p = unique_rows(preferred.select(F.col(category).alias("_cat"), F.col("to_unit").alias("_pref")), ["_cat"], "preferred")
+        f = unique_rows(factors, ["from_unit", "to_unit"], "factors")
         known = factors.select(F.col("from_unit").alias("_k")).distinct().withColumn("_known", F.lit(True))
         j = (df.join(known, F.col(unit) == F.col("_k"), "left").drop("_k")
              .join(p, F.col(category) == F.col("_cat"), "left").drop("_cat")
@@ -80,17 +81,29 @@ def severity_score(df: DataFrame, keys, component: str, value: str, cutoffs: dic
 
 
 def encounter_block(stays: DataFrame, group: str, start: str, end: str, gap_hours: float = 6.0,
-                    stay: str = "stay_id", out: str = "encounter_block") -> DataFrame:
+                    stay: str = "stay_id", out: str = "encounter_block", bucket=None) -> DataFrame:
     """Stitch a patient's stays into blocks: a stay starts a new block when it
     begins more than ``gap_hours`` after the latest end so far (ours).
-    Gaps-and-islands: running max end, flag, running sum."""
-    w = Window.partitionBy(group).orderBy(F.col(start).asc_nulls_first(), F.col(stay))
-    prev_end = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
+
+    Two scans over (patient, bucket) summaries, which combine associatively:
+    the greatest end of earlier buckets tells where a bucket's blocks begin,
+    the number of blocks begun in earlier buckets numbers them. ``bucket`` is
+    any column that grows with the start (default: its month), so a patient
+    with very many stays is many windows."""
+    b = stays.withColumn("_bkt", F.date_trunc("MONTH", F.col(start)) if bucket is None else bucket)
+    keys = [group, "_bkt"]
+    earlier = Window.partitionBy(group).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    ends = b.groupBy(*keys).agg(F.max(end).alias("_end")).select(*keys, F.max("_end").over(earlier).alias("_end_before"))
+    w = Window.partitionBy(*keys).orderBy(F.col(start).asc_nulls_first(), F.col(stay))
+    b = null_safe_join(b, ends, keys)
+    prev_end = F.greatest(F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.col("_end_before"))
     gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_hours * 3600.0))
-    new = F.when(prev_end.isNull() | (F.col(start) > prev_end + gap), 1).otherwise(0)
-    b = stays.withColumn("_new", new)
-    return b.withColumn(out, F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))
-                        .cast("long")).drop("_new")
+    b = b.withColumn("_prev", prev_end)
+    b = b.withColumn("_new", F.when(F.col("_prev").isNull() | (F.col(start) > F.col("_prev") + gap), 1).otherwise(0))
+    begun = b.groupBy(*keys).agg(F.sum("_new").alias("_k")).select(*keys, F.coalesce(F.sum("_k").over(earlier), F.lit(0)).alias("_blocks"))
+    b = b.withColumn("_in", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return null_safe_join(b, begun, keys).withColumn(out, (F.col("_blocks") + F.col("_in")).cast("long")).drop(
+        "_bkt", "_end_before", "_prev", "_new", "_in", "_blocks")
 
 
 def block_summary(df: DataFrame, keys, time: str, ident: str) -> DataFrame:

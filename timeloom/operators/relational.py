@@ -10,12 +10,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from timeloom.functions.scalar import hash_bigint, hash_unit
+from timeloom.operators.numbering import equal_parts, number_rows
 
 __all__ = [
-    "CardinalityError", "join_guard", "checked_join", "first_per_group",
+    "CardinalityError", "join_guard", "unique_rows", "checked_join", "first_per_group",
     "pivot_checked", "grid_complete", "top_bottom_k", "cumulative_share",
     "share_of_group", "custom_order", "seeded_sample", "split_table_parts",
-    "round_shard", "melt", "transpose_table", "concat_metrics", "and_all",
+    "contiguous_shards", "round_shard", "melt", "transpose_table", "concat_metrics", "and_all",
     "union_all",
 ]
 
@@ -39,13 +40,29 @@ def join_guard(df: DataFrame, on, what: str = "right side") -> DataFrame:
     return df
 
 
+def unique_rows(df: DataFrame, on, what: str = "right side") -> DataFrame:
+    """``df`` with the promise that ``on`` is unique checked inside the plan:
+    one row per key; a second row of a key raises when the plan runs. The
+    aggregation is by the keys that the join needs anyway, so a sort-merge
+    join reuses its exchange, and no job runs while the query is built."""
+    keys = _keys(on)
+    rest = [c for c in df.columns if c not in keys]
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *([F.any_value(F.struct(*rest)).alias("_v")] if rest else []))
+    told = F.concat(F.lit(f"{what}: key {keys} not unique, e.g. "), F.to_json(F.struct(*keys)))
+    one = g.where(F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(told).cast("boolean")))
+    return one.select(*[F.col(c) if c in keys else F.col("_v")[c].alias(c) for c in df.columns])
+
+
 def checked_join(left: DataFrame, right: DataFrame, on, how: str = "inner",
-                 validate: str | None = None) -> DataFrame:
-    """Join with the cardinality promise checked: "m:1", "1:m", "1:1"."""
+                 validate: str | None = None, in_plan: bool = False) -> DataFrame:
+    """Join with the cardinality promise checked: "m:1", "1:m", "1:1".
+    ``in_plan`` checks when the plan runs (``unique_rows``), else a job checks
+    now and raises ``CardinalityError``."""
+    check = unique_rows if in_plan else join_guard
     if validate in ("m:1", "1:1"):
-        join_guard(right, on, "right side")
+        right = check(right, on, "right side")
     if validate in ("1:m", "1:1"):
-        join_guard(left, on, "left side")
+        left = check(left, on, "left side")
     return left.join(right, on, how)
 
 
@@ -131,12 +148,19 @@ def seeded_sample(df: DataFrame, partition, key: str, n: int, seed: int = 0,
 
 
 def split_table_parts(df: DataFrame, order, parts: int = 4, out: str = "part") -> DataFrame:
-    """Cut an ordered (small, result-sized) table into equal parts; raises if
-    the row count does not divide."""
-    n = df.count()
-    if n % parts:
-        raise ValueError(f"{n} rows do not split into {parts} equal parts")
-    return df.withColumn(out, F.ntile(parts).over(Window.orderBy(*_keys(order))))
+    """Cut an ordered table into equal parts (from 1); raises, when the plan
+    runs, if the row count does not divide. Numbered by range partitions."""
+    n = number_rows(df, [], _keys(order), "_i", "_n")
+    told = F.raise_error(F.concat(F.col("_n").cast("string"), F.lit(f" rows do not split into {parts} equal parts"))).cast("int")
+    return n.withColumn(out, F.when(F.col("_n") % parts == 0, equal_parts(F.col("_i"), F.col("_n"), parts)).otherwise(told)).drop("_i", "_n")
+
+
+def contiguous_shards(df: DataFrame, order, n_rounds: int, out: str = "shard") -> DataFrame:
+    """``df`` with the shard (from 1) that its row falls into when the ordered
+    table is cut into ``n_rounds`` stretches; the first ones hold one row more
+    where the count does not divide."""
+    n = number_rows(df, [], _keys(order), "_i", "_n")
+    return n.withColumn(out, equal_parts(F.col("_i"), F.col("_n"), n_rounds)).drop("_i", "_n")
 
 
 def round_shard(df: DataFrame, key: str, rnd: int, n_rounds: int, seed: int = 0) -> DataFrame:

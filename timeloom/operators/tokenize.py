@@ -13,17 +13,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from timeloom.functions.scalar import micros
+from timeloom.operators.numbering import number_rows
 from timeloom.operators.order_stats import exact_quantiles, merge_sketches, numbers, sketch_quantiles
+from timeloom.operators.scans import null_safe_join
 from timeloom.operators.sizing import Fitted
 
 __all__ = [
     "DEFAULT_ORDERING", "SPACERS", "CLOCKS", "quantile_fit", "quantile_fit_sketch", "quantile_apply",
     "token_build", "vocab_fit", "vocab_apply", "prefix_rank", "add_bounds",
-    "timeline_build", "gap_spacers", "clock_tokens", "time_positions",
+    "event_order", "timeline_chunks", "join_chunks", "timeline_build", "gap_spacers", "clock_tokens", "time_positions",
     "timeline_decode", "UNK",
 ]
 
 UNK = "UNK"
+#: Tokens of a timeline that one group decodes.
+DECODE_ROWS = 10_000
 
 # Order of prefixes for events at the same time (BOS first,
 # EOS last), as in the tokenization config.
@@ -113,12 +117,12 @@ def vocab_fit(tokens: DataFrame, token: str = "token", materialize: bool = False
     """(token, token_id): ``UNK`` is 0, then every distinct token in sorted
     order from 1. Learned on one site and shared by all.
 
-    The numbering window has no partition: it runs over the distinct
-    vocabulary, whose size is bounded by codes × bins, not by rows."""
+    Numbered by range partitions and their counts, so no task sees the whole
+    vocabulary."""
     spark = tokens.sparkSession
     distinct = (tokens.select(F.col(token).alias("token"))
                 .filter(F.col("token").isNotNull() & (F.col("token") != UNK)).distinct())
-    numbered = distinct.withColumn("token_id", F.row_number().over(Window.orderBy("token")).cast("int"))
+    numbered = number_rows(distinct, [], ["token"], "_n").select("token", (F.col("_n") + 1).cast("int").alias("token_id"))
     unk = spark.createDataFrame([(UNK, 0)], "token string, token_id int")
     df = unk.unionByName(numbered)
     return Fitted.materialize(df) if materialize else df
@@ -157,37 +161,85 @@ def add_bounds(tokens: DataFrame, ref: DataFrame, start: str = "start_time",
         .unionByName(eos, allowMissingColumns=True).select(*cols)
 
 
-def timeline_build(tokens: DataFrame, ordering=DEFAULT_ORDERING,
-                   keys=("site", "subject_id"), value: str = "token",
-                   tie: str = "token") -> DataFrame:
-    """(keys…, tokens[], times[]): events sorted by (time, prefix rank, token
-    text, sub-position, event id). ``collect_list`` has no order, so the
-    structs carry the full sort key and are sorted inside the array.
+def day(time: str = "time") -> Column:
+    """The default chunk of a timeline: any column that grows with time (and is
+    null where it is) serves."""
+    return F.date_trunc("DAY", F.col(time))
+
+
+def event_order(tokens: DataFrame, ordering=DEFAULT_ORDERING, keys=("site", "subject_id"), chunk: Column | None = None,
+                out: str = "pos") -> DataFrame:
+    """``tokens`` with ``out``, an event's place from 1 in its timeline (time,
+    prefix rank, token). Places are counted inside (subject, chunk); the counts
+    of a subject's earlier chunks, one row per chunk, come on top."""
+    keys = list(keys)
+    rows = tokens.withColumn("_chunk", day() if chunk is None else chunk)
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    base = rows.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_c")).select(
+        *keys, "_chunk", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_base"))
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("time", prefix_rank("prefix", ordering), "token")
+    return (null_safe_join(rows.withColumn("_in", F.row_number().over(inside)), base, [*keys, "_chunk"])
+            .withColumn(out, F.col("_base") + F.col("_in")).drop("_chunk", "_base", "_in"))
+
+
+def _field(name: str):
+    return lambda x: x[name]
+
 
-    One array per subject is the output row itself; statistics never build
-    it (they run on the long form)."""
+def timeline_chunks(tokens: DataFrame, fields, ordering=DEFAULT_ORDERING, keys=("site", "subject_id"), tie: str = "token",
+                    chunk: Column | None = None) -> DataFrame:
+    """(keys…, chunk, one array per field): events sorted by (time, prefix
+    rank, token text, sub-position, event id) inside each chunk of a timeline.
+    ``collect_list`` has no order, so the structs carry the full sort key. A
+    subject with very many events is many rows, in as many tasks."""
     sub = F.col("sub") if "sub" in tokens.columns else F.lit(0)
     eid = F.col("event_id") if "event_id" in tokens.columns else F.lit(None).cast("long")
-    s = F.struct(F.col("time").alias("t"), prefix_rank("prefix", ordering).alias("r"),
-                 F.col(tie).cast("string").alias("k"), sub.alias("s"), eid.alias("e"),
-                 F.col(value).alias("v"))
-    g = tokens.groupBy(*keys).agg(F.array_sort(F.collect_list(s)).alias("_ev"))
-    return g.select(*keys, F.transform("_ev", lambda x: x["v"]).alias("tokens"),
-                    F.transform("_ev", lambda x: x["t"]).alias("times"))
+    s = F.struct(F.col("time").alias("_t"), prefix_rank("prefix", ordering).alias("_r"), F.col(tie).cast("string").alias("_k"),
+                 sub.alias("_s"), eid.alias("_e"), *[F.col(f).alias(f"v{i}") for i, f in enumerate(fields)])
+    at = (day() if chunk is None else chunk).alias("chunk")
+    g = tokens.groupBy(*keys, at).agg(F.array_sort(F.collect_list(s)).alias("_ev"))
+    return g.select(*keys, "chunk", *[F.transform("_ev", _field(f"v{i}")).alias(f) for i, f in enumerate(fields)])
+
+
+def join_chunks(chunks: DataFrame, fields, keys=("site", "subject_id"), chunk: str = "chunk") -> DataFrame:
+    """(keys…, one array per field): the chunks' arrays put together in order.
+    Only whole arrays move; the array of a subject is the output row itself."""
+    parts = F.array_sort(F.collect_list(F.struct(F.col(chunk).alias("_c"), *fields))).alias("_p")
+    return chunks.groupBy(*keys).agg(parts).select(*keys, *[F.flatten(F.transform("_p", _field(f))).alias(f) for f in fields])
+
+
+def timeline_build(tokens: DataFrame, ordering=DEFAULT_ORDERING,
+                   keys=("site", "subject_id"), value: str = "token",
+                   tie: str = "token", chunk: Column | None = None) -> DataFrame:
+    """(keys…, tokens[], times[]) in event order, from sorted chunks. Where a
+    whole array per subject is not needed, ``timeline_chunks`` is the better
+    output; statistics run on the long form."""
+    rows = tokens.select("*", F.col(value).alias("tokens"), F.col("time").alias("times"))
+    return join_chunks(timeline_chunks(rows, ["tokens", "times"], ordering, keys, tie, chunk), ["tokens", "times"], keys)
 
 
 def gap_spacers(tokens: DataFrame, keys=("site", "subject_id"), spacers=SPACERS,
-                ordering=DEFAULT_ORDERING) -> DataFrame:
+                ordering=DEFAULT_ORDERING, chunk: Column | None = None) -> DataFrame:
     """A ``TIME//<range>`` row before each event that follows a gap of at least
     5 minutes; the spacer carries the later event's time. Consecutive events
-    at the same time never get one. Rows get ``prefix = 'TIME'``."""
-    w = Window.partitionBy(*keys).orderBy("time", prefix_rank("prefix", ordering), "token")
-    gap_min = (micros("time") - F.lag(micros("time")).over(w)) / F.lit(60_000_000.0)
+    at the same time never get one. Rows get ``prefix = 'TIME'``.
+
+    The event before is looked up inside (subject, chunk); a chunk's first
+    event gets the last time of the chunk before it, handed over in a table of
+    one row per chunk."""
+    keys = list(keys)
+    rows = tokens.select(*keys, "time", "prefix", "token", (day() if chunk is None else chunk).alias("_chunk"))
+    # the last event of a chunk has its latest time: nulls come first
+    last = rows.groupBy(*keys, "_chunk").agg(F.max("time").alias("_last"))
+    handed = last.select(*keys, "_chunk", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_before"))
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("time", prefix_rank("prefix", ordering), "token")
+    rows = rows.withColumn("_lag", F.lag("time").over(inside)).withColumn("_first", F.row_number().over(inside) == 1)
+    rows = null_safe_join(rows, handed, [*keys, "_chunk"])
+    gap_min = (micros("time") - F.when(F.col("_first"), micros("_before")).otherwise(micros("_lag"))) / F.lit(60_000_000.0)
     label = F.lit(None).cast("string")
     for name, lo in spacers:
         label = F.when(gap_min >= lo, F.lit(f"TIME//{name}")).otherwise(label)
-    firsts = tokens.select(*keys, "time", "prefix", "token").withColumn("_gap", label)
-    sp = (firsts.filter(F.col("_gap").isNotNull())
+    sp = (rows.withColumn("_gap", label).filter(F.col("_gap").isNotNull())
           .select(*keys, "time", F.lit("TIME").alias("prefix"), F.col("_gap").alias("token")))
     return tokens.unionByName(sp, allowMissingColumns=True)
 
@@ -216,13 +268,16 @@ def time_positions(timelines: DataFrame, unit_s: int = 300, times: str = "times"
 def timeline_decode(timelines: DataFrame, vocab, keys=("site", "subject_id"),
                     col: str = "tokens") -> DataFrame:
     """ids → token strings, order kept. Unknown ids raise (S10); null ids stay
-    null. posexplode → join → ordered re-collect."""
+    null. posexplode → join → ordered re-collect, by stretches of ``DECODE_ROWS``
+    tokens."""
     v = vocab.df if isinstance(vocab, Fitted) else vocab
     ex = timelines.select(*keys, F.posexplode_outer(col).alias("pos", "token_id"))
     j = ex.join(v, "token_id", "left")
     tok = F.when(F.col("token_id").isNull(), F.lit(None).cast("string")).otherwise(
         F.coalesce(F.col("token"), F.raise_error(F.concat(
             F.lit("unknown token id "), F.col("token_id").cast("string")))))
-    g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(
+    # stretches of a timeline first, then the stretches
+    part = F.floor(F.col("pos") / DECODE_ROWS).alias("chunk")
+    parts = j.groupBy(*keys, part).agg(F.array_sort(F.collect_list(
         F.when(F.col("pos").isNotNull(), F.struct(F.col("pos").alias("p"), tok.alias("t"))))).alias("_x"))
-    return g.select(*keys, F.transform("_x", lambda x: x["t"]).alias(col))
+    return join_chunks(parts.select(*keys, "chunk", F.transform("_x", lambda x: x["t"]).alias(col)), [col], keys)

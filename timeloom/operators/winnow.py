@@ -4,30 +4,36 @@ arrays are only built for the inference rows themselves."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timeloom.operators.tokenize import DEFAULT_ORDERING, prefix_rank
+from timeloom.operators.scans import null_safe_join
+from timeloom.operators.tokenize import DEFAULT_ORDERING, join_chunks, timeline_chunks
 
 __all__ = ["winnow_duration", "winnow_first_occurrence", "outcome_tokens",
            "outcome_flags", "inference_rows", "flags_wide", "winnow_splits"]
 
 
+def _with_cut(tokens: DataFrame, keys, cut) -> DataFrame:
+    """The subject's cut time beside every row: a partial aggregate and a join
+    (whose large partitions can be split), no window over a subject."""
+    keys = list(keys)
+    return null_safe_join(tokens, tokens.groupBy(*keys).agg(cut.alias("_cut")), keys)
+
+
 def winnow_duration(tokens: DataFrame, seconds: int = 86400, keys=("site", "subject_id")) -> DataFrame:
     """``past`` = time ≤ timeline start + seconds (boundary in the past, ours).
     The start is the subject's first time (its BOS row)."""
-    w = Window.partitionBy(*keys)
-    cut = F.min("time").over(w) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds))
-    return tokens.withColumn("past", F.col("time") <= cut)
+    cut = F.min("time") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds))
+    return _with_cut(tokens, keys, cut).withColumn("past", F.col("time") <= F.col("_cut")).drop("_cut")
 
 
 def winnow_first_occurrence(tokens: DataFrame, token: str, keys=("site", "subject_id"),
                             col: str = "token") -> DataFrame:
     """Cut at the first occurrence of a token (that event is in the past).
     A subject without the token has no cut: everything is past (ours)."""
-    w = Window.partitionBy(*keys)
-    cut = F.min(F.when(F.col(col) == token, F.col("time"))).over(w)
-    return tokens.withColumn("past", cut.isNull() | (F.col("time") <= cut))
+    cut = F.min(F.when(F.col(col) == token, F.col("time")))
+    return _with_cut(tokens, keys, cut).withColumn("past", F.col("_cut").isNull() | (F.col("time") <= F.col("_cut"))).drop("_cut")
 
 
 def outcome_tokens(vocab: DataFrame, patterns, token: str = "token") -> list[str]:
@@ -55,11 +61,11 @@ def outcome_flags(winnowed: DataFrame, subjects: DataFrame, outcomes: list[str],
 def inference_rows(winnowed: DataFrame, keys=("site", "subject_id"), value: str = "token_id",
                    ordering=DEFAULT_ORDERING, tie: str = "token") -> DataFrame:
     """(keys…, tokens[], tokens_past[]) in timeline order."""
-    s = F.struct(F.col("time").alias("t"), prefix_rank("prefix", ordering).alias("r"),
-                 F.col(tie).cast("string").alias("k"), F.col(value).alias("v"), F.col("past").alias("p"))
-    g = winnowed.groupBy(*keys).agg(F.array_sort(F.collect_list(s)).alias("_ev"))
-    return g.select(*keys, F.transform("_ev", lambda x: x["v"]).alias("tokens"),
-                    F.transform(F.filter("_ev", lambda x: x["p"]), lambda x: x["v"]).alias("tokens_past"))
+    rows = winnowed.select(*keys, "time", "prefix", tie, F.col(value).alias("_v"), "past")
+    chunks = timeline_chunks(rows, ["_v", "past"], ordering, keys, tie)
+    pick = F.transform(F.filter(F.arrays_zip("_v", "past"), lambda x: x["past"]), lambda x: x["_v"])
+    chunks = chunks.select(*keys, "chunk", F.col("_v").alias("tokens"), pick.alias("tokens_past"))
+    return join_chunks(chunks, ["tokens", "tokens_past"], keys)
 
 
 def flags_wide(flags: DataFrame, outcomes: list[str], keys=("site", "subject_id")) -> DataFrame:

@@ -63,7 +63,7 @@ def drop_optional(spark, sf):
 def join_guard(spark, sf):
     """Many nations to one region: the right side is checked to be unique."""
     region = T(spark, sf, "region").withColumnRenamed("r_regionkey", "n_regionkey")
-    return R.checked_join(T(spark, sf, "nation"), region, "n_regionkey", "inner", "m:1").select("n_name", "r_name")
+    return R.checked_join(T(spark, sf, "nation"), region, "n_regionkey", "inner", "m:1", in_plan=True).select("n_name", "r_name")
 
 
 @query("subset_tables", """
@@ -246,6 +246,13 @@ def sort_table(spark, sf):
     return T(spark, sf, "orders").select("o_orderkey", "o_orderdate").orderBy("o_orderdate", "o_orderkey")
 
 
+@query("round_shard_contiguous", "SELECT vec_id, CAST(ntile(4) OVER (ORDER BY vec_id) AS BIGINT) AS shard FROM embeddings")
+def round_shard_contiguous(spark, sf):
+    """Four stretches of the ordered table."""
+    e = T(spark, sf, "embeddings").select("vec_id")
+    return R.contiguous_shards(e, "vec_id", 4).withColumn("shard", F.col("shard").cast("long"))
+
+
 @query("round_shard", f"""SELECT vec_id, CAST(floor({hash_unit_sql('vec_id', 0)} * 4) AS BIGINT) + 1 AS shard
     FROM embeddings""")
 def round_shard(spark, sf):

@@ -94,7 +94,7 @@ def min_per_group(spark, sf):
 def cohort_join(spark, sf):
     d = D(spark, sf)
     first = coh.first_stays(d.stays()).select("stay_id", "patient_id")
-    return checked_join(first, coh.first_unit_entry(d.units()), "stay_id", "inner", "1:1")
+    return checked_join(first, coh.first_unit_entry(d.units()), "stay_id", "inner", "1:1", in_plan=True)
 
 
 @query("subset_semi", sql("""SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
@@ -308,10 +308,8 @@ def vocab_apply(spark, sf):
 @query("event_order", sql(f"""SELECT site, subject_id, token,
     row_number() OVER (PARTITION BY site, subject_id ORDER BY {ORD}) AS pos FROM ids"""))
 def event_order(spark, sf):
-    from pyspark.sql import Window
-    ids = D(spark, sf).token_ids()
-    w = Window.partitionBy("site", "subject_id").orderBy("time", tkz.prefix_rank("prefix", drv.ORDERING), "token")
-    return ids.select("site", "subject_id", "token", F.row_number().over(w).cast("long").alias("pos"))
+    ids = tkz.event_order(D(spark, sf).token_ids(), drv.ORDERING)
+    return ids.select("site", "subject_id", "token", F.col("pos").cast("long").alias("pos"))
 
 
 def _text(c):
@@ -911,7 +909,7 @@ def score_join(spark, sf):
     d = D(spark, sf)
     b = _blocks(spark, sf).join(d.t("orders").select(F.col("o_orderkey").alias("stay_id"), "o_totalprice"), "stay_id")
     tot = b.groupBy("patient_id", "encounter_block").agg(F.sum("o_totalprice").alias("total"))
-    j = checked_join(_block_summary(spark, sf), tot, ["patient_id", "encounter_block"], "inner", "1:1")
+    j = checked_join(_block_summary(spark, sf), tot, ["patient_id", "encounter_block"], "inner", "1:1", in_plan=True)
     return j.select("patient_id", "encounter_block", "last_stay_id", F.round("total", 6).alias("total"))
 
 
