@@ -1,6 +1,8 @@
 import html as entities
 import re
 
+import pytest
+
 from timeloom.llm.html import extract, extract_text
 
 PROSE = "A sentence of the article, with commas and a full stop; it goes on for a while. " * 3
@@ -49,3 +51,32 @@ def test_odd_rows(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     assert sorted((r.page_id or 0, len(r.text)) for r in extract(df).collect()) == [(0, 0), (1, 0), (1, 0), (2, 249_999)]
     assert extract(df.limit(0)).columns == ["page_id", "url", "text"] and extract(df.limit(0)).count() == 0
+
+
+BODY = "".join(f"<p>Sentence {i}, with some words and more of them. Another one follows here, as it should.</p>" for i in range(6))
+TEXT = "\n".join(f"Sentence {i}, with some words and more of them. Another one follows here, as it should." for i in range(6))
+
+
+@pytest.mark.parametrize("attr", ['class="content has-sidebar"', 'class="no-comments"', 'class="elementor-widget-container"', 'class="layout-with-nav"',
+                                  'class="social-science-article"', 'class="post ad-free"', 'id="search-result-article"'])
+def test_wrappers_named_like_boilerplate(attr):
+    page = f'<body><nav><a href="/">Home</a></nav><div {attr}>{BODY}<div class="comments"><p>First, said a reader. Nice, very nice!</p></div></div><footer>Foot</footer>'
+    assert extract_text(page) == TEXT
+
+
+def test_page_in_a_form():
+    page = f'<body><form id="aspnetForm"><nav><a href="/">Home</a></nav><article>{BODY}</article><div class="sidebar">Side</div></form></body>'
+    assert extract_text(page) == TEXT
+    assert extract_text(f'<body><div class="text">{BODY}</div><form><p>Your name, please. And your address, too.</p></form></body>') == TEXT
+
+
+def test_single_links_of_the_article_stay():
+    page = f'<body><article>{BODY}<ul><li><a href="x">The report</a></li></ul></article></body>'
+    assert extract_text(page) == TEXT + "\nThe report"
+    menu = "".join(f'<li><a href="{i}">Entry {i}</a></li>' for i in range(6))
+    assert extract_text(f"<body><article>{BODY}<ul>{menu}</ul></article></body>") == TEXT
+
+
+def test_article_comments_are_comments():
+    page = f'<body><div class="post">{BODY}</div><div id="article-comments">{"<p>A reader says, well, this. And that!</p>" * 4}</div></body>'
+    assert extract_text(page) == TEXT

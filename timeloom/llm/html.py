@@ -7,9 +7,14 @@ page order, fused, and held against a threshold that the page itself sets. A
 block is content if its path passes, or if it lies in the element that holds
 most of the passing text and is not boilerplate by its own markup.
 
-Elements whose tag, role, class or id say menu, header, footer, sidebar,
-notice, advert, form, share bar or reader comments never give content, nor do
-scripts, styles, templates, the head, comments or hidden elements.
+Elements whose tag, role, class or id say nothing but menu, header, footer,
+sidebar, notice, advert, share bar or reader comments never give content, nor
+do scripts, styles, templates, the head, comments or hidden elements. A name in
+which such a word stands among others (``social-science-article``,
+``widget-container``), and a form, is evidence only: the element is left out
+unless it holds the page's article or main element, or hardly any text is left
+without it; names that negate or describe the layout (``has-sidebar``,
+``no-comments``, ``ad-free``) say nothing.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from timeloom.llm.common import arrow_slices
 # HTML vocabulary.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset("head script style noscript template iframe object svg canvas math select textarea button "
-                    "form nav footer aside menu dialog audio video map datalist fieldset label option".split())
+                    "nav footer aside menu dialog audio video map datalist fieldset label option".split())
 RAW = frozenset(["script", "style"])
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
                   "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol "
@@ -46,20 +51,30 @@ BOILERPLATE = frozenset(
     "overlay pager pagination popup promo promoted promotion related respond share sharing sidebar social sponsor "
     "sponsored subscribe subscription toolbar widget complementary contentinfo search alert alerts gdpr discussion "
     "replies outbrain taboola recommended signup login".split())
+#: Words that do not change what a boilerplate word beside them says.
+STRUCTURAL = frozenset("list section area box wrapper wrap container block inner outer site page global top bottom left right "
+                       "primary secondary main item items slot unit region zone bar button link links row col column panel inline float fixed "
+                       "sticky small large big mobile desktop".split())
+#: Words that turn a boilerplate word beside them into a remark on the layout.
+LAYOUT = frozenset("has no with without not free hide hides show shows is".split())
 #: Words beside which "header" means the article's heading.
 OF_ARTICLE = frozenset("article content entry post story".split())
 KEEPS = frozenset(["main", "body", "html"])
 PUNCTUATION = frozenset(".,;:!?…。，！？；：、")
+#: Share of the page's text below which what is left without a suspect element is too little.
+LITTLE = 0.1
+#: Consecutive blocks of links alone that make a menu.
+MENU = 3
 WEIGHT_PUNCTUATION = 0.5
 THRESHOLD = 0.2
 
 
 class Node:
     """One block: its tag path, the container it lies in, text and ratios."""
-    __slots__ = ("path", "parts", "link", "boxes")
+    __slots__ = ("path", "parts", "link", "boxes", "marks")
 
-    def __init__(self, path, boxes):
-        self.path, self.boxes, self.parts, self.link = path, boxes, [], 0
+    def __init__(self, path, boxes, marks):
+        self.path, self.boxes, self.marks, self.parts, self.link = path, boxes, marks, [], 0
 
 
 def _reader():
@@ -72,39 +87,45 @@ def _reader():
     class Reader(HTMLParser):
         def __init__(self):
             super().__init__(convert_charrefs=True)
-            self.open: list[tuple[str, bool, int]] = []  # tag, skipped from here, element number
-            self.count, self.now, self.nodes = 0, None, []
+            # tag, skipped from here, element number, numbers of the suspect elements around
+            self.open: list[tuple[str, bool, int, tuple]] = []
+            self.count, self.now, self.nodes, self.cleared = 0, None, [], set()
 
-        def _is_skipped(self, tag, attrs):
+        def _judge(self, tag, attrs):
+            """0: nothing, 1: suspect, 2: never content."""
             if tag in SKIPPED:
-                return True
-            if tag == "header" and not any(t in ("article", "main") for t, _, _ in self.open):
-                return True
+                return 2
+            if tag == "header" and not any(o[0] in ("article", "main") for o in self.open):
+                return 2
             if tag in KEEPS:
-                return False
+                return 0
+            worst = int(tag == "form")
             for name, value in attrs:
                 if name in ("class", "id", "role") and value:
-                    found = {w.lower() for w in words.findall(value)}
-                    if found & OF_ARTICLE or any(t in ("article", "main") for t, _, _ in self.open):
-                        found.discard("header")  # the article's own heading
-                    if not BOILERPLATE.isdisjoint(found):
-                        return True
+                    own = {w.lower() for w in words.findall(value)}
+                    heading = bool(own & OF_ARTICLE) or any(o[0] in ("article", "main") for o in self.open)
+                    for token in value.split():
+                        found = {w.lower() for w in words.findall(token)}
+                        if heading:
+                            found.discard("header")  # the article's own heading
+                        if not BOILERPLATE.isdisjoint(found) and LAYOUT.isdisjoint(found):
+                            worst = max(worst, 2 if found <= BOILERPLATE | STRUCTURAL else 1)
                 elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-                    return True
+                    return 2
                 elif name == "style" and value and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()):
-                    return True
-            return False
+                    return 2
+            return worst
 
         def _close_to(self, at):
             del self.open[at:]
             self.now = None
 
         def handle_starttag(self, tag, attrs):
-            if tag in ("html", "body") and any(t == tag for t, _, _ in self.open):
+            if tag in ("html", "body") and any(o[0] == tag for o in self.open):
                 return
             if tag == "body":  # a head left open ends here
-                for i, (t, _, _) in enumerate(self.open):
-                    if t == "head":
+                for i, o in enumerate(self.open):
+                    if o[0] == "head":
                         self._close_to(i)
                         break
             if tag in ENDS_P:
@@ -129,8 +150,11 @@ def _reader():
             if tag in VOID:
                 return
             self.count += 1
-            skipped = bool(self.open) and self.open[-1][1]
-            self.open.append((tag, skipped or self._is_skipped(tag, attrs), self.count))
+            skipped, marks = (self.open[-1][1], self.open[-1][3]) if self.open else (False, ())
+            judged = 2 if skipped else self._judge(tag, attrs)
+            if judged < 2 and tag in ("article", "main"):
+                self.cleared.update(marks)
+            self.open.append((tag, judged == 2, self.count, (*marks, self.count) if judged == 1 else marks))
 
         def handle_startendtag(self, tag, attrs):
             # the slash means nothing on an element of HTML that may have content
@@ -142,7 +166,7 @@ def _reader():
                     if tag in BLOCK:
                         self._close_to(i)
                     else:
-                        if not any(t in BLOCK for t, _, _ in self.open[i + 1:]):
+                        if not any(o[0] in BLOCK for o in self.open[i + 1:]):
                             del self.open[i:]
                     return
                 if tag not in BLOCK and self.open[i][0] in BLOCK:
@@ -154,12 +178,12 @@ def _reader():
             if self.now is None:
                 if not data.strip():
                     return
-                path = tuple(t for t, _, _ in self.open if t in BLOCK)
-                boxes = tuple((n, t) for t, _, n in self.open if t in BLOCK and t != "p")
-                self.now = Node(path, boxes)
+                path = tuple(o[0] for o in self.open if o[0] in BLOCK)
+                boxes = tuple((o[2], o[0]) for o in self.open if o[0] in BLOCK and o[0] != "p")
+                self.now = Node(path, boxes, self.open[-1][3] if self.open else ())
                 self.nodes.append(self.now)
             self.now.parts.append(data)
-            if any(t == "a" for t, _, _ in self.open):
+            if any(o[0] == "a" for o in self.open):
                 self.now.link += len(data)
 
         def unknown_decl(self, data):
@@ -205,7 +229,31 @@ def content_blocks(nodes: list[tuple[tuple, tuple, str, int]]) -> list[str]:
     main = next((b for b in around if b[1] == "article"), next((b for b in around if b[1] == "main"), main))
     inside = [i for i, n in enumerate(nodes) if main in n[1]]
     title = [i for i, n in enumerate(nodes[:inside[0]]) if n[0][-1:] == ("h1",)][-1:]
-    return [nodes[i][2] for i in title + inside if nodes[i][0] in passing or nodes[i][3] < 0.8 * len(nodes[i][2])]
+    linked = [nodes[i][3] >= 0.8 * len(nodes[i][2]) for i in inside]
+    in_menu = set()  # blocks of links alone, several in a row
+    for k in range(len(inside) - MENU + 1):
+        if all(linked[k:k + MENU]):
+            in_menu.update(inside[k:k + MENU])
+    return [nodes[i][2] for i in title + inside if nodes[i][0] in passing or i not in in_menu]
+
+
+def visible(nodes: list, cleared: set) -> list:
+    """The blocks outside all suspect elements. Those in ``cleared`` are not
+    suspect; while next to nothing is left, the outermost suspect element that
+    hides the most text is cleared too."""
+    cleared = set(cleared)
+    total = sum(len(t) for _, t in nodes)
+    while True:
+        left, hidden = [], {}
+        for n, text in nodes:
+            mark = next((m for m in n.marks if m not in cleared), None)
+            if mark is None:
+                left.append((n, text))
+            else:
+                hidden[mark] = hidden.get(mark, 0) + len(text)
+        if not hidden or sum(len(t) for _, t in left) >= LITTLE * total:
+            return left
+        cleared.add(max(hidden, key=lambda m: (hidden[m], -m)))
 
 
 def extract_text(html: str) -> str:
@@ -215,8 +263,8 @@ def extract_text(html: str) -> str:
     r = _READER[0]()
     r.feed(html)
     r.close()
-    nodes = [(n.path, n.boxes, text, n.link) for n in r.nodes if (text := " ".join("".join(n.parts).split()))]
-    return "\n".join(content_blocks(nodes))
+    nodes = [(n, text) for n in r.nodes if (text := " ".join("".join(n.parts).split()))]
+    return "\n".join(content_blocks([(n.path, n.boxes, text, n.link) for n, text in visible(nodes, r.cleared)]))
 
 
 _READER: list = []
