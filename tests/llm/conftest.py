@@ -30,7 +30,7 @@ def docs(spark, texts):
     rows = [(i, t, ["en", "de", None][i % 3], ["s1", "s2", None, "S0"][i % 4], None if t is None else len(t)) for i, t in enumerate(texts)]
     rows += [rows[5], (5, "another text of the same id", "en", "s1", 27), (None, "no id here", "en", "s1", 10)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    for name in ("ids", "score", "size", "start", "fingerprint", "_row", "key", "node", "line", "n", "h"):
+    for name in ("ids", "score", "size", "start", "fingerprint", "_row", "key", "node", "line", "n", "h", "_doc", "_hash", "_dropped", "dropped", "spans", "turn", "_key", "_n", "_id"):
         df = df.withColumn(name, F.lit("clash"))
     return df
 

@@ -78,18 +78,23 @@ def op9_html(spark, sf_dir):
 @query("op8_mixing")
 def op8_mixing(spark, sf_dir):
     docs, taken = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixing.taken_per_document(docs, taken).select("doc_id", "source", "size", "source_size", "target", "taken")
+    return mixing.taken_per_document(docs, taken).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 def crc_remainder(n: int):
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def held_out(n: int, r: int):
+    """Rows without an id are never learned from either."""
+    return F.coalesce(crc_remainder(n) == r, F.lit(True)).alias("held_out")
+
+
 @query("op7_langid")
 def op7_langid(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     counts = langid.train(docs.where(crc_remainder(5) != 0))
-    return langid.predict(docs, counts).select("doc_id", (crc_remainder(5) == 0).alias("held_out"), "lang_pred", "score")
+    return langid.predict(docs, counts).select("doc_id", held_out(5, 0), "lang_pred", "score")
 
 
 @query("op10_quality_mil")
@@ -97,7 +102,7 @@ def op10_quality_mil(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = quality_mil.fit(docs.where(crc_remainder(3) != 1), table(spark, sf_dir, "labels"))
     return quality_mil.score(docs, model).select(
-        "doc_id", (crc_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+        "doc_id", held_out(3, 1), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 @query("op2_simhash")
