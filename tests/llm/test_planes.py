@@ -32,7 +32,7 @@ def by_coder(texts):
 
 def test_ids_are_the_library_s(library, texts):
     odd = ["don't we'll'd 'sS I'M", "<|endoftext|> a<|startoftext|>b <|x|>", "é é ́a ǅ İstanbul ΣΑΣ ﬁ 한글 ㎏", "a b c　d\x85e\x1cf!\x1c!", "x\x0by\x0cz \x00 \x7f~~",
-           " lead and trail ", "12345 3rd 4ᵗʰ ½", "....!!!a,b;c", "ß SS ẞ", "ẛ̣ ̈́", "\U0001f642\U0001f642 ok"]
+           " lead and trail ", "12345 3rd 4ᵗʰ ½", "....!!!a,b;c", "À×É÷ßª ºµÿÿ ÆØÞ'Sæøþ 5é5 é!é", "ß SS ẞ", "ẛ̣ ̈́", "\U0001f642\U0001f642 ok"]
     assert by_coder(texts + odd) == by_library(library, texts + odd)
 
 

@@ -40,6 +40,8 @@ CHUNK = 1 << 16
 UNIT = 1
 #: Ids from which a file is read by more than one task.
 SPLIT = 1 << 22
+#: Text that a task encodes at a time, in bytes.
+SLICE_BYTES = 3 << 20
 #: Compression of zstandard.
 LEVEL = 3
 
@@ -209,7 +211,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: in
     alone (nothing without ``end_id``). Rows with a null id come first, rows
     that share an id by a hash of their texts; repeated rows are written each.
     Other columns are ignored; an empty table gives an empty manifest. A task
-    holds some 16 MB of text, or one text that is longer, and one chunk."""
+    holds some 3 MB of text, or one text that is longer, and one chunk."""
     spark = docs.sparkSession
     folder = folder or f"{checkpoint_dir(spark).rstrip('/')}/token-ids-{uuid.uuid4().hex}"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_h"), F.monotonically_increasing_id().alias("_row"))
@@ -223,7 +225,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: in
         from pyspark import TaskContext
 
         part, file, writer, coder = TaskContext.get().partitionId(), None, None, None
-        for batch in arrow_slices(batches, 1, 16 << 20):
+        for batch in arrow_slices(batches, 1, SLICE_BYTES):
             if writer is None:
                 system, inside = file_system(folder)
                 system.create_dir(inside, recursive=True)

@@ -16,14 +16,18 @@ import json
 import os
 import re
 
+from timeloom.llm.common import per_process
+
 #: The normalizer and splitter of the file, for which the short way holds.
 NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
 SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: The splitter on lower-case ASCII without white space.
-ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: Words of ASCII and of the Latin-1 letters: composed already, with a lower case of one character each.
+PLAIN = re.compile(r"[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
+#: The splitter on such words, in lower case, with line feeds between them.
+PLAIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff\n]+")
 END = "</w>"
 #: Words that a task remembers before it starts anew.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 400_000
 
 
 def byte_symbols() -> dict[str, int]:
@@ -47,25 +51,34 @@ def merge_ranks(config: dict) -> dict[bytes, int] | None:
     return {bytes(symbols[c] for c in k.removesuffix(END)) + b"\n" * k.endswith(END): v for k, v in vocab.items() if v not in special}
 
 
+def load(path: str) -> tuple:
+    """(library's tokenizer, pattern of its special tokens or None, short way
+    or None, bytes of every id of the short way, whether it ends a piece)."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    import numpy as np
+    import tiktoken
+    import tokenizers
+
+    with open(path, encoding="utf-8") as f:
+        config = json.load(f)
+    special = "|".join(re.escape(t["content"]) for t in config["added_tokens"])
+    short = sizes = ends = None
+    if (ranks := merge_ranks(config)) is not None:
+        short = tiktoken.Encoding("words", pat_str=r"[^\n]+\n", mergeable_ranks=ranks, special_tokens={})
+        sizes, ends = np.zeros(max(ranks.values()) + 1, np.int32), np.zeros(max(ranks.values()) + 1, dtype=bool)
+        for token, i in ranks.items():
+            sizes[i], ends[i] = len(token.removesuffix(b"\n")), token.endswith(b"\n")
+    return tokenizers.Tokenizer.from_file(path), re.compile(special) if special else None, short, sizes, ends
+
+
 class WordCoder:
     """Ids of texts by a tokenizers file."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import numpy as np
-        import tiktoken
-        import tokenizers
 
         self.np = np
-        with open(path, encoding="utf-8") as f:
-            config = json.load(f)
-        self.library = tokenizers.Tokenizer.from_file(path)
-        self.special = [t["content"] for t in config["added_tokens"]]
-        self.short = None
-        if (ranks := merge_ranks(config)) is not None:
-            self.short = tiktoken.Encoding("words", pat_str=r"[^\n]+\n", mergeable_ranks=ranks, special_tokens={})
-            self.ends = np.zeros(max(ranks.values()) + 1, dtype=bool)
-            self.ends[[v for k, v in ranks.items() if k.endswith(b"\n")]] = True
+        self.library, self.special, self.short, self.sizes, self.ends = per_process(("words", path), lambda: load(path))
         self._forget()
 
     def _forget(self):
@@ -76,25 +89,23 @@ class WordCoder:
     def _encode_words(self, words: list[str]):
         """(ids of all words in a row, ids per word)"""
         np = self.np
-        counts, pieces, plain = np.zeros(len(words), np.int64), [], []
-        for i, w in enumerate(words):
-            if self.short is not None and w.isascii() and not any(s in w for s in self.special):
-                found = ASCII_PIECES.findall(w.lower())
-                plain += [i] * len(found)
-                pieces += found
-        owner = np.array(plain, dtype=np.int64)
-        got = np.array(self.short.encode_ordinary("\n".join(pieces) + "\n") if pieces else [], dtype=np.uint32)
-        ends = np.flatnonzero(self.ends[got]) + 1 if len(got) else np.zeros(0, np.int64)
-        np.add.at(counts, owner, np.diff(ends, prepend=0))
-        done = np.zeros(len(words), dtype=bool)
-        done[owner] = True
-        rest = np.flatnonzero(~done)
+        plain = np.array([self.short is not None and bool(PLAIN.fullmatch(w)) and not (self.special and self.special.search(w)) for w in words], dtype=bool)
+        own = [words[i] for i in np.flatnonzero(plain)]
+        # every piece is followed by a line feed; the one between words is in no piece
+        text = PLAIN_PIECES.sub(r"\g<0>\n", "\n".join(own).lower())
+        got = np.array(self.short.encode_ordinary(text) if own else [], dtype=np.uint32)
+        counts = np.zeros(len(words), np.int64)
+        upto = np.cumsum(self.sizes[got]) if own else []
+        # a word's last token ends where its bytes do; a mark alone may follow
+        stops = np.searchsorted(upto, np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in own]), side="right")
+        counts[plain] = np.diff(stops, prepend=0)
+        rest = np.flatnonzero(~plain)
         others = [e.ids for e in self.library.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)] if len(rest) else []
         counts[rest] = [len(x) for x in others]
         out = np.zeros(counts.sum(), np.uint32)
-        own = np.repeat(done, counts)
-        out[own] = got
-        out[~own] = np.array([x for ids in others for x in ids], dtype=np.uint32)
+        mine = np.repeat(plain, counts)
+        out[mine] = got
+        out[~mine] = np.array([x for ids in others for x in ids], dtype=np.uint32)
         return out, counts
 
     def encode(self, texts):
@@ -110,18 +121,18 @@ class WordCoder:
         coded = lists.flatten().dictionary_encode()
         if isinstance(coded, pa.ChunkedArray):
             coded = coded.combine_chunks()
-        words = coded.dictionary.to_pylist()
-        known = len(self.index)
-        at = np.fromiter((self.index.setdefault(w, len(self.index)) for w in words), np.int64, len(words))
-        if len(self.index) > known:
-            ids, counts = self._encode_words(list(self.index)[known:])
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known, index = len(self.index), self.index
+        at = np.array([index.setdefault(w, len(index)) for w in words], dtype=np.int32)
+        if len(index) > known:
+            ids, counts = self._encode_words(list(index)[known:])
             self.ids = np.concatenate([self.ids, ids])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
-        every = at[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.int64)
-        sizes = np.diff(self.starts)[every]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        flat = self.ids[np.arange(total) + np.repeat(self.starts[every] - (ends - sizes), sizes)]
-        words_of = np.diff(np.asarray(lists.offsets))
-        upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(words_of)])]
-        return flat, np.diff(upto)
+        every = at[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, np.int32)
+        upto = np.zeros(len(every) + 1, np.int64)
+        np.cumsum(np.diff(self.starts)[every], out=upto[1:])
+        wide = np.int32 if max(upto[-1], len(self.ids)) < 1 << 31 else np.int64
+        from_ = np.repeat((self.starts[every] - upto[:-1]).astype(wide), np.diff(upto))
+        from_ += np.arange(upto[-1], dtype=wide)
+        offsets = np.asarray(lists.offsets)
+        return self.ids[from_], np.diff(upto[offsets - offsets[0]])
