@@ -134,16 +134,42 @@ def ci_mid(lo, hi) -> Column:
     return (col_of(lo) + col_of(hi)) / 2
 
 
-def ci_format(lo, hi, places: int = 3) -> Column:
-    """``mid (±half)`` text of an interval.
+def fixed_text(x, places: int = 3) -> Column:
+    """The exact binary value of a double, rounded half to even to ``places``
+    decimals, as text (as C's ``%.3f``); null if null, not finite, or not
+    below 2**31. A negative number keeps its sign when it rounds to zero.
+
+    The value is taken apart into 31 + 32 bits behind the point, which is all
+    that a double above 2**-10 has, so ties and the digits beyond the shortest
+    decimal form decide as they do in binary."""
+    v = col_of(x).cast("double")
+    size = F.abs(v)
+    high = F.floor(size * float(1 << 31))
+    low = F.floor((size * float(1 << 31) - high.cast("double")) * float(1 << 32))
+    scale = 10 ** places
+    # both parts times the scale, in units of 2**-63 of the last place
+    n = (high.cast("decimal(38,0)") * F.lit(str(1 << 32)).cast("decimal(11,0)") + low.cast("decimal(11,0)")).cast("decimal(34,0)")
+    n = (n * F.lit(scale).cast("decimal(4,0)")).cast("decimal(38,0)")
+    unit = F.lit(str(1 << 63)).cast("decimal(20,0)")
+    rest = (n % unit).cast("decimal(20,0)")
+    whole = ((n - rest) / unit).cast("decimal(20,0)")
+    half = F.lit(str(1 << 62)).cast("decimal(20,0)")
+    up = (rest > half) | ((rest == half) & (whole % F.lit(2).cast("decimal(1,0)") == 1))
+    count = (whole + F.when(up, 1).otherwise(0).cast("decimal(1,0)")).cast("bigint")
+    digits = F.concat(F.floor(count / scale).cast("bigint").cast("string"), F.lit("." if places else ""),
+                      F.lpad((count % scale).cast("string"), places, "0") if places else F.lit(""))
+    text = F.concat(F.when((v < 0) | (F.signum(v).cast("string") == "-0.0"), F.lit("-")).otherwise(F.lit("")), digits)
+    return F.when(v.isNotNull() & ~F.isnan(v) & (size < float(1 << 31)), text)
 
-    Rule (ours): both numbers become decimals of nine places and are rounded
-    half away from zero to ``places``; a null or non-finite bound gives null."""
-    def text(x):
-        return F.round(x.try_cast("decimal(28,9)"), places).cast(f"decimal(28,{places})").cast("string")
 
+def ci_format(lo, hi, places: int = 3) -> Column:
+    """``mid (±half)`` text of an interval, each number rounded as its exact
+    binary value, half to even (0.8125 gives 0.812); a null or non-finite bound
+    gives null. Bounds in either order give the same text."""
     a, b = col_of(lo).cast("double"), col_of(hi).cast("double")
-    return F.concat(text((a + b) / 2), F.lit(" (±"), text(F.abs(b - a) / 2), F.lit(")"))
+    least, most = F.least(a, b), F.greatest(a, b)
+    both = a.isNotNull() & b.isNotNull()
+    return F.when(both, F.concat(fixed_text((least + most) / 2, places), F.lit(" (±"), fixed_text((most - least) / 2, places), F.lit(")")))
 
 
 def ci_center_bars(lo, hi):

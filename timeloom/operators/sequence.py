@@ -42,31 +42,31 @@ def cross_site_loss(docs: DataFrame, site: str = "site", text: str = "text", alp
     words in site m's texts of two or more words. Splitting the log keeps
     every join keyed: Σ c_e·ln(c_m + α) = Σ c_e·ln α + Σ_{bigram seen at m}
     c_e·(ln(c_m + α) − ln α), so eval bigrams only meet the model bigrams
-    they match; the normalizer is summed per (eval site, prev word) against
-    each model site (sites are a short list)."""
+    they match, inside the bigram's own row; the normalizer is summed per
+    previous word against each model site (sites are a short list)."""
     w = words(docs, site, text)
     # the bigram counts are the fitted models, read by five branches below:
-    # written once (Parquet in the shared folder)
-    cnt = stage_table(bigram_counts(w), "bigrams")
-    sites = [r[0] for r in cnt.select("site").distinct().orderBy("site").collect()]
+    # written once (Parquet in the shared folder); texts without a site are left out
+    cnt = stage_table(bigram_counts(w).where("site is not null"), "bigrams")
     # V_m: distinct words of the site's texts with two or more words (shorter
-    # texts are skipped), read off the aggregated bigrams: no second text pass
+    # texts are skipped), read off the aggregated bigrams: no second text pass.
+    # One row: the sites with their V
     vocab = (cnt.select("site", F.explode(F.array("prev", "nxt")).alias("word")).distinct()
-             .groupBy("site").agg(F.count(F.lit(1)).alias("V")))
-    ev = cnt.select(F.col("site").alias("eval_site"), "prev", "nxt", F.col("c").alias("ce"))
-    mo = cnt.select(F.col("site").alias("model_site"), "prev", "nxt", F.col("c").alias("cm"))
+             .groupBy("site").agg(F.count(F.lit(1)).alias("V")).agg(F.collect_list(F.struct("site", "V")).alias("models")))
     la = F.log(F.lit(alpha))
-    seen = (ev.join(mo, ["prev", "nxt"])
-            .groupBy("eval_site", "model_site")
-            .agg(F.sum(F.col("ce") * (F.log(F.col("cm") + F.lit(alpha)) - la)).alias("s1")))
-    tot = ev.groupBy("eval_site").agg(F.sum("ce").alias("N"))
-    ep = ev.groupBy("eval_site", "prev").agg(F.sum("ce").alias("cp_e"))
-    pc = (cnt.groupBy(F.col("site").alias("model_site"), "prev").agg(F.sum("c").alias("cp_m")))
-    norm = (ep.select("*", F.explode(F.array(*[F.lit(s) for s in sites])).alias("model_site"))
-            .join(pc, ["model_site", "prev"], "left")
-            .join(vocab.withColumnRenamed("site", "model_site"), "model_site")
-            .groupBy("eval_site", "model_site")
-            .agg(F.sum(F.col("cp_e") * F.log(F.coalesce("cp_m", F.lit(0)) + F.lit(alpha) * F.col("V"))).alias("s2")))
+    pair = lambda e, m, x: F.struct(e["site"].alias("eval_site"), m["site"].alias("model_site"), x.alias("x"))
+    # all sites' counts of one bigram in one row; pairs of sites are unfolded there
+    both = cnt.groupBy("prev", "nxt").agg(F.collect_list(F.struct("site", "c")).alias("s"))
+    unfolded = F.flatten(F.transform("s", lambda e: F.transform("s", lambda m: pair(e, m, e["c"] * (F.log(m["c"] + F.lit(alpha)) - la)))))
+    seen = both.select(F.inline(unfolded)).groupBy("eval_site", "model_site").agg(F.sum("x").alias("s1"))
+    # the normalizer by previous word in the same way, against every model site
+    per = cnt.groupBy("prev", "site").agg(F.sum("c").alias("c")).groupBy("prev").agg(F.collect_list(F.struct("site", "c")).alias("s"))
+    count_of = lambda m: F.coalesce(F.get(F.filter("s", lambda x: x["site"] == m["site"]), F.lit(0))["c"], F.lit(0))
+    against = F.transform("models", lambda m: F.struct(m["site"].alias("site"), F.log(count_of(m) + F.lit(alpha) * m["V"]).alias("l")))
+    norms = per.crossJoin(F.broadcast(vocab)).select("s", against.alias("ls"))
+    unfolded = F.flatten(F.transform("s", lambda e: F.transform("ls", lambda m: pair(e, m, e["c"] * m["l"]))))
+    norm = norms.select(F.inline(unfolded)).groupBy("eval_site", "model_site").agg(F.sum("x").alias("s2"))
+    tot = cnt.groupBy(F.col("site").alias("eval_site")).agg(F.sum("c").alias("N"))
     j = norm.join(tot, "eval_site").join(seen, ["eval_site", "model_site"], "left")
     loss = -(F.col("N") * la + F.coalesce("s1", F.lit(0.0)) - F.col("s2")) / F.col("N")
     return j.select("model_site", "eval_site", loss.alias("loss"), F.col("N").alias("n_bigrams"))

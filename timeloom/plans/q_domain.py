@@ -853,17 +853,22 @@ def severity_score(spark, sf):
     return _severity(spark, sf)
 
 
-@query("ev_severity", f"""SELECT group_id, day, code FROM (
-    SELECT group_id, day, 'click-' || CAST(sev_click AS VARCHAR) AS code, sev_click AS s FROM ({_SEV})
-    UNION ALL SELECT group_id, day, 'error-' || CAST(sev_error AS VARCHAR), sev_error FROM ({_SEV})
-    UNION ALL SELECT group_id, day, 'purchase-' || CAST(sev_purchase AS VARCHAR), sev_purchase FROM ({_SEV})) WHERE s > 0""")
+_SEVT = ("""SELECT site, subject_id, time, """ + ", ".join(_sev_sql()) + """ FROM (
+    SELECT site, subject_id, date_trunc('day', ts) AS time, event_type, max(value) AS w FROM ev
+    WHERE event_type IN ('click', 'error', 'purchase') GROUP BY ALL) GROUP BY site, subject_id, time""")
+
+
+@query("ev_severity", sql("""SELECT site, subject_id, CAST(time AS TIMESTAMP) AS time, 'SOFA' AS prefix, code, CAST(NULL AS DOUBLE) AS numeric_value,
+    CAST(NULL AS VARCHAR) AS text_value FROM (""" + " UNION ALL ".join(
+    f"SELECT site, subject_id, time, '{c}-' || CAST(sev_{c} AS VARCHAR) AS code FROM ({_SEVT}) WHERE sev_{c} > 0" for c in CUTOFFS) + ")"))
 def ev_severity(spark, sf):
-    """Component scores above 0 as event codes like ``click-2``."""
-    s = _severity(spark, sf)
-    comps = list(CUTOFFS)
-    long = s.unpivot(["group_id", "day"], [f"sev_{c}" for c in comps], "comp", "s")
-    return long.filter(F.col("s") > 0).select(
-        "group_id", "day", F.concat(F.regexp_replace("comp", "^sev_", ""), F.lit("-"), F.col("s").cast("string")).alias("code"))
+    """One event per subject, day and component whose score is above 0, with
+    codes like ``click-2``; the entries share one scan of the score table."""
+    e = D(spark, sf).ev().select("site", "group_id", "subject_id", F.date_trunc("DAY", "ts").alias("time"), "event_type", "value")
+    scores = hz.severity_score(e, ["site", "group_id", "subject_id", "time"], "event_type", "value", CUTOFFS)
+    entries = [Entry("scores", "SOFA", code="code", time="time", filter_expr=f"sev_{c} > 0",
+                     with_col_expr={"code": f"concat('{c}-', sev_{c})"}) for c in CUTOFFS]
+    return _collate(spark, sf, entries, {"scores": scores})
 
 
 _C.update({

@@ -250,11 +250,7 @@ def _cis(spark, sf):
     return d._fitted["cis"]
 
 
-def _decimal_text(x: str) -> str:
-    return f"CAST(CAST(round(CAST({x} AS DECIMAL(28, 9)), 3) AS DECIMAL(28, 3)) AS VARCHAR)"
-
-
-_CI_TEXT = f"{_decimal_text('(lo + hi) / 2')} || ' (±' || {_decimal_text('abs(hi - lo) / 2')} || ')'"
+_CI_TEXT = "printf('%.3f (±%.3f)', (lo + hi) / 2, abs(hi - lo) / 2)"
 
 
 @query("f_ci_format", sql(f"SELECT site, model, metric, {_CI_TEXT} AS text FROM cis"))
