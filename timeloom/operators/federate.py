@@ -11,15 +11,23 @@ without bias correction); constants are parameters."""
 from __future__ import annotations
 
 import math
+import sys
+from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timeloom.functions.scalar import hash_unit
 from timeloom.session import stage_table
 
 __all__ = ["client_means", "fed_avg", "fed_avg_momentum", "fed_adam", "STRATEGIES",
-           "subset_memberships", "fed_train", "weighted_mean"]
+           "subset_memberships", "FedRun", "fed_train", "fed_train_runs", "weighted_mean"]
+
+# task functions travel with their helpers
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def weighted_mean(df: DataFrame, keys, value: str = "value", n: str = "n", out: str = "value") -> DataFrame:
@@ -107,63 +115,147 @@ def subset_memberships(clients: list, size: int = 2) -> list[tuple[str, list]]:
     return [("+".join(map(str, c)), list(c)) for c in combinations(clients, size)]
 
 
+@dataclass(frozen=True)
+class FedRun:
+    """One federation: its number of rounds, the clients' gradient steps a
+    round, the first rate (then a cosine down to 0) and the server's rule."""
+    n_rounds: int = 3
+    local_steps: int = 2
+    base_lr: float = 0.5
+    strategy: str = "fedavg"
+
+
 def fed_train(rows: DataFrame, client: str, features: str, label: str, dim: int,
               n_rounds: int = 3, local_steps: int = 2, base_lr: float = 0.5,
               seed: int = 0, key: str = "id", strategy: str = "fedavg"):
-    """Federated logistic regression, one Spark job per local step.
-
-    Round r: every client takes ``local_steps`` full-batch gradient steps on
-    shard r of its rows (a seeded hash splits rows into ``n_rounds`` disjoint
-    shards), starting from the global weights, with the cosine rate of the
-    round; the server averages the client weights by example count and updates
-    the global weights by ``strategy``, whose state (m, v) it keeps from round
-    to round. After each round the clients' logistic losses over all their
-    rows are averaged by example count. Weights and state (dim + 1 rows) are
-    written to a path of their own each round, so the plan never grows and runs
-    never mix. Returns (weights, per-round (round, lr, loss))."""
-    if strategy not in STRATEGIES:
-        raise ValueError(f"unknown strategy {strategy!r}; known: {sorted(STRATEGIES)}")
+    """Federated logistic regression; see ``fed_train_runs``. Returns
+    (weights, per-round (round, lr, loss))."""
+    w, rounds = fed_train_runs(rows, client, features, label, dim, {"run": FedRun(n_rounds, local_steps, base_lr, strategy)}, seed, key)
+    return w.drop("run"), rounds.drop("run")
+
+
+def fed_train_runs(rows: DataFrame, client: str, features: str, label: str, dim: int, runs: dict[str, FedRun],
+                   seed: int = 0, key: str = "id"):
+    """Federated logistic regression of many runs side by side, one job per
+    local step for all of them.
+
+    In round r of a run every client takes its gradient steps, full batch, on
+    shard r of its rows (a seeded hash splits rows into the run's number of
+    rounds), starting from the global weights; the server averages the client
+    weights by example count and updates the global weights by the run's
+    strategy, whose state (m, v) it keeps from round to round. Clients without
+    rows in a shard take no part in that round; rows without features or label
+    in none. After each round the logistic
+    loss over all rows is taken, in the next round's first job.
+
+    A task adds its rows' gradients up to one vector per (run, client); these
+    are summed by position. Weights of clients and server (runs × clients ×
+    (dim + 1) numbers) are the driver's, as the server's are; they do not grow
+    with the rows. Returns ((run, pos, value), (run, round, lr, loss))."""
+    for run in runs.values():
+        if run.strategy not in STRATEGIES:
+            raise ValueError(f"unknown strategy {run.strategy!r}; known: {sorted(STRATEGIES)}")
+    import numpy as np
+
     spark = rows.sparkSession
-    split = F.floor(hash_unit(key, seed) * n_rounds).cast("int") + 1
-    base = stage_table(rows.select(client, features, label, split.alias("_shard")), "fed-rows", ["_shard"])
-    state = spark.createDataFrame([(i, 0.0, 0.0, 0.0) for i in range(dim + 1)], "pos int, x double, m double, v double")
-    n_all = base.groupBy("_shard", client).agg(F.count(F.lit(1)).alias("n"))
-    n_all = stage_table(n_all, "fed-counts")   # one row per shard and client
-    done = []
-    for r in range(1, n_rounds + 1):
-        lr = base_lr * 0.5 * (1 + math.cos(math.pi * (r - 1) / n_rounds))   # ``cosine_rate`` of one round
-        shard = base.filter(F.col("_shard") == r).select(client, features, label)
-        n = n_all.filter(F.col("_shard") == r).select(client, "n")
-        local = n.crossJoin(F.broadcast(_vector(state, "x")))   # one row per client, dim + 1 numbers each
-        for _ in range(local_steps):
-            j = shard.join(F.broadcast(local.select(client, "w")), client)
-            err = _predicted(features, "w", dim) - F.col(label).cast("double")
-            grad = F.concat(F.transform(features, lambda x: x * F.col("_e")), F.array(F.col("_e")))
-            g = (j.withColumn("_e", err).select(client, F.posexplode(grad).alias("pos", "g"))
-                 .groupBy(client, "pos").agg(F.sum("g").alias("g")))
-            step = g.groupBy(client).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "g"))), lambda s: s["g"]).alias("g"))
-            local = local.join(step, client).select(client, "n", F.zip_with("w", "g", lambda w, d: w - F.lit(lr) * d / F.col("n")).alias("w"))
-            local = stage_table(local, "fed-local")
-        avg = fed_avg(local.select("n", F.posexplode("w").alias("pos", "value"))).withColumnRenamed("value", "a")
-        x, m, v = STRATEGIES[strategy](F.col("x"), F.col("m"), F.col("v"), F.col("a"))
-        state = state.join(avg, "pos").select("pos", x.alias("x"), m.alias("m"), v.alias("v"))
-        state = stage_table(state, "fed-state")
-        done.append((r, lr, _loss(base, _vector(state, "x"), features, label, dim)))
-    return state.select("pos", F.col("x").alias("value")), spark.createDataFrame(done, "round int, lr double, loss double")
-
-
-def _vector(state: DataFrame, value: str) -> DataFrame:
-    """The dim + 1 weights as one row with the array ``w``."""
-    return state.agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", F.col(value).alias("c")))), lambda s: s["c"]).alias("w"))
-
-
-def _predicted(features: str, w: str, dim: int) -> Column:
-    z = F.aggregate(F.zip_with(features, F.slice(w, 1, dim), lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x) + F.element_at(w, dim + 1)
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
-
-
-def _loss(rows: DataFrame, weights: DataFrame, features: str, label: str, dim: int) -> float:
-    """Mean logistic loss of all clients' rows (clients weigh by examples)."""
-    p = F.least(F.greatest(_predicted(features, "w", dim), F.lit(1e-12)), F.lit(1 - 1e-12))
-    y = F.col(label).cast("double")
-    return rows.crossJoin(F.broadcast(weights)).agg(F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p)))).first()[0]
+    rows = rows.where(F.col(features).isNotNull() & F.col(label).isNotNull())
+    base = stage_table(rows.select(F.col(client).cast("string").alias("client"), F.col(features).cast("array<double>").alias("x"),
+                                   F.col(label).cast("double").alias("y"), hash_unit(key, seed).alias("u")), "fed-rows")
+    # global weights and server state: rows x, m, v
+    state = {name: np.zeros((3, dim + 1)) for name in runs}
+    done, due = [], {}  # due: weights whose loss the next job takes
+    for r in range(1, max(run.n_rounds for run in runs.values()) + 1):
+        now = {name: run for name, run in runs.items() if r <= run.n_rounds}
+        rate = {name: run.base_lr * 0.5 * (1 + math.cos(math.pi * (r - 1) / run.n_rounds)) for name, run in now.items()}
+        local: dict = {}
+        for step in range(max(run.local_steps for run in now.values())):
+            going = {name: run for name, run in now.items() if step < run.local_steps}
+            work = {name: (run.n_rounds, r, state[name][0], {c: w for (n, c), (_, w) in local.items() if n == name}) for name, run in going.items()}
+            got, losses = _fed_sums(base, work, due, dim)
+            done += [(name, at, lr, losses[name]) for name, (at, lr, _) in due.items()]
+            due = {}
+            for (name, c), (n, g) in got.items():
+                w = local[name, c][1] if (name, c) in local else state[name][0]
+                local[name, c] = n, w - rate[name] * g / n
+        averages = {}
+        for name in now:
+            mine = [x for (n, _), x in local.items() if n == name]
+            if mine:
+                averages[name] = sum(n * w for n, w in mine) / sum(n for n, _ in mine)
+        state |= _serve(spark, {name: (runs[name].strategy, state[name], a) for name, a in averages.items()})
+        due = {name: (r, rate[name], state[name][0]) for name in now}
+    _, losses = _fed_sums(base, {}, due, dim)
+    done += [(name, at, lr, losses[name]) for name, (at, lr, _) in due.items()]
+    weights = [(name, i, float(x)) for name, s in state.items() for i, x in enumerate(s[0])]
+    return (spark.createDataFrame(weights, "run string, pos int, value double"),
+            spark.createDataFrame(sorted(done), "run string, round int, lr double, loss double"))
+
+
+def _fed_sums(base: DataFrame, work: dict, due: dict, dim: int):
+    """({(run, client): (rows, gradient)}, {run: mean loss}) in one job: ``work``
+    is {run: (rounds, round, global weights, {client: weights})}, ``due``
+    {run: (round, rate, weights)}."""
+    import numpy as np
+
+    held = base.sparkSession.sparkContext.broadcast((work, {name: w for name, (_, _, w) in due.items()}))
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        work, due = held.value
+        sums: dict = {}
+
+        def add(key, n, v):
+            old = sums.get(key)
+            sums[key] = (n, v) if old is None else (old[0] + n, old[1] + v)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            client = np.array(batch.column(0).to_pylist(), dtype=object)
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+            y, u = batch.column(2).to_numpy(zero_copy_only=False), batch.column(3).to_numpy(zero_copy_only=False)
+            for name, (rounds, r, w0, own) in work.items():
+                shard = np.floor(u * rounds) + 1 == r
+                for c in set(client[shard].tolist()):
+                    mine = shard & (client == c)
+                    w = own.get(c, w0)
+                    err = 1.0 / (1.0 + np.exp(-(x[mine] @ w[:dim] + w[dim]))) - y[mine]
+                    add((name, c, False), int(mine.sum()), np.append(x[mine].T @ err, err.sum()))
+            for name, w in due.items():
+                p = np.clip(1.0 / (1.0 + np.exp(-(x @ w[:dim] + w[dim]))), 1e-12, 1 - 1e-12)
+                add((name, "", True), len(y), np.array([-(y * np.log(p) + (1 - y) * np.log(1 - p)).sum()]))
+        for (name, c, loss), (n, v) in sums.items():
+            yield pa.RecordBatch.from_pydict({"run": [name], "client": pa.array([c], pa.string()), "loss": [loss], "n": [n], "v": pa.array([v.tolist()], pa.list_(pa.float64()))})
+
+    parts = base.mapInArrow(run, "run string, client string, loss boolean, n long, v array<double>")
+    got = (parts.select("run", "client", "loss", "n", F.posexplode("v").alias("pos", "g")).groupBy("run", "client", "loss", "pos")
+           .agg(F.sum("n").alias("n"), F.sum("g").alias("g")).collect())
+    held.unpersist()
+    sums, losses = {}, {name: None for name in due}
+    for x in got:
+        if x.loss:
+            losses[x.run] = x.g / x.n
+        else:
+            sums.setdefault((x.run, x.client), (x.n, np.zeros(dim + 1)))[1][x.pos] = x.g
+    return sums, losses
+
+
+def _serve(spark, steps: dict) -> dict:
+    """The servers' new states: {run: (strategy, state, clients' average)}
+    through the strategies' rules, one small job for all runs."""
+    import numpy as np
+
+    rows = [(name, how, i, *map(float, s[:, i]), float(a[i])) for name, (how, s, a) in steps.items() for i in range(len(a))]
+    if not rows:
+        return {}
+    df = spark.createDataFrame(rows, "run string, how string, pos int, x double, m double, v double, a double")
+    cols = [F.col(c) for c in ("x", "m", "v", "a")]
+    new = reduce(lambda a, b: a.unionAll(b), [
+        df.where(F.col("how") == how).select("run", "pos", *[c.alias(n) for c, n in zip(STRATEGIES[how](*cols), ("x", "m", "v"), strict=True)])
+        for how in sorted({how for how, _, _ in steps.values()})])
+    out = {name: np.zeros_like(s) for name, (_, s, _) in steps.items()}
+    for r in new.collect():
+        out[r.run][:, r.pos] = r.x, r.m, r.v
+    return out

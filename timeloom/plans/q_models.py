@@ -109,41 +109,76 @@ def site_subsets(spark, sf):
     return fd.fed_avg(j, ["subset", "pos"]).select("subset", "pos", r9("value").alias("value"))
 
 
-@query("rounds_sweep", f"""WITH x AS (SELECT r.n_rounds, label, vec_id, embedding FROM embeddings, (SELECT unnest({SWEEP_ROUNDS}) AS n_rounds) r
-        WHERE CAST(floor({hash_unit_sql('vec_id', SWEEP_SEED)} * r.n_rounds) AS INTEGER) + 1 = r.n_rounds),
-    cm AS (SELECT n_rounds, label, pos, avg(v) AS value, any_value(n) AS n FROM (SELECT n_rounds, label, CAST(unnest(embedding) AS DOUBLE) AS v,
-        CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos, count(*) OVER (PARTITION BY n_rounds, label) AS n FROM x) GROUP BY ALL),
-    av AS (SELECT n_rounds, pos, sum(value * n) / sum(n) AS a FROM cm GROUP BY ALL),
-    full_mean AS (SELECT pos, avg(v) AS m FROM (SELECT CAST(unnest(embedding) AS DOUBLE) AS v, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos FROM embeddings) GROUP BY pos)
-    SELECT n_rounds, round(avg(abs(a - m)), 9) AS mae FROM av JOIN full_mean USING (pos) GROUP BY n_rounds""")
+CLIENTS, DIM = 3, 64
+_FED_ROWS = f"""SELECT CAST(embedding AS DOUBLE[]) AS x, CASE WHEN label >= 5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS y,
+    CAST(floor({hash_unit_sql('vec_id', 3)} * {CLIENTS}) AS INTEGER) AS client, {hash_unit_sql('vec_id', 0)} AS u FROM embeddings"""
+_FED_P = f"1 / (1 + exp(-(list_dot_product(x, w[1:{DIM}]) + w[{DIM + 1}])))"
+_FED_LOSS = f"avg(-(y * ln(greatest(least({_FED_P}, 1 - 1e-12), 1e-12)) + (1 - y) * ln(1 - greatest(least({_FED_P}, 1 - 1e-12), 1e-12))))"
+
+
+def _fed_rows(spark, sf):
+    return _emb(spark, sf).select("vec_id", F.col("embedding").cast("array<double>").alias("x"), (F.col("label") >= 5).cast("int").alias("y"),
+                                  F.floor(hash_unit("vec_id", 3) * CLIENTS).cast("int").alias("client"))
+
+
+@query("rounds_sweep", f"""WITH RECURSIVE e AS MATERIALIZED ({_FED_ROWS}),
+    rec(n_rounds, r, w) AS (
+      SELECT unnest({SWEEP_ROUNDS}), 0, list_transform(range({DIM + 1}), lambda i: 0.0::DOUBLE)
+      UNION ALL
+      SELECT n_rounds, r + 1, list(v ORDER BY pos) FROM (
+        SELECT n_rounds, r, pos, sum(n * (wv - 0.5 * 0.5 * (1 + cos(pi() * r / n_rounds)) * g / n)) / sum(n) AS v FROM (
+          SELECT n_rounds, r, client, pos, any_value(wv) AS wv, sum(gx) AS g, count(*) AS n FROM (
+            SELECT n_rounds, r, client, unnest(w) AS wv, unnest(list_append(list_transform(x, lambda a: a * err), err)) AS gx,
+                   unnest(range({DIM + 1})) AS pos
+            FROM (SELECT rec.*, e.client, e.x, {_FED_P} - y AS err FROM rec JOIN e ON floor(e.u * rec.n_rounds) = rec.r WHERE rec.r < rec.n_rounds))
+          GROUP BY n_rounds, r, client, pos)
+        GROUP BY n_rounds, r, pos)
+      GROUP BY n_rounds, r)
+    SELECT n_rounds, round(sqrt(any_value(list_dot_product(w, w))), 9) AS norm, round({_FED_LOSS}, 9) AS loss
+    FROM (SELECT * FROM rec WHERE r = n_rounds) CROSS JOIN e GROUP BY n_rounds""")
 def rounds_sweep(spark, sf):
-    """Metric against the number of averaging rounds: with R rounds each round
-    sees 1/R of every client's rows; the global weights after the last round
-    are compared with the all-data mean (mean absolute error)."""
-    e = _emb(spark, sf)
-    x = (e.select("*", F.explode(F.array(*[F.lit(r) for r in SWEEP_ROUNDS])).alias("n_rounds"))
-         .filter(F.floor(hash_unit("vec_id", SWEEP_SEED) * F.col("n_rounds")).cast("int") + 1 == F.col("n_rounds")))
-    cm = fd.client_means(x, "label", "embedding", by=["n_rounds"])
-    av = fd.fed_avg(cm, ["n_rounds", "pos"])
-    full = e.select(F.posexplode("embedding").alias("pos", "v")).groupBy("pos").agg(F.avg(F.col("v").cast("double")).alias("m"))
-    return (av.join(full, "pos").groupBy("n_rounds")
-            .agg(r9(F.avg(F.abs(F.col("value") - F.col("m")))).alias("mae")))
-
-
-@query("fed_train")
+    """Metric against the number of averaging rounds: federations of 1, 5, 10
+    and 50 rounds side by side, each over every row (one shard a round); size
+    of the final weights and their loss."""
+    runs = {str(r): fd.FedRun(n_rounds=r, local_steps=1) for r in SWEEP_ROUNDS}
+    w, rounds = fd.fed_train_runs(_fed_rows(spark, sf), "client", "x", "y", DIM, runs, key="vec_id")
+    norm = w.groupBy("run").agg(r9(F.sqrt(F.sum(F.col("value") * F.col("value")))).alias("norm"))
+    last = rounds.where(F.col("round").cast("string") == F.col("run")).select("run", F.round("loss", 9).alias("loss"))
+    return norm.join(last, "run").select(F.col("run").cast("int").alias("n_rounds"), "norm", "loss")
+
+
+def _fed_sql(strategy: str) -> str:
+    """Three rounds of two local steps, unrolled."""
+    rule = {"fedavg": ("z[4]", "z[2]", "z[3]"),
+            "fedavgm": ("z[1] - (0.5 * z[2] + (z[1] - z[4]))", "0.5 * z[2] + (z[1] - z[4])", "z[3]"),
+            "fedadam": ("z[1] + 0.1 * (0.9 * z[2] + (1 - 0.9) * (z[4] - z[1])) / (sqrt(0.99 * z[3] + (1 - 0.99) * (z[4] - z[1]) * (z[4] - z[1])) + 1e-9)",
+                        "0.9 * z[2] + (1 - 0.9) * (z[4] - z[1])", "0.99 * z[3] + (1 - 0.99) * (z[4] - z[1]) * (z[4] - z[1])")}[strategy]
+    zeros = f"list_transform(range({DIM + 1}), lambda i: 0.0::DOUBLE)"
+    ctes = [f"s0 AS (SELECT {zeros} AS w, {zeros} AS m, {zeros} AS v)"]
+    for r in (1, 2, 3):
+        here = f"(SELECT * FROM e WHERE floor(u * 3) + 1 = {r})"
+        lr = f"(0.5 * 0.5 * (1 + cos(pi() * {r - 1} / 3)))"
+        ctes.append(f"l{r}_0 AS (SELECT client, count(*) AS n, any_value(w) AS w FROM {here} CROSS JOIN s{r - 1} GROUP BY client)")
+        for k in (1, 2):
+            ctes.append(f"""g{r}_{k} AS (SELECT client, list(g ORDER BY pos) AS g FROM (SELECT client, pos, sum(gx) AS g FROM (
+                SELECT client, unnest(list_append(list_transform(x, lambda a: a * err), err)) AS gx, unnest(range({DIM + 1})) AS pos
+                FROM (SELECT h.client, h.x, {_FED_P} - y AS err FROM {here} h JOIN l{r}_{k - 1} l ON h.client = l.client)) GROUP BY client, pos) GROUP BY client)""")
+            ctes.append(f"l{r}_{k} AS (SELECT l.client, n, list_transform(list_zip(w, g), lambda z: z[1] - {lr} * z[2] / n) AS w FROM l{r}_{k - 1} l JOIN g{r}_{k} g ON l.client = g.client)")
+        ctes.append(f"""a{r} AS (SELECT list(a ORDER BY pos) AS a FROM (SELECT pos, sum(wv * n) / sum(n) AS a FROM (
+            SELECT n, unnest(w) AS wv, unnest(range({DIM + 1})) AS pos FROM l{r}_2) GROUP BY pos))""")
+        ctes.append(f"s{r} AS (SELECT " + ", ".join(f"list_transform(list_zip(w, m, v, a), lambda z: {x}) AS {n}" for x, n in zip(rule, ("w", "m", "v"))) + f" FROM s{r - 1} CROSS JOIN a{r})")
+    ctes.append(f"loss AS (SELECT round({_FED_LOSS}, 9) AS loss FROM e CROSS JOIN s3)")
+    return f"SELECT * FROM (WITH {', '.join(ctes)} SELECT '{strategy}' AS strategy, unnest(range({DIM + 1}))::INTEGER AS pos, round(unnest(w), 9) AS value, loss FROM s3 CROSS JOIN loss)"
+
+
+@query("fed_train", f"WITH e AS MATERIALIZED ({_FED_ROWS}) " + " UNION ALL ".join(_fed_sql(x) for x in sorted(fd.STRATEGIES)))
 def fed_train(spark, sf):
     """Federated logistic regression on the embeddings: 3 clients, 3 rounds,
-    each server strategy; the loss of the last round rides along."""
-    e = _emb(spark, sf).select("vec_id", F.col("embedding").cast("array<double>").alias("x"),
-                               (F.col("label") >= 5).cast("int").alias("y"),
-                               F.floor(hash_unit("vec_id", 3) * 3).cast("int").alias("client"))
-    out = None
-    for name in sorted(fd.STRATEGIES):
-        w, rounds = fd.fed_train(e, "client", "x", "y", dim=64, n_rounds=3, local_steps=2, key="vec_id", strategy=name)
-        last = rounds.where("round = 3").first().loss
-        part = w.select(F.lit(name).alias("strategy"), "pos", r9("value").alias("value"), F.round(F.lit(last), 9).alias("loss"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    each server strategy, side by side; the loss of the last round rides along."""
+    runs = {name: fd.FedRun(3, 2, strategy=name) for name in fd.STRATEGIES}
+    w, rounds = fd.fed_train_runs(_fed_rows(spark, sf), "client", "x", "y", DIM, runs, key="vec_id")
+    last = rounds.where("round = 3").select("run", F.round("loss", 9).alias("loss"))
+    return w.join(last, "run").select(F.col("run").alias("strategy"), "pos", r9("value").alias("value"), "loss")
 
 
 @query("scorer_hook", """WITH w AS (SELECT list(value ORDER BY pos) AS w FROM (SELECT pos, sum(value * n) / sum(n) AS value
