@@ -336,20 +336,34 @@ def fit_boosted_cells(rows: DataFrame, n_cells: int, trees: int = 20, leaves: in
     # margins of a row, in the order of its cells
     known = F.create_map(*[x for c, b in sorted(bases.items()) for x in (F.lit(c), F.lit(b))]) if bases else F.create_map(F.lit(-1), F.lit(0.0))
     state = stage_table(rows.select("idx", "val", "cells", "labels", F.transform("cells", lambda c: F.coalesce(F.try_element_at(known, c), F.lit(0.0))).alias("margins")), "boost-rows")
-    for _ in range(trees if models else 0):
-        grown = _grow(state, models, bins, leaves, rate, l2, min_rows)
+    pending: dict = {c: [] for c in models}  # trees that the stored margins do not hold yet
+    for i in range(trees if models else 0):
+        grown = _grow(state, models, pending, bins, leaves, rate, l2, min_rows)
         for c, tree in grown.items():
             models[c][1].append(tree)
-        before, state = state, stage_table(_advance(state, grown), "boost-rows")
-        release(before)
+            pending[c].append(tree)
+        if i + 1 < trees and (i + 1) % ADVANCE == 0:
+            before, state = state, stage_table(_advance(state, pending), "boost-rows")
+            release(before)
+            pending = {c: [] for c in models}
     release(state)
     return models
 
 
-def _advance(state: DataFrame, grown: dict) -> DataFrame:
+def _steps(trees: list, n, er, ef, ev):
+    """What the trees add to n rows' margins."""
+    import numpy as np
+
+    out = np.zeros(n)
+    for tree in trees:
+        out += np.array([0.0 if isinstance(x, tuple) else x for x in tree])[leaves_of(tree, n, er, ef, ev)]
+    return out
+
+
+def _advance(state: DataFrame, pending: dict) -> DataFrame:
     """The rows with their margins moved by the new trees."""
     at = [state.columns.index(c) for c in ("idx", "val", "cells", "margins")]
-    held = state.sparkSession.sparkContext.broadcast(grown)
+    held = state.sparkSession.sparkContext.broadcast(pending)
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
@@ -359,9 +373,7 @@ def _advance(state: DataFrame, grown: dict) -> DataFrame:
             er, ef, ev, mr, mc, mm = _batch(batch, at)
             mm = mm.copy()
             for c in np.unique(mc):
-                if (tree := held.value.get(int(c))) is not None:
-                    step = np.array([0.0 if isinstance(x, tuple) else x for x in tree])[leaves_of(tree, batch.num_rows, er, ef, ev)]
-                    mm[mc == c] += step[mr[mc == c]]
+                mm[mc == c] += _steps(held.value.get(int(c), []), batch.num_rows, er, ef, ev)[mr[mc == c]]
             cells = batch.column(at[2])
             offsets = pa.array(np.asarray(cells.offsets) - np.asarray(cells.offsets)[0], pa.int32())
             cols = list(batch.columns)
@@ -371,19 +383,20 @@ def _advance(state: DataFrame, grown: dict) -> DataFrame:
     return state.mapInArrow(run, state.schema)
 
 
-def histograms(state: DataFrame, trees: dict, wanted: dict, bins: dict) -> DataFrame:
+def histograms(state: DataFrame, trees: dict, pending: dict, wanted: dict, bins: dict) -> DataFrame:
     """(cell, leaf, feature, bin, g, h, n) summed over the rows that end in a
-    wanted leaf (``{cell: set of leaves}``) of its cell's tree; feature −1 holds
-    the leaf's sums. Bins count from 0; rows where a feature is 0 are in none."""
+    wanted leaf (``{cell: set of leaves}``) of its cell's tree, at the stored
+    margins and the ``pending`` trees; feature −1 holds the leaf's sums. Bins
+    count from 0; rows where a feature is 0 are in none."""
     at = [state.columns.index(c) for c in ("idx", "val", "cells", "labels")]
     at_margin = state.columns.index("margins")
-    held = state.sparkSession.sparkContext.broadcast((trees, wanted, bins))
+    held = state.sparkSession.sparkContext.broadcast((trees, pending, wanted, bins))
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        trees, wanted, bins = held.value
+        trees, pending, wanted, bins = held.value
         features = np.array(sorted(bins), dtype=np.int64)
         widest = max((len(b) for b in bins.values()), default=1)
         ends = np.full((len(features), widest), np.inf)
@@ -401,7 +414,7 @@ def histograms(state: DataFrame, trees: dict, wanted: dict, bins: dict) -> DataF
                     continue
                 who = mr[mc == c]
                 g, h, mine = np.zeros(n), np.zeros(n), np.full(n, -1, np.int64)
-                p = 1.0 / (1.0 + np.exp(-mm[mc == c]))
+                p = 1.0 / (1.0 + np.exp(-(mm[mc == c] + _steps(pending.get(c, []), n, er, ef, ev)[who])))
                 g[who], h[who] = p - ml[mc == c], p * (1 - p)
                 mine[who] = leaves_of(trees[c], n, er, ef, ev)[who]
                 for leaf in wanted[c]:
@@ -447,6 +460,8 @@ def best_splits(hist: DataFrame, l2: float, min_rows: int) -> DataFrame:
                                                 F.col("s.g").alias("g"), F.col("s.h").alias("h"), F.col("s.n").alias("n"))).alias("split"))
 
 
+#: Trees after which the rows' margins are written anew.
+ADVANCE = 5
 #: (cell, leaf) as one number; a tree has fewer nodes.
 NODES = 1 << 16
 
@@ -457,13 +472,15 @@ def _by_node(pairs: dict):
     return F.try_element_at(F.create_map(*[F.lit(x) for (c, leaf), to in sorted(pairs.items()) for x in (c * NODES + leaf, to)]), code)
 
 
-def _grow(state: DataFrame, models: dict, bins: dict, leaves: int, rate: float, l2: float, min_rows: int) -> dict:
-    """One tree for every cell, all cells in the same rounds: two jobs a round."""
+def _grow(state: DataFrame, models: dict, pending: dict, bins: dict, leaves: int, rate: float, l2: float, min_rows: int) -> dict:
+    """One tree for every cell, all cells in the same rounds: one job a round.
+    A round's histograms are kept on the executors for the next one; what is
+    lost is built again from the stored rows, at most a tree's few rounds."""
     trees: dict = {c: [0.0] for c in models}
     sums: dict = {}  # (cell, leaf): (g, h)
     wanted, hist = {c: {0} for c in trees}, None
     while wanted:
-        built = histograms(state, trees, wanted, bins)
+        built = histograms(state, trees, pending, wanted, bins)
         if hist is not None:
             # a built child stands for itself and is taken from its parent, which becomes the sibling
             sibling = _by_node(child_to_sibling)
@@ -471,10 +488,10 @@ def _grow(state: DataFrame, models: dict, bins: dict, leaves: int, rate: float,
             parts = built.select("*", signed.alias("x")).select("cell", F.col("x.to").alias("leaf"), "feature", "bin", *[(F.col(v) * F.col("x.sign")).alias(v) for v in ("g", "h", "n")])
             kept = hist.withColumn("leaf", F.coalesce(_by_node(parent_to_sibling), F.col("leaf")))
             built = kept.unionByName(parts).groupBy("cell", "leaf", "feature", "bin").agg(*[F.sum(v).alias(v) for v in ("g", "h", "n")]).where("n > 0.5")
-        before, hist = hist, stage_table(built, "boost-hist")
-        if before is not None:
-            release(before)
+        before, hist = hist, built.persist()
         known = {(r.cell, r.leaf): r for r in best_splits(hist, l2, min_rows).collect()}  # one row per open leaf
+        if before is not None:
+            before.unpersist()
         sums |= {k: (r.g, r.h) for k, r in known.items()}
         wanted, child_to_sibling, parent_to_sibling = {}, {}, {}
         for c, tree in trees.items():
@@ -498,7 +515,7 @@ def _grow(state: DataFrame, models: dict, bins: dict, leaves: int, rate: float,
             if not isinstance(node, tuple):
                 g, h = sums[c, leaf]
                 tree[leaf] = -rate * g / (h + l2)
-    release(hist)
+    hist.unpersist()
     return trees
 
 
