@@ -41,8 +41,15 @@ def brute(both, rows):
                 at += len(p)
             spans.append(out)
         cuts = sorted({e for _, e in spans[0]} & {e for _, e in spans[1]})
-        groups = [",".join(str(i) for i, (s, e) in zip(ids_a, spans[0]) if lo < e <= hi) + "|" + ",".join(str(i) for i, (s, e) in zip(ids_b, spans[1]) if lo < e <= hi)
-                  for lo, hi in zip([0, *cuts], cuts)]
+        groups, at = [], [0, 0]
+        for hi in cuts:
+            told_ids = []
+            for k, ids in enumerate((ids_a, ids_b)):
+                start = at[k]
+                while at[k] < len(ids) and spans[k][at[k]][1] <= hi:
+                    at[k] += 1
+                told_ids.append(",".join(map(str, ids[start:at[k]])))
+            groups.append("|".join(told_ids))
         linked, j0 = [], 0
         for x, (s, e) in zip(ids_a, spans[0]):
             while j0 < len(ids_b) and spans[1][j0][1] <= s:
