@@ -56,6 +56,19 @@ def test_logistic_reaches_the_optimum_of_every_cell(spark):
         assert r.weights == pytest.approx(newton(x[mine].astype(float), t[mine]).tolist(), abs=1e-5)
 
 
+@pytest.mark.parametrize("newton_dim, most", [(256, 9), (0, 200)])
+def test_logistic_on_many_rows_needs_few_jobs(spark, monkeypatch, newton_dim, most):
+    """The gradient is a sum over rows held to an absolute tolerance: the jobs
+    must not grow with the rows. The other way (more weights) has the same optimum."""
+    df, x, site, y = data(spark, 4000)
+    df = stage_table(df.select("idx", F.transform("val", lambda v: v * 3).alias("val"), "cells", "labels"), "cell-rows")
+    monkeypatch.setattr(cm, "NEWTON_DIM", newton_dim)
+    for r in cm.fit_logistic_cells(df, 6, DIM, tol=1e-6).collect():
+        mine, t = member(r.cell, site, y)
+        assert r.rounds <= most and r.residual <= 1e-6
+        assert r.weights == pytest.approx(newton(3.0 * x[mine], t[mine]).tolist(), abs=1e-6)
+
+
 def test_groups_of_cells_when_a_broadcast_is_full(spark, monkeypatch):
     df, *_ = data(spark)
     one = {r.cell: r.weights for r in cm.fit_logistic_cells(df, 6, DIM).collect()}

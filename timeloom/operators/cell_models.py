@@ -7,10 +7,13 @@ together: a job evaluates every cell's trial point, or every cell's open
 leaves, over all rows; partial sums per task, then per (cell, feature). Only
 values of model size (weights; one best split per leaf) reach the driver.
 
-Logistic regression minimizes ½‖w‖² + C · Σ log-loss with a free intercept by
-L-BFGS, one history per cell, scaled by the diagonal of the curvature. A cell
-whose trial point does not lower its objective halves its step in the next
-job, while the others go on.
+Logistic regression minimizes ½‖w‖² + C · Σ log-loss with a free intercept.
+Up to ``NEWTON_DIM`` weights by Newton steps: the job that gives the gradients
+gives the curvature matrices too, and the number of jobs hardly grows with the
+rows, whose gradients (sums over rows) are held to an absolute tolerance. With
+more weights by L-BFGS, one history per cell, scaled by the diagonal of the
+curvature. A cell whose trial point does not lower its objective halves its
+step in the next job, while the others go on.
 
 Boosted trees grow leaf-wise: each round builds the histograms (gradient sums
 per feature bin) of the smaller child of every split, gets the sibling's by
@@ -36,6 +39,10 @@ __all__ = ["sparse_rows", "with_cells", "fit_logistic_cells", "score_logistic_ce
 
 #: Weights that one broadcast may hold, in bytes; more cells are fitted in groups.
 MODEL_BYTES = 256 << 20
+#: Weights up to which a cell's whole curvature matrix is summed.
+NEWTON_DIM = 256
+#: Numbers in the dense matrix that a task makes of some rows at a time.
+DENSE = 1 << 22
 
 
 def sparse_rows(rows: DataFrame, keys, col: str = "tokens_past", binary: bool = False) -> DataFrame:
@@ -88,11 +95,13 @@ def _batch(batch, at):
 
 @dataclass
 class _State:
-    """One cell's L-BFGS: its point, objective and gradient, and the trial."""
+    """One cell's descent: its point, objective, gradient and curvature matrix
+    (none: L-BFGS), and the trial."""
     w: object
     scale: object
     f: float = float("inf")
     g: object = None
+    curve: object = None
     trial: object = None
     step: float = 1.0
     direction: object = None
@@ -102,6 +111,13 @@ class _State:
     residual: float = float("inf")
 
     def propose(self):
+        import numpy as np
+
+        self.step = 1.0
+        if self.curve is not None:
+            self.direction = -np.linalg.solve(self.curve, self.g)
+            self.trial = self.w + self.direction
+            return
         q, alphas = self.g.copy(), []
         for s, y, rho in reversed(self.history):
             a = rho * (s @ q)
@@ -114,20 +130,21 @@ class _State:
         q = gamma * q / self.scale
         for (s, y, rho), a in zip(self.history, reversed(alphas), strict=True):
             q += s * (a - rho * (y @ q))
-        self.direction, self.step = -q, 1.0
+        self.direction = -q
         self.trial = self.w + self.direction
 
-    def seen(self, f, g, tol, max_iter):
-        """The objective and gradient at the trial point have come in."""
+    def seen(self, f, g, curve, tol, max_iter):
+        """The objective, gradient and curvature at the trial point have come
+        in. What the sums round off is no rise of the objective."""
         import numpy as np
 
         self.rounds += 1
-        if self.g is None or f <= self.f + 1e-4 * self.step * (self.g @ self.direction):
-            if self.g is not None:
+        if self.g is None or f <= self.f + 1e-4 * self.step * (self.g @ self.direction) + 1e-13 * abs(self.f):
+            if self.g is not None and curve is None:
                 s, y = self.trial - self.w, g - self.g
                 if s @ y > 1e-12 * np.sqrt((s @ s) * (y @ y)):
                     self.history = [*self.history[-9:], (s, y, 1.0 / (s @ y))]
-            self.w, self.f, self.g = self.trial, f, g
+            self.w, self.f, self.g, self.curve = self.trial, f, g, curve
             self.residual = float(np.abs(g).max())
             self.done = self.residual <= tol or self.rounds >= max_iter
             if not self.done:
@@ -138,8 +155,19 @@ class _State:
             self.done = self.step < 1e-9 or self.rounds >= max_iter
 
 
-def _sums(rows: DataFrame, weights: dict, dim: int, squares: bool) -> dict:
-    """{cell: (loss, gradient, curvature bound, members)} at ``weights``, in one job."""
+def _entries(starts, sizes, who):
+    """(place of every entry of the rows ``who``, its row's place in ``who``)"""
+    import numpy as np
+
+    n = sizes[who]
+    of = np.repeat(np.arange(len(who)), n)
+    return np.arange(len(of)) + (starts[who] - np.cumsum(n) + n)[of], of
+
+
+def _sums(rows: DataFrame, weights: dict, dim: int, curvature: str = "none") -> dict:
+    """{cell: (loss, gradient, curvature, members)} at ``weights``, in one job.
+    ``curvature``: "none", "bound" (the diagonal at zero, its largest) or
+    "matrix" (the whole one at the weights)."""
     import numpy as np
 
     at = [rows.columns.index(c) for c in ("idx", "val", "cells", "labels")]
@@ -149,47 +177,66 @@ def _sums(rows: DataFrame, weights: dict, dim: int, squares: bool) -> dict:
         import pyarrow as pa
 
         total: dict = {}
-        for batch in batches:
+        step = max(1, DENSE // (dim + 1)) if curvature == "matrix" else 1 << 30
+        for batch in (b.slice(i, step) for b in batches for i in range(0, b.num_rows, step)):
             er, ef, ev, mr, mc, ml = _batch(batch, at)
             n = batch.num_rows
+            sizes = np.bincount(er, minlength=n)
+            starts = np.cumsum(sizes) - sizes
+            if curvature == "matrix":
+                dense = np.bincount(er * (dim + 1) + ef, ev, minlength=n * (dim + 1)).reshape(n, dim + 1)
+                dense[:, dim] = 1.0
             for c in np.unique(mc):
                 w = held.value.get(int(c))
                 if w is None:
                     continue
-                mine, y = np.zeros(n, bool), np.zeros(n)
-                mine[mr[mc == c]] = True
+                y = np.full(n, np.nan)
                 y[mr[mc == c]] = ml[mc == c]
-                take = mine[er]
-                r, f, v = er[take], ef[take], ev[take]
-                z = np.bincount(r, v * w[f], minlength=n)[mine] + w[dim]
-                t = y[mine]
-                loss = np.sum(np.logaddexp(0.0, z) - t * z)
-                resid = np.zeros(n)
-                resid[mine] = 1.0 / (1.0 + np.exp(-z)) - t
-                sums = total.setdefault(int(c), [0.0, np.zeros(dim + 1), np.zeros(dim + 1), 0])
-                sums[0] += loss
-                sums[1][:dim] += np.bincount(f, v * resid[r], minlength=dim)
-                sums[1][dim] += resid.sum()
-                if squares:
-                    sums[2][:dim] += np.bincount(f, v * v, minlength=dim) / 4
-                    sums[2][dim] += mine.sum() / 4
-                sums[3] += int(mine.sum())
+                who = np.flatnonzero(~np.isnan(y))
+                t = y[who]
+                sums = total.setdefault(int(c), [0.0, np.zeros(dim + 1), np.zeros((dim + 1, dim + 1) if curvature == "matrix" else dim + 1), 0])
+                if curvature == "matrix":
+                    x = dense[who]
+                    z = x @ w
+                else:
+                    e, of = _entries(starts, sizes, who)
+                    z = np.bincount(of, ev[e] * w[ef[e]], minlength=len(who)) + w[dim]
+                p = 1.0 / (1.0 + np.exp(-z))
+                sums[0] += np.sum(np.logaddexp(0.0, z) - t * z)
+                if curvature == "matrix":
+                    sums[1] += x.T @ (p - t)
+                    x *= np.sqrt(p * (1.0 - p))[:, None]
+                    sums[2] += x.T @ x
+                else:
+                    sums[1][:dim] += np.bincount(ef[e], ev[e] * (p - t)[of], minlength=dim)
+                    sums[1][dim] += (p - t).sum()
+                    if curvature == "bound":
+                        sums[2][:dim] += np.bincount(ef[e], ev[e] * ev[e], minlength=dim) / 4
+                        sums[2][dim] += len(who) / 4
+                sums[3] += len(who)
+        upper = np.triu_indices(dim + 1)
         for c, (loss, g, h, n) in total.items():
-            j = np.flatnonzero((g != 0) | (h != 0))
-            pos = np.concatenate([j, [-1]]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(pos), c, np.int32)), pa.array(pos), pa.array(np.append(g[j], loss)),
-                                              pa.array(np.append(h[j], float(n)))], names=["cell", "pos", "g", "h"])
+            # positions: -1 loss and members, then the gradient, then the curvature
+            values = np.concatenate([g, h[upper] if curvature == "matrix" else h])
+            j = np.flatnonzero(values)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j) + 2, c, np.int32)), pa.array(np.concatenate([j, [-1, -2]]).astype(np.int32)),
+                                              pa.array(np.concatenate([values[j], [loss, float(n)]]))], names=["cell", "pos", "v"])
 
-    got = rows.mapInArrow(run, "cell int, pos int, g double, h double").groupBy("cell", "pos").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()
+    got = rows.mapInArrow(run, "cell int, pos int, v double").groupBy("cell", "pos").agg(F.sum("v").alias("v")).toArrow()
     held.unpersist()
-    cell, pos, g, h = (got.column(i).to_numpy() for i in range(4))
+    cell, pos, v = (got.column(i).to_numpy() for i in range(3))
     out = {}
+    upper = np.triu_indices(dim + 1)
     for c in np.unique(cell):
-        mine = cell == c
-        grad, curve = np.zeros(dim + 1), np.zeros(dim + 1)
-        p = pos[mine]
-        grad[p[p >= 0]], curve[p[p >= 0]] = g[mine][p >= 0], h[mine][p >= 0]
-        out[int(c)] = (float(g[mine][p < 0][0]), grad, curve, int(round(h[mine][p < 0][0])))
+        p, x = pos[cell == c], v[cell == c]
+        values = np.zeros(dim + 1 + (len(upper[0]) if curvature == "matrix" else dim + 1))
+        values[p[p >= 0]] = x[p >= 0]
+        curve = values[dim + 1:]
+        if curvature == "matrix":
+            curve = np.zeros((dim + 1, dim + 1))
+            curve[upper] = values[dim + 1:]
+            curve = curve + np.triu(curve, 1).T
+        out[int(c)] = (float(x[p == -1][0]), values[:dim + 1], curve, int(round(x[p == -2][0])))
     return out
 
 
@@ -202,21 +249,26 @@ def fit_logistic_cells(rows: DataFrame, n_cells: int, dim: int, c: float = 1.0,
     import numpy as np
 
     spark, out = rows.sparkSession, []
-    size = max(1, MODEL_BYTES // (8 * (dim + 1)))
+    newton = dim < NEWTON_DIM
+    size = max(1, MODEL_BYTES // (8 * (dim + 1) * (dim + 1 if newton else 1)))
+    ridge = np.append(np.ones(dim), 0.0)
+
+    def whole(h):
+        return c * h + np.diag(ridge + 1e-9) if newton else None
+
     for first in range(0, n_cells, size):
         cells = range(first, min(first + size, n_cells))
-        start = _sums(rows, {k: np.zeros(dim + 1) for k in cells}, dim, squares=True)
-        ridge = np.append(np.ones(dim), 0.0)
+        start = _sums(rows, {k: np.zeros(dim + 1) for k in cells}, dim, "matrix" if newton else "bound")
         states, members = {}, {}
         for k, (loss, g, h, n) in start.items():
-            s = states[k] = _State(np.zeros(dim + 1), c * h + ridge + 1e-9)
+            s = states[k] = _State(np.zeros(dim + 1), None if newton else c * h + ridge + 1e-9)
             members[k] = n
             s.trial = s.w
-            s.seen(c * loss, c * g, tol, max_iter)
+            s.seen(c * loss, c * g, whole(h), tol, max_iter)
         while todo := {k: s.trial for k, s in states.items() if not s.done}:
-            for k, (loss, g, _, _) in _sums(rows, todo, dim, squares=False).items():
+            for k, (loss, g, h, _) in _sums(rows, todo, dim, "matrix" if newton else "none").items():
                 w = todo[k] * ridge
-                states[k].seen(c * loss + 0.5 * (w @ w), c * g + w, tol, max_iter)
+                states[k].seen(c * loss + 0.5 * (w @ w), c * g + w, whole(h), tol, max_iter)
         out += [(k, members[k], float(s.f), s.residual, s.rounds, [float(x) for x in s.w]) for k, s in sorted(states.items())]
     return stage_table(spark.createDataFrame(out, "cell int, n long, objective double, residual double, rounds int, weights array<double>"), "logistic-cells")
 
