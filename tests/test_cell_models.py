@@ -136,6 +136,22 @@ def test_trees_lower_the_loss_and_beat_chance(spark):
     assert (pos[:, None] > neg[None, :]).mean() + 0.5 * (pos[:, None] == neg[None, :]).mean() > 0.72
 
 
+def test_cells_grow_without_waiting_for_one_another(spark, monkeypatch):
+    """As many jobs as the cell of most rounds needs, the same trees as alone."""
+    df, *_ = data(spark, 300)
+    jobs = []
+    built = cm.histograms
+    monkeypatch.setattr(cm, "histograms", lambda *a: jobs.append(set(a[3])) or built(*a))
+    together = cm.fit_boosted_cells(df, 6, trees=4, leaves=6, min_rows=15)
+    n = len(jobs)
+    assert n == max(sum(c in j for j in jobs) for c in together)
+    few = df.withColumn("keep", F.array_position("cells", 4)).where("keep > 0").select(
+        "idx", "val", F.array(F.lit(4)).alias("cells"), F.array(F.get("labels", (F.col("keep") - 1).cast("int"))).alias("labels"))
+    alone = cm.fit_boosted_cells(stage_table(few, "cell-rows"), 6, trees=4, leaves=6, min_rows=15)
+    for a, b in zip(together[4][1], alone[4][1], strict=True):
+        assert [x if isinstance(x, tuple) else pytest.approx(x, abs=1e-9) for x in a] == b
+
+
 def test_sparse_rows(spark):
     df = spark.createDataFrame([(1, [3, 1, 3, 3]), (2, []), (3, None), (4, [7])], "k int, tokens_past array<int>")
     got = {r.k: (r.idx, r.val) for r in cm.sparse_rows(df, ["k"]).collect()}

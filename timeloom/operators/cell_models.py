@@ -16,9 +16,10 @@ curvature. A cell whose trial point does not lower its objective halves its
 step in the next job, while the others go on.
 
 Boosted trees grow leaf-wise: each round builds the histograms (gradient sums
-per feature bin) of the smaller child of every split, gets the sibling's by
-subtraction from the parent's, and splits the open leaves of largest gain
-until the tree has its leaves."""
+per feature bin) of the leaves that the round before made, all cells' in one
+job, and splits the open leaves of largest gain until the tree has its leaves.
+A cell whose tree is done starts its next one without waiting for the others.
+Only the best split of each leaf comes back; nothing is kept between rounds."""
 
 from __future__ import annotations
 
@@ -338,30 +339,51 @@ def _array(x):
 SMALLEST = 1e-300
 
 
-def leaves_of(tree, n, er, ef, ev):
-    """Node in which each of n rows ends."""
+def _columns(trees, er, ef, ev, n):
+    """({feature: column}, matrix) of the features that the trees split by;
+    −inf where a row has no value."""
     import numpy as np
 
-    at = np.zeros(n, np.int32)
+    used = sorted({node[0] for tree in trees for node in tree if isinstance(node, tuple)})
+    out = np.full((n, len(used)), -np.inf)
+    if used and len(ef):
+        slot = np.full(max(used[-1], int(ef.max())) + 1, -1)
+        slot[used] = np.arange(len(used))
+        col = slot[ef]
+        known = col >= 0
+        out[er[known], col[known]] = ev[known]
+    return {f: i for i, f in enumerate(used)}, out
+
+
+def leaves_of(tree, columns, matrix, who):
+    """Node in which each of the rows ``who`` of the matrix ends."""
+    import numpy as np
+
+    at = np.zeros(len(who), np.int32)
     # children come after their parents
     for i, node in enumerate(tree):
         if isinstance(node, tuple):
             feature, value, left, right = node
-            goes = np.zeros(n, bool)
-            goes[er[(ef == feature) & (ev >= value)]] = True
-            here = at == i
-            at[here & goes], at[here & ~goes] = right, left
+            here = np.flatnonzero(at == i)
+            at[here] = np.where(matrix[who[here], columns[feature]] >= value, right, left)
     return at
 
 
+def _steps(trees, columns, matrix, who):
+    """What the trees add to the rows' margins."""
+    import numpy as np
+
+    out = np.zeros(len(who))
+    for tree in trees:
+        out += np.array([0.0 if isinstance(x, tuple) else x for x in tree])[leaves_of(tree, columns, matrix, who)]
+    return out
+
+
 def _boosted(model, n, er, ef, ev):
     import numpy as np
 
     base, trees = model
-    z = np.full(n, base)
-    for tree in trees:
-        z += np.array([0.0 if isinstance(x, tuple) else x for x in tree])[leaves_of(tree, n, er, ef, ev)]
-    return z
+    return base + _steps(trees, *_columns(trees, er, ef, ev, n), np.arange(n))
 
 
 def feature_bins(rows: DataFrame, max_bins: int = 16) -> DataFrame:
@@ -389,12 +411,20 @@ def fit_boosted_cells(rows: DataFrame, n_cells: int, trees: int = 20, leaves: in
     known = F.create_map(*[x for c, b in sorted(bases.items()) for x in (F.lit(c), F.lit(b))]) if bases else F.create_map(F.lit(-1), F.lit(0.0))
     state = stage_table(rows.select("idx", "val", "cells", "labels", F.transform("cells", lambda c: F.coalesce(F.try_element_at(known, c), F.lit(0.0))).alias("margins")), "boost-rows")
     pending: dict = {c: [] for c in models}  # trees that the stored margins do not hold yet
-    for i in range(trees if models else 0):
-        grown = _grow(state, models, pending, bins, leaves, rate, l2, min_rows)
-        for c, tree in grown.items():
-            models[c][1].append(tree)
-            pending[c].append(tree)
-        if i + 1 < trees and (i + 1) % ADVANCE == 0:
+    growing = {c: _Tree() for c in models} if trees else {}
+    while growing:
+        wanted = {c: t.fresh for c, t in growing.items()}
+        found = best_splits(histograms(state, {c: t.nodes for c, t in growing.items()}, pending, wanted, bins), l2, min_rows).collect()  # one row per new leaf
+        for c in list(growing):
+            tree = growing[c]
+            tree.split({r.leaf: r for r in found if r.cell == c}, bins, leaves)
+            if not tree.fresh:  # a cell goes on with its next tree while others still grow theirs
+                models[c][1].append(tree.finished(rate, l2))
+                pending[c].append(models[c][1][-1])
+                growing[c] = _Tree()
+                if len(models[c][1]) == trees:
+                    del growing[c]
+        if growing and max(len(pending[c]) for c in growing) >= ADVANCE:
             before, state = state, stage_table(_advance(state, pending), "boost-rows")
             release(before)
             pending = {c: [] for c in models}
@@ -402,16 +432,6 @@ def fit_boosted_cells(rows: DataFrame, n_cells: int, trees: int = 20, leaves: in
     return models
 
 
-def _steps(trees: list, n, er, ef, ev):
-    """What the trees add to n rows' margins."""
-    import numpy as np
-
-    out = np.zeros(n)
-    for tree in trees:
-        out += np.array([0.0 if isinstance(x, tuple) else x for x in tree])[leaves_of(tree, n, er, ef, ev)]
-    return out
-
-
 def _advance(state: DataFrame, pending: dict) -> DataFrame:
     """The rows with their margins moved by the new trees."""
     at = [state.columns.index(c) for c in ("idx", "val", "cells", "margins")]
@@ -424,8 +444,9 @@ def _advance(state: DataFrame, pending: dict) -> DataFrame:
         for batch in batches:
             er, ef, ev, mr, mc, mm = _batch(batch, at)
             mm = mm.copy()
+            known = _columns([t for c in np.unique(mc) for t in held.value.get(int(c), [])], er, ef, ev, batch.num_rows)
             for c in np.unique(mc):
-                mm[mc == c] += _steps(held.value.get(int(c), []), batch.num_rows, er, ef, ev)[mr[mc == c]]
+                mm[mc == c] += _steps(held.value.get(int(c), []), *known, mr[mc == c])
             cells = batch.column(at[2])
             offsets = pa.array(np.asarray(cells.offsets) - np.asarray(cells.offsets)[0], pa.int32())
             cols = list(batch.columns)
@@ -454,30 +475,39 @@ def histograms(state: DataFrame, trees: dict, pending: dict, wanted: dict, bins:
         ends = np.full((len(features), widest), np.inf)
         for i, f in enumerate(features.tolist()):
             ends[i, :len(bins[f])] = bins[f]
+        width = len(features) * widest
         total: dict = {}
         for batch in batches:
             er, ef, ev, mr, mc, ml = _batch(batch, at)
             mm = batch.column(at_margin).flatten().to_numpy(zero_copy_only=False)
             n, slot = batch.num_rows, np.searchsorted(features, ef)
             code = slot * widest + np.maximum((ends[slot] <= ev[:, None]).sum(axis=1) - 1, 0)
-            for c in np.unique(mc):
-                c = int(c)
-                if c not in wanted:
-                    continue
-                who = mr[mc == c]
-                g, h, mine = np.zeros(n), np.zeros(n), np.full(n, -1, np.int64)
-                p = 1.0 / (1.0 + np.exp(-(mm[mc == c] + _steps(pending.get(c, []), n, er, ef, ev)[who])))
-                g[who], h[who] = p - ml[mc == c], p * (1 - p)
-                mine[who] = leaves_of(trees[c], n, er, ef, ev)[who]
-                for leaf in wanted[c]:
-                    inside = mine == leaf
-                    take = inside[er]
-                    width = len(features) * widest + 1
-                    sums = total.setdefault((c, leaf), np.zeros((3, width)))
-                    for k, x in enumerate((g, h, np.ones(n))):
-                        sums[k, :-1] += np.bincount(code[take], x[er[take]], minlength=width - 1)
-                        sums[k, -1] += x[inside].sum()
-        for (c, leaf), sums in total.items():
+            sizes = np.bincount(er, minlength=n)
+            starts = np.cumsum(sizes) - sizes
+            here = [c for c in np.unique(mc).tolist() if c in wanted]
+            known = _columns([t for c in here for t in (trees[c], *pending.get(c, []))], er, ef, ev, n)
+            for c in here:
+                of_cell = mc == c
+                who, y, z = mr[of_cell], ml[of_cell], mm[of_cell]
+                p = 1.0 / (1.0 + np.exp(-(z + _steps(pending.get(c, []), *known, who))))
+                leaves = sorted(wanted[c])
+                place = np.full(len(trees[c]), -1)
+                place[leaves] = np.arange(len(leaves))
+                at_leaf = place[leaves_of(trees[c], *known, who)]
+                inside = at_leaf >= 0
+                who, at_leaf, p, y = who[inside], at_leaf[inside], p[inside], y[inside]
+                e, of = _entries(starts, sizes, who)
+                cell_code = at_leaf[of] * width + code[e]
+                sums = total.setdefault(c, {})
+                for leaf in leaves:
+                    sums.setdefault(leaf, np.zeros((3, width + 1)))
+                for k, x in enumerate((p - y, p * (1 - p), None)):
+                    parts = np.bincount(cell_code, None if x is None else x[of], minlength=len(leaves) * width).reshape(len(leaves), width)
+                    whole = np.bincount(at_leaf, x, minlength=len(leaves))
+                    for i, leaf in enumerate(leaves):
+                        sums[leaf][k, :-1] += parts[i]
+                        sums[leaf][k, -1] += whole[i]
+        for c, leaf, sums in ((c, leaf, x) for c, by_leaf in total.items() for leaf, x in by_leaf.items()):
             j = np.flatnonzero(sums[2])
             last = j == sums.shape[1] - 1
             feature = np.where(last, -1, np.append(features, 0)[np.minimum(j // widest, len(features))])
@@ -514,61 +544,36 @@ def best_splits(hist: DataFrame, l2: float, min_rows: int) -> DataFrame:
 
 #: Trees after which the rows' margins are written anew.
 ADVANCE = 5
-#: (cell, leaf) as one number; a tree has fewer nodes.
-NODES = 1 << 16
-
-
-def _by_node(pairs: dict):
-    """A column lookup {(cell, leaf): leaf}: null where there is none."""
-    code = F.col("cell") * NODES + F.col("leaf")
-    return F.try_element_at(F.create_map(*[F.lit(x) for (c, leaf), to in sorted(pairs.items()) for x in (c * NODES + leaf, to)]), code)
-
-
-def _grow(state: DataFrame, models: dict, pending: dict, bins: dict, leaves: int, rate: float, l2: float, min_rows: int) -> dict:
-    """One tree for every cell, all cells in the same rounds: one job a round.
-    A round's histograms are kept on the executors for the next one; what is
-    lost is built again from the stored rows, at most a tree's few rounds."""
-    trees: dict = {c: [0.0] for c in models}
-    sums: dict = {}  # (cell, leaf): (g, h)
-    wanted, hist = {c: {0} for c in trees}, None
-    while wanted:
-        built = histograms(state, trees, pending, wanted, bins)
-        if hist is not None:
-            # a built child stands for itself and is taken from its parent, which becomes the sibling
-            sibling = _by_node(child_to_sibling)
-            signed = F.explode(F.array(F.struct(F.col("leaf").alias("to"), F.lit(1.0).alias("sign")), F.struct(sibling.alias("to"), F.lit(-1.0).alias("sign"))))
-            parts = built.select("*", signed.alias("x")).select("cell", F.col("x.to").alias("leaf"), "feature", "bin", *[(F.col(v) * F.col("x.sign")).alias(v) for v in ("g", "h", "n")])
-            kept = hist.withColumn("leaf", F.coalesce(_by_node(parent_to_sibling), F.col("leaf")))
-            built = kept.unionByName(parts).groupBy("cell", "leaf", "feature", "bin").agg(*[F.sum(v).alias(v) for v in ("g", "h", "n")]).where("n > 0.5")
-        before, hist = hist, built.persist()
-        known = {(r.cell, r.leaf): r for r in best_splits(hist, l2, min_rows).collect()}  # one row per open leaf
-        if before is not None:
-            before.unpersist()
-        sums |= {k: (r.g, r.h) for k, r in known.items()}
-        wanted, child_to_sibling, parent_to_sibling = {}, {}, {}
-        for c, tree in trees.items():
-            free = leaves - sum(not isinstance(x, tuple) for x in tree)
-            able = sorted((r for (k, leaf), r in known.items() if k == c and r.split is not None and not isinstance(tree[leaf], tuple)),
-                          key=lambda r: (-r.split.gain, r.leaf))
-            for r in able[:max(0, free)]:
-                s, left, right = r.split, len(tree), len(tree) + 1
-                tree[r.leaf] = (s.feature, float(bins[s.feature][s.bin]) if s.bin else SMALLEST, left, right)
-                tree += [0.0, 0.0]
-                sums[c, right], sums[c, left] = (s.g, s.h), (r.g - s.g, r.h - s.h)
-                small, large = (right, left) if 2 * s.n <= r.n else (left, right)
-                child_to_sibling[c, small], parent_to_sibling[c, r.leaf] = large, large
-                wanted.setdefault(c, set()).add(small)
-            if free <= min(len(able), free):  # the tree has its leaves: no histogram is needed for the last ones
-                done = wanted.pop(c, set())
-                child_to_sibling = {k: v for k, v in child_to_sibling.items() if not (k[0] == c and k[1] in done)}
-                parent_to_sibling = {k: v for k, v in parent_to_sibling.items() if k[0] != c}
-    for c, tree in trees.items():
-        for leaf, node in enumerate(tree):
-            if not isinstance(node, tuple):
-                g, h = sums[c, leaf]
-                tree[leaf] = -rate * g / (h + l2)
-    hist.unpersist()
-    return trees
+
+
+@dataclass
+class _Tree:
+    """A tree that grows: its nodes, and the leaves whose sums are wanted."""
+    nodes: list = field(default_factory=lambda: [0.0])
+    fresh: set = field(default_factory=lambda: {0})
+    known: dict = field(default_factory=dict)  # {leaf: its sums and best split}
+    sums: dict = field(default_factory=dict)  # {leaf: (g, h)}
+
+    def split(self, found: dict, bins: dict, leaves: int):
+        """The rows of the fresh leaves have come in: the open leaves of
+        largest gain are split, as many as the tree may have."""
+        self.known |= found
+        self.sums |= {leaf: (r.g, r.h) for leaf, r in found.items()}
+        self.fresh = set()
+        free = leaves - sum(not isinstance(x, tuple) for x in self.nodes)
+        able = sorted((r for leaf, r in self.known.items() if r.split is not None and not isinstance(self.nodes[leaf], tuple)),
+                      key=lambda r: (-r.split.gain, r.leaf))
+        for r in able[:max(0, free)]:
+            s, left, right = r.split, len(self.nodes), len(self.nodes) + 1
+            self.nodes[r.leaf] = (s.feature, float(bins[s.feature][s.bin]) if s.bin else SMALLEST, left, right)
+            self.nodes += [0.0, 0.0]
+            self.sums[right], self.sums[left] = (s.g, s.h), (r.g - s.g, r.h - s.h)
+            self.fresh |= {left, right}
+        if free <= len(able):  # the tree has its leaves: no histogram is needed for the last ones
+            self.fresh = set()
+
+    def finished(self, rate: float, l2: float) -> list:
+        return [x if isinstance(x, tuple) else -rate * self.sums[leaf][0] / (self.sums[leaf][1] + l2) for leaf, x in enumerate(self.nodes)]
 
 
 def score_boosted_cells(rows: DataFrame, models: dict) -> DataFrame:
