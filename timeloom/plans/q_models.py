@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
@@ -330,11 +331,22 @@ def fit_logistic_cells(spark, sf):
     return got.join(pos.withColumn("train_site", F.coalesce("site", F.lit(POOLED))).drop("site"), ["train_site", "outcome"])
 
 
+def _side_by_side(spark, sf, step):
+    """``step`` of every kind and method of the grid, fitted and scored at the
+    same time: a round of a fit is a short job, and one fit's rounds leave the
+    cores idle between them. In the order of the grid."""
+    for m in METHODS:
+        _cells(spark, sf, m)  # what the fits share is made before
+    grid = [(k, m) for k in KINDS for m in METHODS]
+    with ThreadPoolExecutor(len(grid)) as pool:
+        return [(k, m, got) for (k, m), got in zip(grid, pool.map(lambda km: step(spark, sf, *km), grid), strict=True)]
+
+
 @query("baseline_grid")
 def baseline_grid(spark, sf):
     """Both kinds of model on counts and on presence, every training site and
     the pooled model, every test site and outcome: ROC and PR area."""
-    parts = [_areas(spark, sf, k, m).select(F.lit(k).alias("kind"), F.lit(m).alias("method"), "*") for k in KINDS for m in METHODS]
+    parts = [got.select(F.lit(k).alias("kind"), F.lit(m).alias("method"), "*") for k, m, got in _side_by_side(spark, sf, _areas)]
     return reduce(lambda a, b: a.unionByName(b), parts).select("kind", "method", "train_site", "test_site", "outcome",
                                                                F.round("roc_auc", 9).alias("roc_auc"), F.round("pr_auc", 9).alias("pr_auc"))
 
@@ -343,8 +355,8 @@ def baseline_grid(spark, sf):
 def baseline_cis(spark, sf):
     """95 % intervals of the outcome-averaged areas of every grid cell; the
     draws are shared by all models on the same subjects."""
-    parts = [_scored(spark, sf, k, m).select(F.concat_ws("/", F.lit(k), F.lit(m), "train_site").alias("model"), "site", "subject_id", "outcome", "future", "score")
-             for k in KINDS for m in METHODS]
+    parts = [got.select(F.concat_ws("/", F.lit(k), F.lit(m), "train_site").alias("model"), "site", "subject_id", "outcome", "future", "score")
+             for k, m, got in _side_by_side(spark, sf, _scored)]
     got = bs.bootstrap_ci(reduce(lambda a, b: a.unionByName(b), parts), ("model", "site"), N_REP, SEED)
     name = F.split("model", "/")
     return got.select(name[0].alias("kind"), name[1].alias("method"), name[2].alias("train_site"), F.col("site").alias("test_site"), "metric",
