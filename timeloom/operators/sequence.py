@@ -26,13 +26,14 @@ def words(docs: DataFrame, site: str, text: str) -> DataFrame:
     return d.select(F.col(site).alias("site"), F.split(F.lower(text), " ", -1).alias("ws"))
 
 
-def bigram_counts(w: DataFrame) -> DataFrame:
-    """(site, prev, nxt, c). Texts with fewer than two words add nothing."""
+def bigram_counts(w: DataFrame, sites: list) -> DataFrame:
+    """(prev, nxt, c0, c1, …): how often each site has the bigram, in one row
+    for all sites. Texts with fewer than two words add nothing."""
     n = F.size("ws") - 1
     pairs = F.zip_with(F.slice("ws", 1, n), F.slice("ws", 2, n),
                        lambda a, b: F.struct(a.alias("prev"), b.alias("nxt")))
     return (w.select("site", F.explode(pairs).alias("b")).select("site", "b.prev", "b.nxt")
-            .groupBy("site", "prev", "nxt").agg(F.count(F.lit(1)).alias("c")))
+            .groupBy("prev", "nxt").agg(*[F.count_if(F.col("site") == F.lit(s)).alias(f"c{i}") for i, s in enumerate(sites)]))
 
 
 def cross_site_loss(docs: DataFrame, site: str = "site", text: str = "text", alpha: float = 1.0) -> DataFrame:
@@ -40,33 +41,34 @@ def cross_site_loss(docs: DataFrame, site: str = "site", text: str = "text", alp
 
     p_m(n | p) = (c_m(p, n) + α) / (c_m(p) + α·V_m), V_m the number of distinct
     words in site m's texts of two or more words. Splitting the log keeps
-    every join keyed: Σ c_e·ln(c_m + α) = Σ c_e·ln α + Σ_{bigram seen at m}
-    c_e·(ln(c_m + α) − ln α), so eval bigrams only meet the model bigrams
-    they match, inside the bigram's own row; the normalizer is summed per
-    previous word against each model site (sites are a short list)."""
-    w = words(docs, site, text)
-    # the bigram counts are the fitted models, read by five branches below:
+    every sum inside one row: Σ c_e·ln(c_m + α) = Σ c_e·ln α + Σ_{bigram seen
+    at m} c_e·(ln(c_m + α) − ln α), so a bigram's row gives its terms for all
+    pairs of sites (a short list), as sums of the row's numbers; the normalizer
+    does the same per previous word. The bigrams are shuffled once."""
+    spark = docs.sparkSession
+    sites = sorted(r[0] for r in docs.select(site).where(F.col(site).isNotNull()).distinct().collect())
+    kind = docs.schema[site].dataType.simpleString()
+    if not sites:
+        return spark.createDataFrame([], f"model_site {kind}, eval_site {kind}, loss double, n_bigrams long")
+    k = range(len(sites))
+    # the bigram counts are the fitted models, read by three branches below:
     # written once (Parquet in the shared folder); texts without a site are left out
-    cnt = stage_table(bigram_counts(w).where("site is not null"), "bigrams")
+    cnt = stage_table(bigram_counts(words(docs, site, text).where("site is not null"), sites), "bigrams")
     # V_m: distinct words of the site's texts with two or more words (shorter
-    # texts are skipped), read off the aggregated bigrams: no second text pass.
-    # One row: the sites with their V
-    vocab = (cnt.select("site", F.explode(F.array("prev", "nxt")).alias("word")).distinct()
-             .groupBy("site").agg(F.count(F.lit(1)).alias("V")).agg(F.collect_list(F.struct("site", "V")).alias("models")))
+    # texts are skipped), read off the aggregated bigrams: no second text pass
+    word = cnt.select(F.explode(F.array("prev", "nxt")).alias("word"), *[(F.col(f"c{i}") > 0).alias(f"c{i}") for i in k])
+    vocab = word.groupBy("word").agg(*[F.max(f"c{i}").alias(f"c{i}") for i in k]).agg(*[F.count_if(f"c{i}").alias(f"v{i}") for i in k]).first()
     la = F.log(F.lit(alpha))
-    pair = lambda e, m, x: F.struct(e["site"].alias("eval_site"), m["site"].alias("model_site"), x.alias("x"))
-    # all sites' counts of one bigram in one row; pairs of sites are unfolded there
-    both = cnt.groupBy("prev", "nxt").agg(F.collect_list(F.struct("site", "c")).alias("s"))
-    unfolded = F.flatten(F.transform("s", lambda e: F.transform("s", lambda m: pair(e, m, e["c"] * (F.log(m["c"] + F.lit(alpha)) - la)))))
-    seen = both.select(F.inline(unfolded)).groupBy("eval_site", "model_site").agg(F.sum("x").alias("s1"))
-    # the normalizer by previous word in the same way, against every model site
-    per = cnt.groupBy("prev", "site").agg(F.sum("c").alias("c")).groupBy("prev").agg(F.collect_list(F.struct("site", "c")).alias("s"))
-    count_of = lambda m: F.coalesce(F.get(F.filter("s", lambda x: x["site"] == m["site"]), F.lit(0))["c"], F.lit(0))
-    against = F.transform("models", lambda m: F.struct(m["site"].alias("site"), F.log(count_of(m) + F.lit(alpha) * m["V"]).alias("l")))
-    norms = per.crossJoin(F.broadcast(vocab)).select("s", against.alias("ls"))
-    unfolded = F.flatten(F.transform("s", lambda e: F.transform("ls", lambda m: pair(e, m, e["c"] * m["l"]))))
-    norm = norms.select(F.inline(unfolded)).groupBy("eval_site", "model_site").agg(F.sum("x").alias("s2"))
-    tot = cnt.groupBy(F.col("site").alias("eval_site")).agg(F.sum("c").alias("N"))
-    j = norm.join(tot, "eval_site").join(seen, ["eval_site", "model_site"], "left")
-    loss = -(F.col("N") * la + F.coalesce("s1", F.lit(0.0)) - F.col("s2")) / F.col("N")
-    return j.select("model_site", "eval_site", loss.alias("loss"), F.col("N").alias("n_bigrams"))
+    seen = cnt.agg(*[F.coalesce(F.sum(F.col(f"c{e}") * (F.log(F.col(f"c{m}") + F.lit(alpha)) - la)), F.lit(0.0)).alias(f"s{e}_{m}") for e in k for m in k])
+    per = cnt.groupBy("prev").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in k])
+    # a site without bigrams has no model
+    log_of = {m: F.log(F.col(f"c{m}") + F.lit(alpha * max(vocab[f"v{m}"], 1))) for m in k}
+    norm = per.agg(*[F.sum(f"c{e}").alias(f"n{e}") for e in k], *[F.sum(F.col(f"c{e}") * log_of[m]).alias(f"t{e}_{m}") for e in k for m in k])
+    with_model = [i for i in k if vocab[f"v{i}"]]
+    rows = [F.struct(F.lit(sites[m]).cast(kind).alias("model_site"), F.lit(sites[e]).cast(kind).alias("eval_site"),
+                     (-(F.col(f"n{e}") * la + F.col(f"s{e}_{m}") - F.col(f"t{e}_{m}")) / F.col(f"n{e}")).alias("loss"), F.col(f"n{e}").alias("n_bigrams"))
+            for e in with_model for m in with_model]
+    if not rows:
+        return spark.createDataFrame([], f"model_site {kind}, eval_site {kind}, loss double, n_bigrams long")
+    # one row each
+    return seen.crossJoin(norm).select(F.inline(F.array(*rows)))
