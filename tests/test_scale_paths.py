@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from timeloom.operators import harmonize, sizing, tokenize as tkz
@@ -42,3 +43,22 @@ def test_encounter_blocks_gap_rule(spark):
         ("q", 4, h(0), h(1))], "patient string, stay_id int, s timestamp, e timestamp")
     b = {r.stay_id: r.encounter_block for r in harmonize.encounter_block(stays, "patient", "s", "e", 6).collect()}
     assert b == {1: 1, 2: 1, 3: 2, 4: 1}
+
+
+def test_decode_shuffles_nothing_with_a_small_vocabulary(spark, monkeypatch):
+    """Lists are decoded where they stand; a large vocabulary's join gives the same."""
+    lines = spark.createDataFrame([("a", 1, [2, 0, 2, None]), ("a", 2, []), ("b", 3, None), (None, 4, [1])], "site string, subject_id long, tokens array<int>")
+    vocab = spark.createDataFrame([(0, "UNK"), (1, "x"), (2, "y")], "token_id int, token string")
+    small = tkz.timeline_decode(lines, vocab)
+    assert "Exchange" not in small._jdf.queryExecution().executedPlan().toString()
+    rows = {r.subject_id: r.tokens for r in small.collect()}
+    assert rows == {1: ["y", "UNK", "y", None], 2: [], 3: [], 4: ["x"]}
+    monkeypatch.setattr(tkz, "LITERAL_ROWS", 0)
+    assert {r.subject_id: r.tokens for r in tkz.timeline_decode(lines, vocab).collect()} == rows
+
+
+def test_decode_raises_on_an_unknown_id(spark):
+    lines = spark.createDataFrame([("a", 1, [7])], "site string, subject_id long, tokens array<int>")
+    vocab = spark.createDataFrame([(0, "UNK")], "token_id int, token string")
+    with pytest.raises(Exception, match="unknown token id 7"):
+        tkz.timeline_decode(lines, vocab).collect()
