@@ -45,14 +45,14 @@ def test_encounter_blocks_gap_rule(spark):
     assert b == {1: 1, 2: 1, 3: 2, 4: 1}
 
 
-def test_decode_shuffles_nothing_with_a_small_vocabulary(spark, monkeypatch):
-    """Lists are decoded where they stand; a large vocabulary's join gives the same."""
-    lines = spark.createDataFrame([("a", 1, [2, 0, 2, None]), ("a", 2, []), ("b", 3, None), (None, 4, [1])], "site string, subject_id long, tokens array<int>")
+def test_decode_unfolds_no_list_with_a_small_vocabulary(spark, monkeypatch):
+    """Lists are decoded as a whole, those of one key merged by position; a large vocabulary's join gives the same."""
+    lines = spark.createDataFrame([("a", 1, [2, 0, 2, None]), ("a", 2, []), ("b", 3, None), (None, 4, [1]), ("a", None, [0, 1]), ("a", None, [2, 0, 2]), ("a", None, None)], "site string, subject_id long, tokens array<int>")
     vocab = spark.createDataFrame([(0, "UNK"), (1, "x"), (2, "y")], "token_id int, token string")
     small = tkz.timeline_decode(lines, vocab)
-    assert "Exchange" not in small._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in small._jdf.queryExecution().executedPlan().toString()
     rows = {r.subject_id: r.tokens for r in small.collect()}
-    assert rows == {1: ["y", "UNK", "y", None], 2: [], 3: [], 4: ["x"]}
+    assert rows == {1: ["y", "UNK", "y", None], 2: [], 3: [], 4: ["x"], None: ["UNK", "y", "UNK", "x", "y"]}
     monkeypatch.setattr(tkz, "LITERAL_ROWS", 0)
     assert {r.subject_id: r.tokens for r in tkz.timeline_decode(lines, vocab).collect()} == rows
 

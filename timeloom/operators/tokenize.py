@@ -271,16 +271,20 @@ def timeline_decode(timelines: DataFrame, vocab, keys=("site", "subject_id"),
                     col: str = "tokens") -> DataFrame:
     """ids → token strings, order kept. Unknown ids raise (S10); null ids stay
     null. A vocabulary of up to ``LITERAL_ROWS`` tokens goes into the plan and
-    every list is decoded where it stands; a larger one is joined: posexplode →
+    every list is decoded as a whole; a larger one is joined: posexplode →
     join → ordered re-collect, by stretches of ``DECODE_ROWS`` tokens."""
     v = vocab.df if isinstance(vocab, Fitted) else vocab
     few = [(r[0], r[1]) for r in v.select("token_id", "token").where("token_id is not null").limit(LITERAL_ROWS + 1).collect()]
     names = dict(few)
     if len(names) == len(few) <= LITERAL_ROWS and all(0 <= i < LITERAL_ROWS for i in names):
         listed = F.array(*[F.lit(names.get(i)).cast("string") for i in range(max(names, default=0) + 1)])
-        text = F.transform(col, lambda i: F.when(i.isNotNull(), F.coalesce(F.get(listed, i.cast("int")), F.raise_error(F.concat(
-            F.lit("unknown token id "), i.cast("string"))))))
-        return timelines.select(*keys, F.coalesce(text, F.array().cast("array<string>")).alias(col))
+        text_of = lambda i: F.when(i.isNotNull(), F.coalesce(F.get(listed, i.cast("int")), F.raise_error(F.concat(
+            F.lit("unknown token id "), i.cast("string")))))
+        # lists of the same keys are merged by position, as below
+        lists = timelines.groupBy(*keys).agg(F.collect_list(col).alias("_p")).select(*keys, F.transform("_p", lambda ids: F.transform(ids, text_of)).alias("_d"))
+        at = F.flatten(F.transform("_d", lambda x: F.transform(x, lambda t, i: F.struct(i.alias("p"), t.alias("t")))))
+        merged = F.transform(F.array_sort(at), lambda x: x["t"])
+        return lists.select(*keys, F.when(F.size("_d") == 1, F.get("_d", F.lit(0))).otherwise(merged).alias(col))
     ex = timelines.select(*keys, F.posexplode_outer(col).alias("pos", "token_id"))
     j = ex.join(v, "token_id", "left")
     tok = F.when(F.col("token_id").isNull(), F.lit(None).cast("string")).otherwise(
